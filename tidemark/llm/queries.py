@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, packing, token_counts, token_files
+from tidemark.llm import bpe, packing, quality_rules, token_counts, token_files
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,13 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(_documents(spark, sf_dir), end_id=2)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_rules.judge(docs.select("doc_id", "text"), quality_rules.train(docs, labels)).select(
+        "doc_id", *quality_rules.STATISTICS, "base_failed", "kept")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_documents(spark, sf_dir))
 
@@ -33,6 +40,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_token_files": op2_token_files,
+    "op6_quality_rules": op6_quality_rules,
     "op7_bpe": op7_bpe,
     "op9_best_fit_packing": op9_best_fit_packing,
 }

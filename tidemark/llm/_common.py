@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,3 +49,17 @@ def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[p
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The text column with nulls as empty strings."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches at about ``limit`` bytes of a text column, a row at least."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        start = held = 0
+        for at, size in enumerate(sizes):
+            if held and held + size > limit:
+                yield batch.slice(start, at - start)
+                start, held = at, 0
+            held += size + 1
+        if held:
+            yield batch.slice(start)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, packing, quality_rules, token_counts, token_files
+from tidemark.llm import bpe, ngram_join, packing, quality_rules, token_counts, token_files
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(_documents(spark, sf_dir), end_id=2)
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_documents(spark, sf_dir), n=5, percent=75)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -40,6 +44,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_token_files": op2_token_files,
+    "op5_ngram_join": op5_ngram_join,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe": op7_bpe,
     "op9_best_fit_packing": op9_best_fit_packing,

@@ -244,7 +244,7 @@ def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
         "kept", ~F.col("base_failed") & verdict(rules))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> DataFrame:
+def keep_good(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """The documents that the base rules and the learned list keep, columns unchanged."""
     rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    return judge(rows, train(docs, labels, max_rows)).where("kept").select("_row.*")
+    return judge(rows, rules).where("kept").select("_row.*")

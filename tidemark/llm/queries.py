@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, ngram_join, packing, quality_rules, token_counts, token_files
+from pyspark.sql import functions as F
+
+from tidemark.llm import (
+    bpe,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    token_files,
+    topk_search,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +35,16 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(_documents(spark, sf_dir), end_id=2)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_classifier.scored(docs, quality_classifier.train(docs, labels))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_documents(spark, sf_dir))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_documents(spark, sf_dir), n=5, percent=75)
 
@@ -37,6 +60,17 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_documents(spark, sf_dir))
 
 
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk_search.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(_documents(spark, sf_dir).select("doc_id", "text"))
+    text = F.coalesce("clean_text", F.lit(""))
+    return found.select("doc_id", "n_lines", "n_dropped", F.char_length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("text_sha256"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), capacity=2048, end_id=0)
 
@@ -44,10 +78,14 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_token_files": op2_token_files,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op4_license_scan": op4_license_scan,
     "op5_ngram_join": op5_ngram_join,
     "op6_quality_rules": op6_quality_rules,
     "op7_bpe": op7_bpe,
+    "op8_topk_search": op8_topk_search,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}

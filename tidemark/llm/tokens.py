@@ -37,6 +37,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
         self.max_chunks, self.max_words = max_chunks, max_words
         self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {}
@@ -85,8 +86,13 @@ class WordEncoder:
             for p in pair:
                 if p not in words:
                     new[p] = None
-        if new:
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(list(new), add_special_tokens=False)):
-                words[p] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+        # lower-case ASCII letters are one pre-token as they stand
+        plain = [p for p in new if p.isascii() and p.isalpha()]
+        for p in plain:
+            words[p] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(p)])
+        if len(plain) < len(new):
+            rest = [p for p in new if p not in words]
+            for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+                words[p] = b"".join([i.to_bytes(4, "little") for i in e.ids])
         for c, pair in parts.items():
             self.chunks[c] = words[pair[0]] if len(pair) == 1 else words[pair[0]] + words[pair[1]]

@@ -66,13 +66,13 @@ def source_land_with_audit(t: Tables) -> DataFrame:
 STAMPS = "upper(strftime(o_orderdate, '%d%b%Y')) || ':00:00:00'"
 
 
-@query(shown("select o_orderkey, cast(o_orderdate as timestamp) as at, o_totalprice as price, o_custkey as cust, null as bad from orders",
-             o_orderkey="i", at="t", price="d", cust="i", bad="i"))
+@query(shown("select o_orderkey, cast(o_orderdate as timestamp) as made_at, o_totalprice as price, o_custkey as cust, null as bad from orders",
+             o_orderkey="i", made_at="t", price="d", cust="i", bad="i"))
 def clean_cast_by_metadata(t: Tables) -> DataFrame:
     text = t("orders").select(
-        F.col("o_orderkey").cast("string").alias("o_orderkey"), F.concat(F.upper(F.date_format("o_orderdate", "ddMMMyyyy")), F.lit(":00:00:00")).alias("at"),
+        F.col("o_orderkey").cast("string").alias("o_orderkey"), F.concat(F.upper(F.date_format("o_orderdate", "ddMMMyyyy")), F.lit(":00:00:00")).alias("made_at"),
         F.col("o_totalprice").cast("string").alias("price"), F.col("o_custkey").cast("string").alias("cust"), F.col("o_orderpriority").alias("bad"))
-    return rounded(clean.cast_by_metadata(text, {"o_orderkey": "bigint", "at": "timestamp", "price": "double", "cust": "int", "bad": "int"}))
+    return rounded(clean.cast_by_metadata(text, {"o_orderkey": "bigint", "made_at": "timestamp", "price": "double", "cust": "int", "bad": "int"}))
 
 
 @query(shown("select o_orderkey, cast(o_orderdate as date) as day, trim(o_orderpriority) as priority from orders", o_orderkey="i", day="t", priority="s"))
@@ -310,7 +310,7 @@ def aggregate_duplicates(t: Tables) -> DataFrame:
 # ---- windows, top-k, sets ---------------------------------------------------------------------
 
 
-@query("select tile, count(*) as n, sum(o_orderkey) % 1000003 as keys from (select o_orderkey, ntile(10) over (order by o_totalprice desc, o_orderkey) as tile from orders) group by tile")
+@query("select tile, count(*) as n, cast(sum(o_orderkey) % 1000003 as bigint) as keys from (select o_orderkey, ntile(10) over (order by o_totalprice desc, o_orderkey) as tile from orders) group by tile")
 def window_score_tiles(t: Tables) -> DataFrame:
     tiles = rel.score_tiles(t("orders"), "o_totalprice", "o_orderkey")
     return tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("n"), (F.sum("o_orderkey") % 1000003).alias("keys")).withColumn("tile", F.col("tile").cast("long"))

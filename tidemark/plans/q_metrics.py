@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from tidemark.operators import binning, metrics
 from tidemark.plans.registry import Tables, query, rounded, shown
 
-SCORED = """select l_orderkey * 10 + l_linenumber as rid, l_discount * 10 as p1, l_quantity / 50 as p2, l_extendedprice as price, l_tax as tax,
+SCORED = """select ((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber as rid, l_discount * 10 as p1, l_quantity / 50 as p2, l_extendedprice as price, l_tax as tax,
     l_quantity as quantity, case when l_returnflag = 'R' then 1 else 0 end as label, cast(year(l_shipdate) as bigint) as yr,
     l_returnflag as flag, l_linestatus as status from lineitem"""
 
 
 def scored(t: Tables) -> DataFrame:
     return t("lineitem").selectExpr(
-        "l_orderkey * 10 + l_linenumber as rid", "l_discount * 10 as p1", "l_quantity / 50 as p2", "l_extendedprice as price", "l_tax as tax",
+        "((l_orderkey * 100000 + l_partkey) * 10000 + l_suppkey) * 10 + l_linenumber as rid", "l_discount * 10 as p1", "l_quantity / 50 as p2", "l_extendedprice as price", "l_tax as tax",
         "l_quantity as quantity", "case when l_returnflag = 'R' then 1 else 0 end as label", "cast(year(l_shipdate) as bigint) as yr",
         "l_returnflag as flag", "l_linestatus as status")
 

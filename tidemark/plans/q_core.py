@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean, features
@@ -61,6 +61,37 @@ def source_land_with_audit(t: Tables) -> DataFrame:
     return landed.drop("_ingested_at")
 
 
+@query(shown("""select o_orderkey, case when o_orderstatus = 'P' then o_totalprice * 2 else o_totalprice end as o_totalprice, o_orderstatus from orders""", o_orderkey="i", o_totalprice="d", o_orderstatus="s"))
+def source_replace_partition(t: Tables) -> DataFrame:
+    """A partitioned table of which one partition is replaced."""
+    o = t("orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    path = io.scratch_path(o.sparkSession)
+    io.write_overwrite(o, path, ["o_orderstatus"])
+    changed = o.where("o_orderstatus = 'P'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    io.write_replace_partition(changed, path, ["o_orderstatus"])
+    return rounded(io.read_columns(o.sparkSession, path, ["o_orderkey", "o_totalprice", "o_orderstatus"]))
+
+
+@query(shown("select o_orderkey, o_orderstatus, o_totalprice from orders where o_orderdate < date '1998-01-01'", o_orderkey="i", o_orderstatus="s", o_totalprice="d"))
+def source_final_features(t: Tables) -> DataFrame:
+    """Features, keys and label written by snapshot and read through a view."""
+    o = t("orders").where("o_orderdate < date'1998-01-01'").withColumn("yr", F.year("o_orderdate"))
+    spark = o.sparkSession
+    path = io.scratch_path(spark)
+    io.write_final_features(o, path, ["o_totalprice"], ["o_orderkey"], "o_orderstatus", "yr")
+    io.create_external_view(spark, "tidemark_final_features", path)
+    return rounded(spark.table("tidemark_final_features").select("o_orderkey", "o_orderstatus", "o_totalprice"))
+
+
+@query(shown("select c_custkey, c_name, n_name, c_acctbal from customer join nation on c_nationkey = n_nationkey where c_acctbal > 0", c_custkey="i", c_name="s", n_name="s", c_acctbal="d"))
+def source_lookup_view(t: Tables) -> DataFrame:
+    """A customer lookup over registered views."""
+    c = t("customer")
+    c.createOrReplaceTempView("tidemark_customer")
+    t("nation").createOrReplaceTempView("tidemark_nation")
+    return rounded(c.sparkSession.sql("select c_custkey, c_name, n_name, c_acctbal from tidemark_customer join tidemark_nation on c_nationkey = n_nationkey where c_acctbal > 0"))
+
+
 # ---- cleansing ------------------------------------------------------------------------
 
 STAMPS = "upper(strftime(o_orderdate, '%d%b%Y')) || ':00:00:00'"
@@ -296,6 +327,33 @@ def aggregate_statistics(t: Tables) -> DataFrame:
         F.datediff(F.max("o_orderdate"), F.min("o_orderdate")).alias("span"), F.count_distinct(F.date_format("o_orderdate", "yyyyMM")).alias("months")))
 
 
+@query(shown("""select l_returnflag, quantile_cont(l_extendedprice, 0.1) as p10, quantile_cont(l_extendedprice, 0.5) as p50, quantile_cont(l_extendedprice, 0.9) as p90, avg(l_extendedprice) as mean, count(*) as n
+    from lineitem group by l_returnflag""", l_returnflag="s", p10="d", p50="d", p90="d", mean="d", n="i"))
+def aggregate_percentiles(t: Tables) -> DataFrame:
+    p = F.percentile("l_extendedprice", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
+    out = t("lineitem").groupBy("l_returnflag").agg(p.alias("p"), F.avg("l_extendedprice").alias("mean"), F.count(F.lit(1)).alias("n"))
+    return rounded(out.select("l_returnflag", *(F.col("p")[i].alias(f"p{q}") for i, q in enumerate((10, 50, 90))), "mean", "n"))
+
+
+@query(shown("""select user_id, max(case when event_type like 'p%' then value end) as top_p, max(case when event_type like 'c%' then value end) as top_c, count(distinct event_type) as kinds from events group by user_id""",
+             user_id="i", top_p="d", top_c="d", kinds="i"))
+def aggregate_pivot_by_pattern(t: Tables) -> DataFrame:
+    v, kind = F.col("value"), F.col("event_type")
+    return rounded(t("events").groupBy("user_id").agg(
+        F.max(F.when(kind.like("p%"), v)).alias("top_p"), F.max(F.when(kind.like("c%"), v)).alias("top_c"), F.count_distinct("event_type").alias("kinds")))
+
+
+@query(shown("select o_orderkey, least(floor(cume_dist() over (partition by o_custkey order by o_totalprice) * 5), 4) as band from orders", o_orderkey="i", band="i"))
+def window_relative_rank(t: Tables) -> DataFrame:
+    w = Window.partitionBy("o_custkey").orderBy("o_totalprice")
+    return rounded(t("orders").select("o_orderkey", F.least(F.floor(F.cume_dist().over(w) * 5), F.lit(4)).alias("band")))
+
+
+@query(shown("select d.doc_id as doc_id, lang, quality from documents d join labels l on d.doc_id = l.doc_id", doc_id="i", lang="s", quality="i"))
+def join_scores_labels(t: Tables) -> DataFrame:
+    return rounded(t("documents").select("doc_id", "lang").join(t("labels").select("doc_id", "quality"), "doc_id"))
+
+
 @query(shown("select o_orderpriority, count(*) filter (where o_orderstatus = 'F') as f, count(*) filter (where o_orderstatus = 'O') as o, count(*) filter (where o_orderstatus = 'P') as p from orders group by all",
              o_orderpriority="s", f="i", o="i", p="i"))
 def aggregate_crosstab(t: Tables) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import decision, monitoring, scoring
-from tidemark.operators.binning import woe_table
+from tidemark.operators import decision, monitoring, scoring, selection
 from tidemark.operators.metrics import ranking_metrics
 from tidemark.plans.q_metrics import CONFUSION, CUTOFFS, RANKED, SCORED, bin_sql, psi_sql, ranking_sql, scored
 from tidemark.plans.registry import Tables, query, rounded, shown
@@ -31,11 +30,12 @@ def scoring_quantile_class(t: Tables) -> DataFrame:
     return rounded(scoring.quantile_class(scored(t), "price", 5, "yr").select("rid", "risk_class"))
 
 
-@query(shown("select feature, coefficient, -coefficient * 50 / ln(2) as points, 600.0 as base from (values ('a', 0.5), ('b', -1.25), ('c', 0.0)) v(feature, coefficient) where (select count(*) from lineitem) > 0",
+@query(shown(" union all ".join(f"select '{c}' as feature, corr({c}, label) as coefficient, -corr({c}, label) * 50 / ln(2) as points, 600.0 as base from ({SCORED})" for c in ("p1", "p2", "price")),
              feature="s", coefficient="d", points="d", base="d"))
 def scoring_scorecard_points(t: Tables) -> DataFrame:
-    li = t("lineitem").limit(1).select(F.explode(F.expr("array(named_struct('feature', 'a', 'coefficient', 0.5D), named_struct('feature', 'b', 'coefficient', -1.25D), named_struct('feature', 'c', 'coefficient', 0.0D))")).alias("x"))
-    return rounded(scoring.scorecard_points(li.select("x.*")))
+    """Points of one-feature scorecards, with correlations as coefficients."""
+    found = selection.label_correlations(scored(t), ["p1", "p2", "price"], "label")
+    return rounded(scoring.scorecard_points(found.withColumnRenamed("correlation", "coefficient")))
 
 
 @query(shown(f"select rid, {SCORE} as score, {BAND.format(SCORE)} as band, round(p2, 6) as prob, 'v1' as model_version from ({SCORED})", rid="i", score="i", band="s", prob="d", model_version="s"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import tempfile
 import time
 import uuid
 from dataclasses import dataclass, field
@@ -55,6 +56,15 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*(re.sub(r"[ ,;{}()\n\t=]", "_", c) for c in df.columns))
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the folder that driver and executors share; a temporary one where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def with_audit(df: DataFrame, execution_id: str, at: Column | None = None) -> DataFrame:
     """Add _execution_id and _ingested_at."""
     return df.withColumns({"_execution_id": F.lit(execution_id), "_ingested_at": at if at is not None else F.current_timestamp()})

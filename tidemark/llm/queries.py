@@ -88,4 +88,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_ngram_join": f"""
+        with recursive words as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+        sets as (select doc_id, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+            when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from words),
+        shingles as (select doc_id, unnest(s) as x from sets),
+        pairs as (select a.doc_id as a, b.doc_id as b, count(*) as n from shingles a join shingles b on a.x = b.x and a.doc_id <> b.doc_id group by 1, 2),
+        links as (select a, b from pairs join sets x on x.doc_id = a join sets y on y.doc_id = b where 100 * n >= 75 * (len(x.s) + len(y.s) - n)),
+        reached as (select doc_id, doc_id as other from sets union select doc_id, b from reached join links on other = a)
+        select doc_id, cast(len(s) as bigint) as n_shingles, min(other) as component_id from sets join reached using (doc_id) group by doc_id, len(s)""",
+    "op8_topk_search": """
+        with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
+            where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+        scores as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
+        select query_id, rank, vec_id, score from (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from scores) where rank <= 5""",
+}

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -39,6 +40,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+#: Keys that a broadcast may hold: about 50 MB on an executor.
+FEW_KEYS = 1_000_000
+
+
+def with_keys(df: DataFrame, keys: DataFrame, column: str, few: int = FEW_KEYS) -> DataFrame:
+    """Inner join with a table of keys, which is counted first.
+
+    Up to ``few`` keys are broadcast, so that rows of ``df`` without one are left
+    out where they are read; more are joined by a shuffle of both sides.
+    """
+    return df.join(F.broadcast(keys) if keys.count() <= few else keys, column)
+
+
 def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that few texts are Python objects at a time."""
     for batch in batches:

@@ -8,10 +8,10 @@ suffix filters drop pairs before their texts are compared, once each.
 
 Documents with equal sets are one class from the start. The result is whole but
 does not spell out all pairs of a large group of near copies: every class is
-first compared with the leader of each of its shingles, and only then the
-members that are in another component than a leader with all who share the
-shingle. A pair that shares a prefix shingle is thus either compared or known
-to be in one component already.
+first compared with the leader of each of its shingles, the class with the
+fewest rarer shingles before it, and only then the members that are in another
+component than a leader with all who share the shingle. A pair that shares a
+prefix shingle is thus either compared or known to be in one component already.
 
 Shingles and sets are 64-bit fingerprints of the words' bytes.
 """
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import byte_slices, materialize
+from tidemark.llm._common import byte_slices, materialize, with_keys
 
 N = 5
 PERCENT = 75
@@ -132,6 +132,24 @@ def set_keys(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, keys, U64(0)).view(np.int64)
 
 
+#: Bits of a parity sketch.
+SKETCH = 2048
+
+
+def parity_sketches(shingles: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A bit for each 11-bit prefix of fingerprints: whether the set holds an odd number of them.
+
+    An element in one of two sets only changes one bit between their sketches,
+    so the sets differ in at least as many elements as the sketches in bits.
+    """
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    at = owner * SKETCH + (shingles >> U64(53)).astype(np.int64)
+    bits = np.bincount(at, minlength=len(sizes) * SKETCH) & 1
+    words = np.packbits(bits.astype(np.uint8), bitorder="little").view("<i8")
+    offsets = np.arange(0, len(words) + 1, SKETCH // 64, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(words))
+
+
 def _binary(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
@@ -142,45 +160,40 @@ def _array(values: np.ndarray) -> pa.Array:
 
 # ---- passes over the texts ------------------------------------------------
 
-def measured(docs: DataFrame, n: int, share: float) -> DataFrame:
-    """A row per document (kind 0: doc_id, key, size) and candidates for frequent shingles.
+def measured(docs: DataFrame, n: int) -> DataFrame:
+    """A row per document (kind 0: doc_id, key, size) and counts of recurring shingles.
 
-    A shingle in at least ``share`` of all documents is in at least that share
-    of some task's documents; each task reports the shingles for which this
-    holds there, with its count (kind 1: key, size).
+    Each task reports the shingles that several of its own documents hold, with
+    their number (kind 1: key, size). Summed over tasks these are lower bounds
+    of document frequencies, near for frequent shingles; the counting is lossy
+    for the others and keeps a task's memory bounded. They order shingles only.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["kind", "doc_id", "key", "size"]
-        kept_h, kept_n, pending, waiting, docs_seen = np.empty(0, U64), np.empty(0, np.int64), [], 0, 0
-
-        def fold() -> None:
-            nonlocal kept_h, kept_n, pending, waiting
-            if not pending:
-                return
-            every = np.concatenate([kept_h, *pending])
-            weight = np.concatenate([kept_n, np.ones(waiting, np.int64)])
+        kept, counts, pending, waiting = np.empty(0, U64), np.empty(0, np.int64), [], 0
+
+        def folded() -> tuple[np.ndarray, np.ndarray]:
+            every = np.concatenate([kept, *pending])
+            weight = np.concatenate([counts, np.ones(waiting, np.int64)])
             order = np.argsort(every, kind="stable")
             every, weight = every[order], weight[order]
-            heads = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
-            count = np.add.reduceat(weight, heads)
-            # what is below the share of the documents so far cannot reach it
-            # unless it gathers that share in the documents to come
-            hold = count >= max(2, share * docs_seen)
-            kept_h, kept_n, pending, waiting = every[heads][hold], count[hold], [], 0
+            heads = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.empty(0, np.int64)
+            total = np.add.reduceat(weight, heads) if len(every) else weight
+            return every[heads][total > 1], total[total > 1]
 
         for batch in byte_slices(batches):
             shingles, sizes = shingle_sets(_binary(batch), n)
-            docs_seen += len(sizes)
             pending.append(shingles)
             waiting += len(shingles)
             if waiting > 4_000_000:
-                fold()
+                kept, counts = folded()
+                pending, waiting = [], 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(sizes), np.int32)), batch.column("doc_id"), _array(set_keys(shingles, sizes)), _array(sizes)], names)
-        fold()
+        kept, counts = folded()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(len(kept_h), np.int32)), pa.nulls(len(kept_h), pa.int64()), _array(kept_h.view(np.int64)), _array(kept_n)], names)
+            [pa.array(np.ones(len(kept), np.int32)), pa.nulls(len(kept), pa.int64()), _array(kept.view(np.int64)), _array(counts)], names)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "kind int, doc_id long, key long, size long")
 
@@ -193,7 +206,8 @@ def required_overlap(a: Column, b: Column, percent: int) -> Column:
 def prefixes(docs: DataFrame, n: int, percent: int, ranked: np.ndarray) -> DataFrame:
     """Prefix shingles (shingle, key, size, at) of each distinct set of a task.
 
-    ``ranked`` are the frequent shingles, most frequent last; all others come
+    An entry's shingle has 49 bits of the fingerprint, which at worst names a few
+    pairs more, and a last bit for frequent ones. ``ranked`` are the frequent shingles, most frequent last; all others come
     before them in the order of their fingerprints. A prefix has size minus
     ceil(percent/100 * size) plus one shingles.
     """
@@ -225,28 +239,33 @@ def prefixes(docs: DataFrame, n: int, percent: int, ranked: np.ndarray) -> DataF
             own = sizes[owner]
             take = place < own - -(-own * percent // 100) + 1
             yield pa.RecordBatch.from_arrays(
-                [_array(shingles[take].view(np.int64)), _array(keys[owner[take]]), _array((own[take] << 32) | place[take]), _array(frequent[take] > 0)],
-                ["shingle", "key", "size_at", "frequent"])
+                [_array((shingles[take] >> U64(15)).view(np.int64) * 2 + (frequent[take] > 0)), _array(keys[owner[take]]), _array((own[take] << 32) | place[take])],
+                ["shingle", "key", "size_at"])
 
-    return docs.select("text").mapInArrow(run, "shingle long, key long, size_at long, frequent boolean")
+    return docs.select("text").mapInArrow(run, "shingle long, key long, size_at long")
 
 
 def sharers(entries: DataFrame) -> DataFrame:
-    """Entries whose shingle several sets share, with the leader: the smallest set.
+    """Entries whose shingle several sets share, with the shingle's leader.
 
-    Frequent shingles get their leader from a pre-aggregated table and a join
-    that can be split; the others from a window, in one shuffle.
+    The leader has the shingle at the least place: fewest of its shingles are
+    rarer, as for a text that others are copies of. Frequent shingles get their
+    leader from a pre-aggregated table and a join that can be split; the others
+    from a window, in one shuffle.
     """
     size, at = F.shiftright("size_at", 32).cast("int"), F.col("size_at").bitwiseAND(0x7FFFFFFF).cast("int")
-    entries = entries.select("shingle", "key", size.alias("size"), at.alias("at"), "frequent")
-    least = lambda: F.min(F.struct("size", "key", "at"))
-    split = lambda df: df.select("shingle", "key", "size", "at", F.col("first.key").alias("leader"), F.col("first.size").alias("leader_size"), F.col("first.at").alias("leader_at"))
-    rare = entries.where(~F.col("frequent"))
+    entries = entries.select("shingle", "key", size.alias("size"), at.alias("at"))
+    frequent = F.col("shingle") % 2 == 1
+    least = F.min(F.struct("at", "size", "key"))
+
+    def split(df: DataFrame) -> DataFrame:
+        return df.select("shingle", "key", "size", "at", *(F.col(f"first.{c}").alias(f"leader_{c}") for c in ("key", "size", "at")))
+
     own = Window.partitionBy("shingle")
-    rare = rare.withColumn("first", least().over(own)).withColumn("last", F.max(F.struct("size", "key", "at")).over(own))
-    rare = split(rare.where(F.col("first.key") != F.col("last.key"))).dropDuplicates(["shingle", "key"])
-    often = entries.where("frequent").dropDuplicates(["shingle", "key"])
-    leaders = often.groupBy("shingle").agg(least().alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    rare = entries.where(~frequent).withColumns({"first": least.over(own), "low": F.min("key").over(own), "high": F.max("key").over(own)})
+    rare = split(rare.where("low != high")).dropDuplicates(["shingle", "key"])
+    often = entries.where(frequent).dropDuplicates(["shingle", "key"])
+    leaders = often.groupBy("shingle").agg(least.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     return rare.unionByName(split(often.join(leaders, "shingle")))
 
 
@@ -259,6 +278,15 @@ def may_link(size_a: Column, at_a: Column, size_b: Column, at_b: Column, percent
     return (short * 100 >= long * percent) & (within >= required_overlap(size_a, size_b, percent))
 
 
+def close_sketches(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Suffix filter: pairs (a, b, a_size, b_size) whose sketches differ in no more bits than linked sets may."""
+    both = pairs.join(sketches.select(F.col("key").alias("a"), F.col("sketch").alias("_sa")), "a").join(
+        sketches.select(F.col("key").alias("b"), F.col("sketch").alias("_sb")), "b")
+    apart = F.aggregate(F.zip_with("_sa", "_sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, m: n + m)
+    size = F.col("a_size") + F.col("b_size")
+    return both.where(apart <= size - 2 * required_overlap(F.col("a_size"), F.col("b_size"), percent)).select("a", "b")
+
+
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets link: suffix filter, then the whole intersection."""
     need = -(-(len(a) + len(b)) * percent // (100 + percent))
@@ -283,7 +311,8 @@ def verified(pairs: DataFrame, class_texts: DataFrame, n: int, percent: int, spr
     pairs = pairs.join(counts, "b").withColumn("part", F.col("part") % F.ceil(F.col("n_partners") / spread))
     members = pairs.select(F.col("a").alias("key"), "b", "part", F.lit(1).alias("role"))
     heads = pairs.select(F.col("b").alias("key"), "b", "part", F.lit(0).alias("role")).distinct()
-    placed = heads.unionByName(members).join(class_texts, "key")
+    places = materialize(heads.unionByName(members))
+    placed = places.join(with_keys(class_texts.select("key", "text"), places.select("key").distinct(), "key"), "key")
     grouped = placed.repartition("b", "part").sortWithinPartitions("b", "part", "role", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,10 +322,7 @@ def verified(pairs: DataFrame, class_texts: DataFrame, n: int, percent: int, spr
             ends = np.cumsum(sizes)
             a, b = [], []
             rows = zip(*(batch.column(c).to_pylist() for c in ("key", "b", "part", "role")), (ends - sizes).tolist(), ends.tolist())
-            keys = set_keys(shingles, sizes).tolist()
-            for (key, group, part, role, start, end), own_key in zip(rows, keys):
-                if key != own_key:  # another text with the doc_id of this class
-                    continue
+            for key, group, part, role, start, end in rows:
                 if role == 0:
                     head, own = (group, part), shingles[start:end].copy()
                 elif head == (group, part) and _linked(shingles[start:end], own, percent):
@@ -334,56 +360,68 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("key"), F.col("v").alias("component")).distinct())
 
 
-def classes_and_components(docs: DataFrame, n: int = N, percent: int = PERCENT, share: float = 0.001,
-                           most_frequent: int = 100_000) -> tuple[DataFrame, DataFrame]:
+def sharing_texts(docs: DataFrame, named: DataFrame, n: int) -> DataFrame:
+    """(key, text, sketch) of the classes of ``named`` (doc_id, key), a row each or more.
+
+    A text that has the doc_id of a class but another set is left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches):
+            shingles, sizes = shingle_sets(_binary(batch), n)
+            own = pa.array(set_keys(shingles, sizes) == batch.column("key").to_numpy(zero_copy_only=False))
+            columns = [batch.column("key"), batch.column("text"), parity_sketches(shingles, sizes)]
+            yield pa.RecordBatch.from_arrays([c.filter(own) for c in columns], ["key", "text", "sketch"])
+
+    texts = with_keys(docs.select(F.col("doc_id").cast("long"), "text"), named, "doc_id")
+    # repeated rows once
+    texts = texts.groupBy("doc_id", "key", F.xxhash64("text")).agg(F.first("text").alias("text"))
+    return texts.select("key", "text").mapInArrow(run, "key long, text string, sketch array<long>")
+
+
+def classes_and_components(docs: DataFrame, n: int = N, percent: int = PERCENT, most_frequent: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key, size) of each document and (key, root) of each linked class.
 
-    ``share`` sets from which share of the documents on a shingle counts as
-    frequent, ``most_frequent`` how many of these are put last in the order;
-    both affect speed only.
+    ``most_frequent`` bounds how many shingles are ordered by frequency, behind
+    all others; it affects speed only, as any order gives the same links.
     """
-    first = materialize(measured(docs, n, share))
+    first = materialize(measured(docs, n))
     rows = first.where("kind = 0").select("doc_id", "key", "size")
-    # bounded by most_frequent; any global order gives the same links
-    often = (first.where("kind = 1").groupBy("key").agg(F.sum("size").alias("df"))
-             .orderBy(F.desc("df"), "key").limit(most_frequent).collect())
-    ranked = np.array([r["key"] for r in reversed(often)], np.int64).view(U64)
+    often = first.where("kind = 1").groupBy("key").agg(F.sum("size").alias("df")).orderBy(F.desc("df"), "key").limit(most_frequent)
+    ranked = often.toArrow().column("key").to_numpy()[::-1].view(U64)  # bounded by most_frequent
     shared = materialize(sharers(prefixes(docs, n, percent, ranked)))
 
-    class_ids = rows.where("size > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    led = shared.where("key != leader").where(
+    named = rows.where("size > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    named = materialize(named.join(shared.select("key").distinct(), "key", "left_semi"))
+    texts = materialize(sharing_texts(docs, named, n), "zstd")
+    sketches = texts.groupBy("key").agg(F.first("sketch").alias("sketch"))
+
+    def close(pairs: DataFrame) -> DataFrame:
+        return materialize(close_sketches(pairs.distinct(), sketches, percent))
+
+    led = shared.where("key != leader_key").where(
         may_link(F.col("size"), F.col("at"), F.col("leader_size"), F.col("leader_at"), percent))
-    led = led.select(F.col("key").alias("a"), F.col("leader").alias("b")).distinct()
-    every = shared.select("key").distinct()
-    named = class_ids.join(every, "key", "left_semi")
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(named, "doc_id")
-    # repeated rows once; the grouping keeps the partitions of the join
-    texts = texts.groupBy("doc_id", "key", F.xxhash64("text")).agg(F.first("text").alias("text"))
-    texts = materialize(texts.select("key", "text"), "zstd")
-    links = materialize(verified(led, texts, n, percent))
-    found = materialize(components(links))
+    led = close(led.select(F.col("key").alias("a"), F.col("leader_key").alias("b"), F.col("size").alias("a_size"), F.col("leader_size").alias("b_size")))
+    found = materialize(components(verified(led, texts, n, percent)))
 
     # who shares a shingle but is not in its leader's component
-    rooted = shared.join(found, "key", "left").withColumn("root", F.coalesce("component", "key")).drop("component")
-    roots = found.select(F.col("key").alias("leader"), F.col("component").alias("leader_root"))
-    rooted = rooted.join(roots, "leader", "left").withColumn("leader_root", F.coalesce("leader_root", "leader"))
-    rooted = materialize(rooted.select("shingle", "key", "size", "at", "root", "leader", "leader_root"))
-    apart = rooted.where("root != leader_root").select(
-        "shingle", F.col("key").alias("a"), F.col("size").alias("a_size"), F.col("at").alias("a_at"), F.col("root").alias("a_root"))
-    mates = rooted.where("key != leader").select(
-        "shingle", F.col("key").alias("b"), F.col("size").alias("b_size"), F.col("at").alias("b_at"), F.col("root").alias("b_root"))
+    roots = found.withColumnRenamed("component", "root")
+    leader_roots = roots.select(F.col("key").alias("leader_key"), F.col("root").alias("leader_root"))
+    rooted = shared.join(roots, "key", "left").join(leader_roots, "leader_key", "left").select(
+        "shingle", "key", "size", "at", "leader_key", F.coalesce("root", "key").alias("root"), F.coalesce("leader_root", "leader_key").alias("leader_root"))
+    rooted = materialize(rooted)
+    apart, mates = (rooted.where(on).select("shingle", *(F.col(c).alias(f"{side}_{c}") for c in ("key", "size", "at", "root")))
+                    for on, side in (("root != leader_root", "a"), ("key != leader_key", "b")))
     more = apart.join(mates, "shingle").where((F.col("a_root") != F.col("b_root")) & may_link(
         F.col("a_size"), F.col("a_at"), F.col("b_size"), F.col("b_at"), percent))
-    more = more.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    more = materialize(more)
-    if more.isEmpty():
-        every_link = found.select(F.col("key").alias("a"), F.col("component").alias("b"))
-        roots = found
-    else:
-        late = materialize(verified(more, texts, n, percent))
-        every_link = found.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(late)
-        roots = materialize(components(every_link))
-    return rows, roots.select("key", F.col("component").alias("root"))
+    turn = F.col("a_key") < F.col("b_key")
+    more = close(more.select(
+        F.greatest("a_key", "b_key").alias("a"), F.least("a_key", "b_key").alias("b"),
+        F.when(turn, F.col("b_size")).otherwise(F.col("a_size")).alias("a_size"), F.when(turn, F.col("a_size")).otherwise(F.col("b_size")).alias("b_size")))
+    if not more.isEmpty():
+        known = found.select(F.col("key").alias("a"), F.col("component").alias("b"))
+        found = components(known.unionByName(verified(more, texts, n, percent)))
+    return rows, found.select("key", F.col("component").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:

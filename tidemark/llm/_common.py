@@ -53,6 +53,11 @@ def with_keys(df: DataFrame, keys: DataFrame, column: str, few: int = FEW_KEYS)
     return df.join(F.broadcast(keys) if keys.count() <= few else keys, column)
 
 
+def without_keys(df: DataFrame, keys: DataFrame, column: str, few: int = FEW_KEYS) -> DataFrame:
+    """Rows whose key isn't in a table of keys; counted and joined like ``with_keys``. Null keys stay."""
+    return df.join(F.broadcast(keys) if keys.count() <= few else keys, column, "left_anti")
+
+
 def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that few texts are Python objects at a time."""
     for batch in batches:

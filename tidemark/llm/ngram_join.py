@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import byte_slices, materialize, with_keys
+from tidemark.llm._common import byte_slices, materialize, with_keys, without_keys
 
 N = 5
 PERCENT = 75
@@ -363,19 +363,23 @@ def components(links: DataFrame) -> DataFrame:
 def sharing_texts(docs: DataFrame, named: DataFrame, n: int) -> DataFrame:
     """(key, text, sketch) of the classes of ``named`` (doc_id, key), a row each or more.
 
-    A text that has the doc_id of a class but another set is left out.
+    A text that has the doc_id of a class but another set is left out; rows that
+    repeat one come once a task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in byte_slices(batches):
             shingles, sizes = shingle_sets(_binary(batch), n)
-            own = pa.array(set_keys(shingles, sizes) == batch.column("key").to_numpy(zero_copy_only=False))
+            own = []
+            for key, found in zip(batch.column("key").to_pylist(), set_keys(shingles, sizes).tolist()):
+                own.append(key == found and key not in seen)
+                if own[-1]:
+                    seen.add(key)
             columns = [batch.column("key"), batch.column("text"), parity_sketches(shingles, sizes)]
-            yield pa.RecordBatch.from_arrays([c.filter(own) for c in columns], ["key", "text", "sketch"])
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(own, pa.bool_())) for c in columns], ["key", "text", "sketch"])
 
     texts = with_keys(docs.select(F.col("doc_id").cast("long"), "text"), named, "doc_id")
-    # repeated rows once
-    texts = texts.groupBy("doc_id", "key", F.xxhash64("text")).agg(F.first("text").alias("text"))
     return texts.select("key", "text").mapInArrow(run, "key long, text string, sketch array<long>")
 
 
@@ -445,12 +449,16 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
 def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """One document of each component, that with the smallest doc_id; columns unchanged.
 
-    Rows that repeat this doc_id stay once, the least of them. A document
-    without words is its own component; rows without a doc_id cannot be named
-    as copies and all stay.
+    A document without words is its own component. Rows that repeat a doc_id
+    stay once, the least of them; a doc_id goes if any of its texts is a copy of
+    a document with a smaller one. Rows without a doc_id cannot be named as
+    copies and all stay.
     """
-    found = near_duplicates(docs, n, percent)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
-    kept = rows.join(keep, rows["_id"] == keep["doc_id"]).groupBy("_id").agg(F.min("_row").alias("_row"))
-    return kept.select("_row").unionByName(rows.where("_id is null").select("_row")).select("_row.*")
+    found = materialize(near_duplicates(docs, n, percent).where("doc_id is not null"))
+    copies = found.where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
+    again = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_id")
+    again = again.join(copies, "_id", "left_anti")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.struct(*docs.columns).alias("_row"))
+    single = without_keys(rows, copies.unionByName(again), "_id")
+    first = with_keys(rows, again, "_id").groupBy("_id").agg(F.min("_row").alias("_row"))
+    return single.unionByName(first).select("_row.*")

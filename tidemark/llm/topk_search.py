@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm._common import shuffle_partitions
+
 LEAF = 64
 FANOUT = 8
 VECTORS, QUERIES = 4096, 1024
@@ -179,6 +181,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) ->
                 found = search(pickle.loads(q.as_py()), pickle.loads(d.as_py()), k)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["query_id", "vec_id", "score"])
 
-    found = answer.join(ask, ["width", "part"]).select("queries", "tree").mapInArrow(run, "query_id long, vec_id long, score long")
+    # pairs of blocks are few and small but costly: deal them over all tasks
+    pairs = answer.join(ask, ["width", "part"]).select("queries", "tree").repartition(shuffle_partitions(vectors.sparkSession))
+    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -80,9 +80,9 @@ def fit(table: DataFrame, n_trees: int = 20, depth: int = 3, penalty: float = 0.
     if not rules:
         return RuleEnsemble(0.0, ())
     flags = rows.select("label", *(F.expr(r).cast("double").alias(f"r{i}") for i, r in enumerate(rules)))
-    hits = materialize(VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="rules").transform(flags).select("label", "rules"))
+    hits = materialize(VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="rules").transform(flags).select("label", "rules").coalesce(4))
     lasso = LogisticRegression(
-        featuresCol="rules", labelCol="label", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=200).fit(hits)
+        featuresCol="rules", labelCol="label", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=60).fit(hits)
     kept = tuple((r, float(w)) for r, w in zip(rules, lasso.coefficients.toArray()) if w)
     return RuleEnsemble(float(lasso.intercept), kept)
 

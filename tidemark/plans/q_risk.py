@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import decision, monitoring, scoring, selection
@@ -155,7 +155,10 @@ def decision_median_open_value(t: Tables) -> DataFrame:
 
 ALERT = "case when psi < 0.1 then 'GREEN' when psi < 0.25 then 'YELLOW' else 'RED' end"
 TRAIN = [1995, 1996, 1997, 1998]
-LATE = F.col("yr") > 1998
+
+
+def late() -> Column:
+    return F.col("yr") > 1998
 
 
 @query(shown(f"select *, {ALERT} as alert from ({psi_sql(['p1'], 'yr <= 1998', 'yr > 1998', 'yr')})", yr="i", feature="s", psi="d", alert="s"))
@@ -168,13 +171,13 @@ HEAT = f"select *, case when psi <= 0.1 then 'GREEN' when psi <= 0.2 then 'YELLO
 
 @query(shown(HEAT, yr="i", feature="s", psi="d", alert="s"))
 def monitor_feature_heat(t: Tables) -> DataFrame:
-    return rounded(monitoring.feature_drift(scored(t), ["p1", "p2", "price", "tax"], ~LATE, LATE, ["yr"]))
+    return rounded(monitoring.feature_drift(scored(t), ["p1", "p2", "price", "tax"], ~late(), late(), ["yr"]))
 
 
 @query(shown(" union all ".join(f"select '{c}' as feature, case when yr <= 1998 then 'train' else 'oot' end as split, avg({c}) as mean, stddev_samp({c}) as std, count(*) as n from ({SCORED}) group by all" for c in ("p1", "price")),
              feature="s", split="s", mean="d", std="d", n="i"))
 def monitor_feature_moments(t: Tables) -> DataFrame:
-    return rounded(monitoring.feature_moments(scored(t).withColumn("split", F.when(LATE, "oot").otherwise("train")), ["p1", "price"], "split"))
+    return rounded(monitoring.feature_moments(scored(t).withColumn("split", F.when(late(), "oot").otherwise("train")), ["p1", "price"], "split"))
 
 
 @query(shown(f"select a.yr as yr, a.ks as ks_champion, a.auc as auc_champion, b.ks as ks_baseline, b.auc as auc_baseline, a.ks - b.ks as delta_ks from ({ranking_sql('p2', 'yr')}) a join ({ranking_sql('p1', 'yr')}) b on a.yr = b.yr",
@@ -200,7 +203,7 @@ def monitor_performance_drift(t: Tables) -> DataFrame:
 
 @query(f"select count(*) filter (where alert = 'RED') as n_red, count(*) filter (where alert = 'YELLOW') as n_yellow, case when count(*) filter (where alert = 'RED') > 0 then 'RETRAIN' when count(*) filter (where alert = 'YELLOW') > 0 then 'WARNING' else 'STABLE' end as status from ({HEAT})")
 def monitor_overall_status(t: Tables) -> DataFrame:
-    return monitoring.overall_status(monitoring.feature_drift(scored(t), ["p1", "p2", "price", "tax"], ~LATE, LATE, ["yr"]))
+    return monitoring.overall_status(monitoring.feature_drift(scored(t), ["p1", "p2", "price", "tax"], ~late(), late(), ["yr"]))
 
 
 @query(f"""select *, case when scores_red > 0 or ks_low > 0 or features_red >= 3 then 2 when scores_yellow > 0 or features_yellow >= 5 then 1 else 0 end as retrain_code from
@@ -210,13 +213,13 @@ def monitor_overall_status(t: Tables) -> DataFrame:
 def monitor_retrain_status(t: Tables) -> DataFrame:
     s = scored(t)
     drift = monitoring.score_drift(s, "p2", "yr", TRAIN)
-    heat = monitoring.feature_drift(s, ["p1", "p2", "price", "tax"], ~LATE, LATE, ["yr"])
+    heat = monitoring.feature_drift(s, ["p1", "p2", "price", "tax"], ~late(), late(), ["yr"])
     return monitoring.retrain_status(drift, heat, ranking_metrics(s, "label", "p2", ["yr"]), 0.001)
 
 
 @query(f"select feature, max(psi) as max_psi, count(*) filter (where alert <> 'GREEN') as n_alerts from ({HEAT}) group by feature", name="monitor_drift_summary")
 def monitor_drift_summary(t: Tables) -> DataFrame:
-    h = monitoring.feature_drift(scored(t), ["p1", "p2", "price", "tax"], ~LATE, LATE, ["yr"])
+    h = monitoring.feature_drift(scored(t), ["p1", "p2", "price", "tax"], ~late(), late(), ["yr"])
     return h.groupBy("feature").agg(F.max("psi").alias("max_psi"), F.count_if(F.col("alert") != "GREEN").alias("n_alerts"))
 
 

@@ -413,6 +413,36 @@ def test_lines_of_odd_documents(docs, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def dropped_of(spark, texts, **options):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r["n_dropped"] for r in line_dedup.dedup_lines(df, **options).orderBy("doc_id").collect()]
+
+
+@pytest.mark.parametrize("line", ["the weekly report for {a} was sent to all of us", "your order for {a} from {b} has been shipped by our team today"])
+def test_recurring_values_of_a_field(spark, line):
+    """A field stays one though each of its values is in two documents."""
+    names, cities = (["".join(x) for x in itertools.islice(itertools.product(letters, repeat=2), 40)] for letters in ("abcdefg", "hijklmn"))
+    texts = [line.format(a=names[i % 40], b=cities[(i + i // 40) % 40]) for i in range(80)]
+    assert dropped_of(spark, texts) == [0] + [1] * 79
+    rng = random.Random(4)
+    others = ["the weekly report for " + " ".join(rng.choices("pqrstuvw", k=7)) for _ in range(30)]
+    assert sum(dropped_of(spark, [*others, *texts])) == 79 + sum(dropped_of(spark, others))
+
+
+def test_line_links_equal_brute_force(spark):
+    """Every line that links with an earlier document's goes, over chains of links."""
+    rng = random.Random(7)
+    texts = [" ".join(["one", "two", "three", *rng.choices("abc", k=rng.choice([5, 9, 12, 17]))]) for _ in range(120)]
+    lines = [x.split() for x in texts]
+    root = list(range(len(lines)))
+    for _ in lines:
+        for i, j in itertools.combinations(range(len(lines)), 2):
+            if len(lines[i]) == len(lines[j]) and 10 * sum(x == y for x, y in zip(lines[i], lines[j])) >= 8 * len(lines[i]):
+                root[i] = root[j] = min(root[i], root[j])
+    want = [int(root.index(r) < i) for i, r in enumerate(root)]
+    assert dropped_of(spark, texts) == want and 10 < sum(want) < 110
+
+
 # ---- vectors ----------------------------------------------------------------------------------
 
 

@@ -443,6 +443,15 @@ def test_line_links_equal_brute_force(spark):
     assert dropped_of(spark, texts) == want and 10 < sum(want) < 110
 
 
+def test_short_lines_of_many_documents_go(spark):
+    """Lines of every length are looked at; short ones need three documents, counted over all."""
+    texts = ["Home\nown words here", "Home\nAll rights reserved.\nall of us were there", "Home\nAll rights reserved.", "all RIGHTS reserved.\n\nwe were there", "we were there\nHome", "\n", "\n"]
+    assert dropped_of(spark, texts) == [0, 1, 2, 1, 1, 0, 0]
+    passage = "\n".join(f"seven words are in this line {x}" for x in "abcdefgh")
+    assert dropped_of(spark, [passage] * 3) == [0, 8, 8]
+    assert dropped_of(spark, texts, short_min_docs=2) == [0, 1, 2, 1, 2, 0, 0]
+
+
 # ---- vectors ----------------------------------------------------------------------------------
 
 

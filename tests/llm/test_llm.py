@@ -452,6 +452,16 @@ def test_short_lines_of_many_documents_go(spark):
     assert dropped_of(spark, texts, short_min_docs=2) == [0, 1, 2, 1, 2, 0, 0]
 
 
+def test_rows_of_numbers_are_not_one_template(spark):
+    """Masked fields are no constant words: rows of a table stay, unless they are the same."""
+    row, other = "2021 14 15.5 3 8 77 41 9", "1998 20 11.2 6 5 31 90 4"
+    assert dropped_of(spark, [row, other, other, row[:-1] + "8"]) == [0, 0, 1, 0]
+    assert dropped_of(spark, ["sales of 12 34 56 78 90 11 12 units", "sales of 98 76 54 32 10 22 21 units"]) == [0, 0]
+    assert dropped_of(spark, ["page 1 of 2"] * 2 + ["page 3 of 9", "page 1 of 2"]) == [0, 1, 0, 1]
+    df = spark.createDataFrame([(1, row), (2, other)], "doc_id long, text string")
+    assert line_dedup.without_recurring_lines(df).count() == 2
+
+
 # ---- vectors ----------------------------------------------------------------------------------
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean, features
-from tidemark.operators import binning, curves, decision, metrics, monitoring, quality, relational, scoring, selection
+from tidemark.operators import binning, curves, decision, metrics, monitoring, profiling, quality, relational, scoring, selection
 from tidemark.plans.book_engine import build_book, build_book_by_snapshot
 from tidemark.plans.books import billing_book, payment_book, recharge_book
 from tidemark.plans.book_spec import Agg, BookSpec
@@ -228,3 +228,26 @@ def test_empty_tables(spark):
     e = spark.createDataFrame([], "y int, s double, k long")
     assert metrics.confusion_at(e, "y", "s", [1]).count() == 0
     assert relational.top_values(e, ["s"]).count() == 0
+
+
+def test_enriched_metadata_counts_exactly(spark):
+    """Every true key is one, and a column of 98 % distinct values isn't."""
+    df = spark.range(5000).select(*(F.xxhash64("id", F.lit(k)).alias(f"key{k}") for k in range(16)), *(
+        F.when(F.col("id") < 100, 0).otherwise(F.xxhash64("id", F.lit(99 + k))).alias(f"measure{k}") for k in range(4)))
+    got = {r["column"]: (r["n_distinct"], r["role"], r["cardinality"]) for r in profiling.enriched_metadata(df, "t").collect()}
+    assert got == {c: (5000, "key", "MUITO ALTA") if c[0] == "k" else (4901, "measure", "MUITO ALTA") for c in df.columns}
+
+
+def test_enriched_metadata_query_equals_brute_force(spark):
+    from tidemark.plans import catalog
+
+    folder = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{folder}/orders.parquet")
+    data, kinds = [r.asDict() for r in table.collect()], profiling.column_kinds(table)
+    got = {r["column"]: r for r in catalog.QUERIES["profile_enriched_metadata"](spark, folder).collect()}
+    assert set(got) == set(kinds)
+    for c, kind in kinds.items():
+        n = len({r[c] for r in data} - {None})
+        role = "constant" if n <= 1 else "date" if kind == "date" else "key" if n > 0.99 * len(data) else "measure" if kind == "numeric" and n > 10 else "category"
+        grade = "CONSTANTE" if n <= 1 else "BAIXA" if n <= 10 else "MEDIA" if n <= 100 else "MUITO ALTA" if n > 0.95 * len(data) else "ALTA"
+        assert (got[c]["role"], got[c]["cardinality"], got[c]["kind"]) == (role, grade, kind)

@@ -143,7 +143,7 @@ def monthly_activity(df: DataFrame, date: str, client: str, value: str, start: s
 def enriched_metadata(df: DataFrame, table: str, n_top: int = 5) -> DataFrame:
     """A row for each column: kind, role, quality, suggested aggregates and features, top values."""
     kinds = df.sparkSession.createDataFrame([(c, k) for c, k in column_kinds(df).items()], "column string, kind string")
-    out = kinds.join(null_profile(df).drop("n"), "column").join(cardinality_profile(df), "column")
+    out = kinds.join(null_profile(df).drop("n"), "column").join(cardinality_profile(df, exact=True), "column")
     role = F.when(F.col("is_constant"), "constant").when(F.col("kind") == "date", "date").when(F.col("may_be_key"), "key").when(
         (F.col("kind") == "numeric") & (F.col("n_distinct") > 10), "measure").otherwise("category")
     suggest = F.when(F.col("role") == "measure", "sum, avg, max, min, stddev").when(F.col("role") == "date", "min, max, datediff").when(

@@ -251,3 +251,8 @@ def test_enriched_metadata_query_equals_brute_force(spark):
         role = "constant" if n <= 1 else "date" if kind == "date" else "key" if n > 0.99 * len(data) else "measure" if kind == "numeric" and n > 10 else "category"
         grade = "CONSTANTE" if n <= 1 else "BAIXA" if n <= 10 else "MEDIA" if n <= 100 else "MUITO ALTA" if n > 0.95 * len(data) else "ALTA"
         assert (got[c]["role"], got[c]["cardinality"], got[c]["kind"]) == (role, grade, kind)
+
+
+def test_histogram_holds_all_scores(spark):
+    df = spark.createDataFrame([(x,) for x in (-5.0, -0.1, 0.0, 9.9, 10.0, 19.9, 20.0, 20.1, 99.0, None)], "s double")
+    assert rows(scoring.score_histogram(df, "s", 0.0, 20.0, 2)) == [(0, 2), (1, 2), (2, 3), (3, 2)]

@@ -116,6 +116,11 @@ def band_distribution(df: DataFrame, band: str, by: list[str]) -> DataFrame:
 
 
 def score_histogram(df: DataFrame, score: str, low: float, high: float, bins: int = 50, by: list[str] | None = None) -> DataFrame:
-    """Counts in equal bins 1..bins; the highest value is in the last one."""
-    b = F.least(F.width_bucket(F.col(score).cast("double"), F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins))
-    return df.where(F.col(score).between(low, high)).groupBy(*(by or []), b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    """Counts in equal bins 1..bins; the value ``high`` is in the last one.
+
+    Scores below ``low`` are in bin 0 and those above ``high`` in bin bins + 1,
+    so that the bins add up to all rows with a score.
+    """
+    v = F.col(score).cast("double")
+    b = F.when(v == high, bins).otherwise(F.width_bucket(v, F.lit(low), F.lit(high), F.lit(bins)))
+    return df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*(by or []), b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))

@@ -68,7 +68,8 @@ def scoring_band_distribution(t: Tables) -> DataFrame:
 
 @query(f"select label, cast(least(floor(price / 2000) + 1, 50) as integer) as bin, count(*) as n from ({SCORED}) where price between 0 and 100000 group by all")
 def scoring_histogram(t: Tables) -> DataFrame:
-    return scoring.score_histogram(scored(t), "price", 0.0, 100000.0, 50, ["label"])
+    """The bins of the range that the SQL defines, without those outside of it."""
+    return scoring.score_histogram(scored(t), "price", 0.0, 100000.0, 50, ["label"]).where("bin between 1 and 50")
 
 
 # ---- decisions ----------------------------------------------------------------------

@@ -12,11 +12,12 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import materialize, row_slices, shuffle_partitions, texts
+from tidemark.llm._common import byte_slices, materialize, shuffle_partitions
 from tidemark.llm.tokens import WordEncoder, default_tokenizer
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -26,25 +27,27 @@ PLAN = "length long, first_rank long, n_ranks long, per_sequence long, first_seq
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Tokenise whole documents and cut the ones longer than ``capacity``.
 
-    A null text counts as empty and yields the end id alone. Extra columns of
-    ``docs`` are ignored; repeated rows yield their pieces again.
+    Null and empty texts yield the end id alone; a very long text is encoded whole
+    and cut then. Extra columns of ``docs`` are ignored, whatever their names;
+    repeated rows yield their pieces again; an empty table has no pieces.
     """
     path = tokenizer or default_tokenizer()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.shared(path)
-        end, step = end_id.to_bytes(4, "little"), 4 * capacity
-        for batch in row_slices(batches):
-            rows: tuple[list, ...] = ([], [], [], [], [])
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                ids = encoder.encode(text) + end
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at:at + step]
-                    for column, value in zip(rows, (doc, k, at // 4, len(part) // 4, zlib.crc32(part))):
-                        column.append(value)
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        for batch in byte_slices(batches, limit=4 << 20):
+            ids, sizes = encoder.encode_column(batch.column("text"))
+            data = memoryview(np.insert(ids, np.cumsum(sizes), end_id).astype("<u4").tobytes())
+            sizes = sizes + 1
+            parts = -(-sizes // capacity)
+            owner = np.repeat(np.arange(len(sizes)), parts)
+            piece = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+            start = piece * capacity
+            length = np.minimum(sizes[owner] - start, capacity)
+            at = (np.cumsum(sizes) - sizes)[owner] + start
+            crcs = [zlib.crc32(data[4 * a:4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(rows, types)],
+                [batch.column("doc_id").take(pa.array(owner)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crcs, pa.int64())],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)

@@ -58,13 +58,6 @@ def without_keys(df: DataFrame, keys: DataFrame, column: str, few: int = FEW_KEY
     return df.join(F.broadcast(keys) if keys.count() <= few else keys, column, "left_anti")
 
 
-def row_slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that few texts are Python objects at a time."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The text column with nulls as empty strings."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -13,43 +13,38 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import unicodedata
+import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import row_slices, texts
-from tidemark.llm.tokens import default_tokenizer
+from tidemark.llm._common import byte_slices, texts
+from tidemark.llm.tokens import byte_letters, default_tokenizer, has_plain_pretokens
 
 SHORT = 256
 NO_MERGE = 1 << 60
 
-#: Characters of Unicode's White_Space.
-SPACES = regex.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
+#: Letters besides ASCII that no normalizer step but lower-casing touches (U+0130 becomes two characters).
+LATIN = "À-ÖØ-öø-įı-ſ"
+SIMPLE = re.compile(f"[\\x00-\\x7f{LATIN}]*")
+#: The pre-tokens of a lower-cased simple text.
+PIECES = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[a-z{LATIN}]+|[0-9]|[^\\t-\\r a-z0-9{LATIN}]+")
 
 _codecs: dict[str, "RankArrayBpe"] = {}
 
 
-def byte_letters() -> list[str]:
-    """The printable letter of each byte in byte-level vocabularies.
-
-    Bytes that print as themselves stand for themselves, the others take the
-    code points from 256 on, in order.
-    """
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    spare = iter(range(0x100, 0x200))
-    return [chr(b if b in plain else next(spare)) for b in range(256)]
-
-
 class RankArrayBpe:
     """Encoder and decoder for a word-level BPE vocabulary file.
 
-    Reads the vocabulary, the merges, the split pattern, the word-end suffix and
-    the added tokens from the file. ``max_words`` bounds each worker's cache of
-    words; emptying it changes no result.
+    Reads the vocabulary, the merges, the word-end suffix and the added tokens
+    from the file. Plain and Latin texts are split here, all others by the
+    normalizer and pre-tokenizer that the library reads from the file, whose
+    Unicode tables they need; the merges are always the rank array's.
+    ``max_words`` bounds each worker's cache of words; emptying it changes no
+    result.
     """
 
     def __init__(self, path: str, max_words: int = 500_000):
@@ -62,17 +57,23 @@ class RankArrayBpe:
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens |= {i: t for t, i in added.items()}
         self.added = added
-        self.added_pattern = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
-        split = spec["pre_tokenizer"]["pretokenizers"][0]
-        self.pattern = regex.compile(split["pattern"]["Regex"])
+        self.added_pattern = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+        if not has_plain_pretokens(spec):
+            raise ValueError(f"{path} is no word-level BPE file with the expected normalizer and pre-tokenizer")
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(path)
+        self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         letters = byte_letters()
+        self.byte_of = {ord(x): b for b, x in enumerate(letters)}
         self.inner = [vocab[x] for x in letters]
         self.last = [vocab[x + self.suffix] for x in letters]
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, (a, b) in enumerate(m if isinstance(m, list) else m.split(" ") for m in model["merges"]):
             self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
         self.max_words = max_words
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[bytes, tuple[int, ...]] = {}
         self.chunks: dict[str, tuple[int, str, str]] = {}
 
     @classmethod
@@ -133,16 +134,17 @@ class RankArrayBpe:
 
     def _plain(self, text: str) -> list[int]:
         """Ids of a text without added tokens."""
-        text = SPACES.sub(" ", unicodedata.normalize("NFC", text))
-        # letter by letter: no final sigma rule
-        text = text.lower() if text.isascii() or "Σ" not in text else "".join(c.lower() for c in text)
+        if SIMPLE.fullmatch(text):
+            words = [w.encode() for w in PIECES.findall(text.lower())]
+        else:
+            words = [w.translate(self.byte_of).encode("latin-1") for w, _ in self.split(self.normalize(text))]
         ids: list[int] = []
-        for word in self.pattern.findall(text):
+        for word in words:
             got = self.words.get(word)
             if got is None:
                 if len(self.words) > self.max_words:
                     self.words.clear()
-                got = tuple(self.merge_word(word.encode()))
+                got = tuple(self.merge_word(word))
                 if len(word) <= SHORT:
                     self.words[word] = got
             ids += got
@@ -190,7 +192,7 @@ def encode_documents(docs: DataFrame, tokenizer: str | None = None) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = RankArrayBpe.shared(path)
-        for batch in row_slices(batches):
+        for batch in byte_slices(batches):
             ids = [codec.encode(t) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -203,7 +205,7 @@ def decode_documents(encoded: DataFrame, tokenizer: str | None = None) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = RankArrayBpe.shared(path)
-        for batch in row_slices(batches):
+        for batch in batches:
             found = [codec.decode(i or []) for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.string())], ["doc_id", "text"])
 
@@ -213,14 +215,15 @@ def decode_documents(encoded: DataFrame, tokenizer: str | None = None) -> DataFr
 def round_trip_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Encode and decode whole texts; counts and digests of both directions.
 
-    Null texts count as empty; repeated rows and null doc_ids are kept as they
-    are; other columns are ignored.
+    Null and empty texts have no ids; a very long text is encoded whole, a very
+    long word with a heap; repeated rows and null doc_ids are kept as they are;
+    other columns are ignored, whatever their names; an empty table gives no rows.
     """
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = RankArrayBpe.shared(path)
-        for batch in row_slices(batches):
+        for batch in byte_slices(batches):
             n, ids, decoded = [], [], []
             for text in texts(batch):
                 count, decimal, back = codec.digest(text)

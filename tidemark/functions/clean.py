@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.curves import quantile_values
+
 INTERNAL = "_"
 
 
@@ -157,8 +159,8 @@ def inf_to_null(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def impute_median(df: DataFrame, columns: list[str], fit_on: Column) -> DataFrame:
     """Fill nulls with exact medians of the rows of ``fit_on``; a column without any stays null."""
-    row = df.where(fit_on).agg(*(F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in columns)).first()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(row[c]).cast("double")) for c in columns})
+    medians = quantile_values(df.where(fit_on), {c: F.col(c) for c in columns}, [0.5])
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c][0]).cast("double")) for c in columns})
 
 
 def impute_mode(df: DataFrame, columns: list[str], fit_on: Column) -> DataFrame:

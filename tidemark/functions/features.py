@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clean import safe_divide
 from tidemark.operators.binning import bin_of, quantile_edges
+from tidemark.operators.curves import quantile_values
 
 
 def missing_features(df: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
@@ -40,10 +41,10 @@ def interactions(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 
 
 def combination_flags(df: DataFrame, pairs: list[tuple[str, str]], level: float = 0.5) -> DataFrame:
-    """1 where both columns of a pair are above their quantile at ``level`` (one aggregate for all)."""
+    """1 where both columns of a pair are above their quantile at ``level``."""
     columns = sorted({c for p in pairs for c in p})
-    row = df.agg(*(F.percentile(F.col(c).cast("double"), F.lit(level)).alias(c) for c in columns)).first()
-    high = {c: F.coalesce(F.col(c) > F.lit(row[c]), F.lit(False)) for c in columns}
+    limits = quantile_values(df, {c: F.col(c) for c in columns}, [level])
+    high = {c: F.coalesce(F.col(c) > F.lit(limits[c][0]), F.lit(False)) for c in columns}
     return df.withColumns({f"{a}_{b}_both_high": (high[a] & high[b]).cast("int") for a, b in pairs})
 
 
@@ -88,8 +89,8 @@ def signed_sqrt(c: Column) -> Column:
 def score_quantile(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Add <column>_q<bins>, the quantile bin of the value, the median's for nulls."""
     edges = quantile_edges(df, [column], bins)[column]
-    row = df.agg(F.percentile(F.col(column).cast("double"), F.lit(0.5)).alias("m")).first()
-    value = F.coalesce(F.col(column).cast("double"), F.lit(row["m"]).cast("double"))
+    (median,) = quantile_values(df, {column: F.col(column)}, [0.5])[column]
+    value = F.coalesce(F.col(column).cast("double"), F.lit(median).cast("double"))
     return df.withColumn(f"{column}_q{bins}", bin_of(value, edges))
 
 

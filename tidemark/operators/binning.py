@@ -9,17 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.curves import quantile_values
+
 
 def quantile_edges(df: DataFrame, columns: list[str], bins: int, approximate: bool = False) -> dict[str, list[float]]:
-    """Distinct edges of equal-frequency bins for many columns, from one aggregate.
+    """Distinct edges of equal-frequency bins for many columns at once.
 
-    Exact edges interpolate linearly; ``approximate`` ones are values of the
-    column, for inputs where an exact sort of every column is too much.
+    Exact edges interpolate linearly between ranks of the counted values;
+    ``approximate`` ones are values of the column, from one aggregate.
     """
     levels = [i / bins for i in range(bins + 1)]
-    of = (lambda c: F.percentile_approx(c, levels, 10_000)) if approximate else (lambda c: F.percentile(c, F.array(*map(F.lit, levels))))
     clean = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
-    row = df.agg(*(of(clean[c]).alias(f"e{i}") for i, c in enumerate(columns))).first()
+    if not approximate:
+        return {c: sorted({e for e in q if e is not None}) for c, q in quantile_values(df, clean, levels).items()}
+    row = df.agg(*(F.percentile_approx(clean[c], levels, 10_000).alias(f"e{i}") for i, c in enumerate(columns))).first()
     return {c: sorted(set(row[f"e{i}"] or [])) for i, c in enumerate(columns)}
 
 

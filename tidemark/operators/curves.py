@@ -24,15 +24,22 @@ def part_of(value: Column, cuts: list[float]) -> Column:
     return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < value))
 
 
-def prefix_sums(df: DataFrame, order: list[str], sums: list[str], by: list[str] | None = None, parts: int | None = None) -> DataFrame:
+def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which null is a value too."""
+    return left.join(right, [left[k].eqNullSafe(right[k]) for k in keys], how).drop(*(right[k] for k in keys))
+
+
+def prefix_sums(df: DataFrame, order: list[str], sums: list[str], by: list[str] | None = None, parts: int | None = None,
+                cuts: list[float] | None = None) -> DataFrame:
     """Add before_<c> and total_<c> for each summed column, in the order given.
 
-    The first order column is cut into parts of similar size; sums run within
-    (by, part) and are shifted by the totals of the parts before, which are few.
+    The first order column is cut into parts of similar size, at ``cuts`` where
+    they are given; sums run within (by, part) and are shifted by the totals of
+    the parts before, which are few.
     """
     by = by or []
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = cut_points(df, order[0], parts)
+    cuts = cut_points(df, order[0], parts) if cuts is None else cuts
     rows = df.withColumn("_part", part_of(F.col(order[0]).cast("double"), cuts))
     totals = rows.groupBy(*by, "_part").agg(*(F.sum(c).alias(f"_t_{c}") for c in sums))
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -42,13 +49,46 @@ def prefix_sums(df: DataFrame, order: list[str], sums: list[str], by: list[str]
         *(F.sum(f"_t_{c}").over(whole).alias(f"total_{c}") for c in sums))
     within = Window.partitionBy(*by, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = rows.withColumns({f"_l_{c}": F.coalesce(F.sum(c).over(within), F.lit(0)) for c in sums})
-    keys = [*by, "_part"]
-    match = [local[k].eqNullSafe(shifts[k]) for k in keys]
-    joined = local.join(shifts, match).drop(*(shifts[k] for k in keys))
+    joined = join_groups(local, shifts, [*by, "_part"])
     return joined.withColumns({f"before_{c}": F.col(f"_l_{c}") + F.col(f"_s_{c}") for c in sums}).drop(
         "_part", *(f"_l_{c}" for c in sums), *(f"_s_{c}" for c in sums))
 
 
+def exact_quantiles(df: DataFrame, values: dict[str, Column], levels: list[float], by: list[str] | None = None) -> DataFrame:
+    """(by, feature, quantiles array): exact quantiles of several values, in each group.
+
+    Equal to ``percentile``, which interpolates linearly, without its buffer of
+    all distinct values: values are counted, the counts cumulated in parts of
+    their range, and the ranks that a level falls between looked up. Nulls don't
+    count; a group without values has no row.
+    """
+    by = by or []
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), c.cast("double").alias("value")) for f, c in values.items())))
+    rows = df.select(*by, pairs.alias("_x")).select(*by, "_x.feature", "_x.value").where("value is not null")
+    counts = rows.groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    placed = prefix_sums(counts, ["value"], ["n"], [*by, "feature"], parts, cut_points(rows, "value", parts))
+    place = [(F.col("total_n") - 1) * F.lit(float(q)) for q in levels]
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("before_n") <= rank) & (rank < F.col("before_n") + F.col("n")), F.col("value")))
+
+    found = placed.groupBy(*by, "feature").agg(
+        F.max("total_n").alias("total_n"), *(at(F.floor(p)).alias(f"_low_{i}") for i, p in enumerate(place)), *(at(F.ceil(p)).alias(f"_high_{i}") for i, p in enumerate(place)))
+
+    def between(i: int) -> Column:
+        low, high = F.col(f"_low_{i}"), F.col(f"_high_{i}")
+        return F.when(low == high, low).otherwise((F.ceil(place[i]) - place[i]) * low + (place[i] - F.floor(place[i])) * high)
+
+    return found.select(*by, "feature", F.array(*(between(i) for i in range(len(levels)))).alias("quantiles"))
+
+
+def quantile_values(df: DataFrame, values: dict[str, Column], levels: list[float]) -> dict[str, list[float | None]]:
+    """The quantiles of several values over all rows: a row each, so they fit on the driver."""
+    found = {r["feature"]: r["quantiles"] for r in exact_quantiles(df, values, levels).collect()}
+    return {f: found.get(f, [None] * len(levels)) for f in values}
+
+
 def score_counts(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
     """(by, score, bad, good): rows with a label and a score, counted by score."""
     rows = df.where(F.col(label).isin(0, 1) & F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.binning import psi_table
-from tidemark.operators.curves import global_rank
+from tidemark.operators.curves import exact_quantiles, global_rank, join_groups
 from tidemark.operators.metrics import confusion_at
 
 
@@ -14,8 +14,11 @@ def labelled_comparison(df: DataFrame, label: str, score: str, by: list[str] | N
     """Score statistics of labelled and unlabelled rows; a null label is no good one."""
     known = F.col(label).isNotNull()
     s = F.col(score).cast("double")
-    return df.groupBy(*(by or []), F.when(known, "labeled").otherwise("unlabeled").alias("population")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(s).alias("mean"), F.percentile(s, F.lit(0.5)).alias("median"), F.stddev_samp(s).alias("std"), F.avg(label).alias("bad_rate"))
+    keys = [*(by or []), "population"]
+    rows = df.withColumn("population", F.when(known, "labeled").otherwise("unlabeled"))
+    t = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(s).alias("mean"), F.stddev_samp(s).alias("std"), F.avg(label).alias("bad_rate"))
+    medians = exact_quantiles(rows, {score: s}, [0.5], keys).select(*keys, F.col("quantiles")[0].alias("median"))
+    return join_groups(t, medians, keys, "left")
 
 
 def labelled_psi(df: DataFrame, label: str, score: str) -> DataFrame:
@@ -68,9 +71,9 @@ def unlabelled_projection(df: DataFrame, label: str, score: str, cutoffs: list[f
 
 def cross_period_swap(df: DataFrame, period: str, first: object, second: object, label: str, prob: str, shares: list[float]) -> DataFrame:
     """The riskiest shares by the first period's quantiles, applied to both periods."""
-    levels = F.array(*(F.lit(1 - s) for s in shares))
-    cuts = df.where(F.col(period) == first).agg(F.percentile(F.col(prob).cast("double"), levels).alias("cuts")).select(
-        F.explode(F.arrays_zip(F.array(*map(F.lit, shares)).alias("share"), F.col("cuts").alias("cut"))).alias("x")).select(F.col("x.share").alias("share"), F.col("x.cut").alias("cut"))
+    found = exact_quantiles(df.where(F.col(period) == first), {prob: F.col(prob)}, [1 - s for s in shares])
+    cuts = found.select(
+        F.explode(F.arrays_zip(F.array(*map(F.lit, shares)).alias("share"), F.col("quantiles").alias("cut"))).alias("x")).select(F.col("x.share").alias("share"), F.col("x.cut").alias("cut"))
     rows = df.where(F.col(period).isin(first, second)).groupBy(F.col(period).alias("period"), F.col(prob).cast("double").alias("p")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(label).alias("bad"))
     # one row for each share
@@ -95,9 +98,8 @@ def ranking_overlap(df: DataFrame, label: str, score: str, oracle: str, key: str
 
 def tail_shift(df: DataFrame, score: str, snapshot: str, share: float = 0.1) -> DataFrame:
     """Means of the top and bottom share of scores in each snapshot, and their change from the one before."""
-    levels = F.array(F.lit(share), F.lit(1 - share))
     s = F.col(score).cast("double")
-    cuts = df.groupBy(snapshot).agg(F.percentile(s, levels).alias("_c"))
+    cuts = exact_quantiles(df, {score: s}, [share, 1 - share], [snapshot]).select(snapshot, F.col("quantiles").alias("_c"))
     t = df.join(cuts, snapshot).groupBy(snapshot).agg(
         F.avg(F.when(s >= F.col("_c")[1], s)).alias("top_mean"), F.avg(F.when(s <= F.col("_c")[0], s)).alias("bottom_mean"))
     w = Window.orderBy(snapshot)
@@ -117,4 +119,4 @@ def financial_impact(df: DataFrame, label: str, score: str, cutoffs: list[float]
 
 
 def median_open_value(df: DataFrame, value: str) -> DataFrame:
-    return df.where(F.col(value) > 0).agg(F.percentile(F.col(value).cast("double"), F.lit(0.5)).alias("lgd"))
+    return exact_quantiles(df.where(F.col(value) > 0), {value: F.col(value)}, [0.5]).agg(F.max(F.col("quantiles")[0]).alias("lgd"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.binning import bin_of, quantile_edges
-from tidemark.operators.curves import curve, global_rank, prefix_sums, score_counts
+from tidemark.operators.curves import curve, exact_quantiles, global_rank, prefix_sums, score_counts
 
 
 def ranking_metrics(df: DataFrame, label: str, score: str, by: list[str] | None = None, min_rows: int = 0) -> DataFrame:
@@ -221,7 +221,7 @@ def disagreement(df: DataFrame, scores: list[str], top: float = 0.95) -> DataFra
     rows = df.withColumn("_a", a).withColumn("_mean", mean).withColumns({
         "score_range": F.array_max("_a") - F.array_min("_a"),
         "score_std": F.sqrt(F.aggregate(F.transform("_a", lambda x: (x - F.col("_mean")) ** 2), F.lit(0.0), lambda x, y: x + y) / n)})
-    limit = rows.agg(F.percentile("score_std", F.lit(top)).alias("limit"))  # one row
+    limit = exact_quantiles(rows, {"score_std": F.col("score_std")}, [top]).agg(F.max(F.col("quantiles")[0]).alias("limit"))  # one row
     return rows.join(F.broadcast(limit)).withColumn("disputed", F.col("score_std") > F.col("limit")).drop("_a", "_mean", "limit")
 
 

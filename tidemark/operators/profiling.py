@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.curves import exact_quantiles, join_groups
+
 
 def column_kind(kind: T.DataType) -> str:
     if isinstance(kind, T.NumericType):
@@ -69,9 +71,10 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
         aggs |= {f"n_{i}": F.count(v), f"total_{i}": F.sum(v), f"mean_{i}": F.avg(v), f"std_{i}": F.stddev_samp(v), f"least_{i}": F.min(v), f"most_{i}": F.max(v),
-                 f"percentiles_{i}": F.percentile(v, F.array(*map(F.lit, PERCENTS))), f"n_zero_{i}": F.count_if(v == 0), f"n_negative_{i}": F.count_if(v < 0)}
-    out = _unpivoted(df, columns, aggs, ["n", "total", "mean", "std", "least", "most", "percentiles", "n_zero", "n_negative"])
-    out = out.withColumns({f"p{round(p * 100)}": F.col("percentiles")[i] for i, p in enumerate(PERCENTS)}).drop("percentiles")
+                 f"n_zero_{i}": F.count_if(v == 0), f"n_negative_{i}": F.count_if(v < 0)}
+    out = _unpivoted(df, columns, aggs, ["n", "total", "mean", "std", "least", "most", "n_zero", "n_negative"])
+    quantiles = exact_quantiles(df, {c: F.col(c) for c in columns}, PERCENTS).withColumnRenamed("feature", "column")
+    out = out.join(quantiles, "column", "left").withColumns({f"p{round(p * 100)}": F.col("quantiles")[i] for i, p in enumerate(PERCENTS)}).drop("quantiles")
     iqr = F.col("p75") - F.col("p25")
     return out.withColumns({"low_fence": F.col("p25") - 1.5 * iqr, "high_fence": F.col("p75") + 1.5 * iqr})
 
@@ -127,10 +130,12 @@ def date_agreement(df: DataFrame, dates: list[str]) -> DataFrame:
 
 
 def label_summary(df: DataFrame, columns: list[str], label: str) -> DataFrame:
-    """Mean, deviation and median of each column by label, in one aggregate."""
+    """Mean, deviation and median of each column by label."""
     pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns)))
-    return df.select(label, pairs.alias("x")).groupBy("x.column", label).agg(
-        F.count("x.v").alias("n"), F.avg("x.v").alias("mean"), F.stddev_samp("x.v").alias("std"), F.percentile("x.v", F.lit(0.5)).alias("median"))
+    t = df.select(label, pairs.alias("x")).groupBy("x.column", label).agg(
+        F.count("x.v").alias("n"), F.avg("x.v").alias("mean"), F.stddev_samp("x.v").alias("std"))
+    medians = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.5], [label]).select(label, F.col("feature").alias("column"), F.col("quantiles")[0].alias("median"))
+    return join_groups(t, medians, ["column", label], "left")
 
 
 def monthly_activity(df: DataFrame, date: str, client: str, value: str, start: str, end: str) -> DataFrame:

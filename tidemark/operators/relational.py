@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.clean import select_with_prefix
-from tidemark.operators.curves import global_rank, tile
+from tidemark.operators.curves import global_rank, prefix_sums, tile
 
 # ---- joins ----------------------------------------------------------------------
 
@@ -151,10 +151,9 @@ def score_tiles(df: DataFrame, score: str, key: str, tiles: int = 10, by: list[s
 
 def share_of_total(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """Sum of a value by group, its share, and the share cumulated from the greatest on."""
-    t = df.groupBy(*by).agg(F.sum(value).alias("total"))
-    whole = Window.partitionBy()
-    run = Window.orderBy(F.desc("total"), *by).rowsBetween(Window.unboundedPreceding, 0)
-    return t.withColumns({"share": F.col("total") / F.sum("total").over(whole), "cum_share": F.sum("total").over(run) / F.sum("total").over(whole)})
+    t = df.groupBy(*by).agg(F.sum(value).alias("total")).withColumn("_o", -F.col("total").cast("double"))
+    t = prefix_sums(t, ["_o", *by], ["total"])
+    return t.select(*by, "total", (F.col("total") / F.col("total_total")).alias("share"), ((F.col("before_total") + F.col("total")) / F.col("total_total")).alias("cum_share"))
 
 
 def until_share(df: DataFrame, by: list[str], value: str, limit: float = 0.9) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.binning import bin_of, quantile_edges
+from tidemark.operators.curves import exact_quantiles, join_groups
 
 BANDS = ["CRITICO", "ALTO", "MEDIO", "BAIXO"]
 
@@ -43,15 +45,15 @@ def scorecard_points(coefficients: DataFrame, pdo: float = 50, base: float = 600
 def quantile_class(df: DataFrame, prob: str, classes: int = 5, snapshot: str | None = None) -> DataFrame:
     """Add ``risk_class`` 1..classes by probability, with edges of each snapshot.
 
-    All snapshots' edges come from one aggregate, a row each.
+    All snapshots' edges are found together, a row each.
     """
     if snapshot is None:
         edges = quantile_edges(df, [prob], classes)[prob]
         return df.withColumn("risk_class", bin_of(F.col(prob), edges) + 1)
-    levels = F.array(*(F.lit(i / classes) for i in range(1, classes)))
-    edges = df.groupBy(snapshot).agg(F.array_distinct(F.percentile(prob, levels)).alias("_e"))
+    levels = [i / classes for i in range(1, classes)]
+    edges = exact_quantiles(df, {prob: F.col(prob)}, levels, [snapshot]).select(snapshot, F.array_distinct("quantiles").alias("_e"))
     n = F.size(F.filter("_e", lambda e: F.col(prob) > e))
-    return df.join(edges, snapshot).withColumn("risk_class", F.when(F.col(prob).isNotNull(), n + 1)).drop("_e")
+    return df.join(edges, snapshot, "left").withColumn("risk_class", F.when(F.col(prob).isNotNull(), n + 1)).drop("_e")
 
 
 def probability_of(model_output: str = "probability") -> Column:
@@ -77,7 +79,7 @@ def batch_score_external(predict: Callable, df: DataFrame, keys: list[str], feat
 
     def run(frames: Iterator) -> Iterator:
         for pdf in frames:
-            yield pdf[keys].assign(_p=[float(p) for p in predict(pdf[features])])
+            yield pdf[keys].assign(_p=np.asarray(predict(pdf[features]), dtype=float))
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
     found = df.select(*dict.fromkeys([*keys, *features])).mapInPandas(run, f"{schema}, _p double")
@@ -102,8 +104,9 @@ def validate_scores(df: DataFrame, keys: list[str], snapshot: str, expected: lis
 
 def score_statistics(df: DataFrame, score: str, by: list[str]) -> DataFrame:
     s = F.col(score).cast("double")
-    p = F.percentile(s, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return df.groupBy(*by).agg(F.count(s).alias("n"), F.avg(s).alias("mean"), F.stddev_samp(s).alias("std"), F.min(s).alias("least"), F.max(s).alias("most"), p.alias("_p")).select(
+    t = df.groupBy(*by).agg(F.count(s).alias("n"), F.avg(s).alias("mean"), F.stddev_samp(s).alias("std"), F.min(s).alias("least"), F.max(s).alias("most"))
+    quartiles = exact_quantiles(df, {score: s}, [0.25, 0.5, 0.75], by).withColumnRenamed("quantiles", "_p").drop("feature")
+    return join_groups(t, quartiles, by, "left").select(
         *by, "n", "mean", "std", "least", F.col("_p")[0].alias("p25"), F.col("_p")[1].alias("median"), F.col("_p")[2].alias("p75"), "most")
 
 

@@ -36,7 +36,7 @@ def _states(a: Agg, date: str) -> dict[str, tuple[Column, str]]:
         case "avg":
             return {"n": (n, "sum"), "s": (F.sum(number), "sum")}
         case "stddev":
-            return {"n": (n, "sum"), "s": (F.sum(number), "sum"), "q": (F.sum(number * number), "sum")}
+            return {"n": (n, "sum"), "s": (F.sum(number), "sum"), "q": (n * F.var_pop(number), "sum")}
         case "max" | "last_date":
             return {"m": (F.max(value), "max")}
         case "min" | "first_date":
@@ -48,7 +48,7 @@ def _states(a: Agg, date: str) -> dict[str, tuple[Column, str]]:
 
 def _final(a: Agg, c: str) -> Column:
     """The aggregate's value from its cumulated states, columns named c_*."""
-    n, s, q, m = (F.col(f"{c}_{k}") for k in "nsqm")
+    n, s, q, m = (F.col(f"{c}_{k}") for k in "nsqm")  # q: sum of squared deviations from the mean
     match a.kind:
         case "count":
             return n
@@ -57,7 +57,9 @@ def _final(a: Agg, c: str) -> Column:
         case "avg":
             return F.when(n > 0, s / n)
         case "stddev":
-            return F.when(n > 1, F.sqrt(F.greatest((q - s * s / n) / (n - 1), F.lit(0.0))))
+            # n * mean offset and its square, from the client's first mean
+            d, e = F.col(f"{c}_d"), F.col(f"{c}_e")
+            return F.when(n > 1, F.sqrt(F.greatest(q + e - d * d / n, F.lit(0.0)) / (n - 1)))
         case "latest":
             return m["v"]
     return m
@@ -93,6 +95,13 @@ def build_book(facts: DataFrame, spec: BookSpec, cutoffs: dict[int, str]) -> Dat
         state = state.join(news, [client, "_at"], "left")
         merge |= {f"{a.name}_n": "sum" for a in counted}
 
+    # the squared deviations of snapshots merge around the client's first mean, so that no large squares cancel
+    first = Window.partitionBy(client).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    for a in (a for a in plain if a.kind == "stddev"):
+        n, mean = F.col(f"{a.name}_n"), F.try_divide(f"{a.name}_s", f"{a.name}_n")
+        off = mean - F.first(mean, ignorenulls=True).over(first)
+        state = state.withColumns({f"{a.name}_d": n * off, f"{a.name}_e": n * off * off})
+        merge |= {f"{a.name}_d": "sum", f"{a.name}_e": "sum"}
     so_far = Window.partitionBy(client).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     running = {c: {"sum": F.sum, "max": F.max, "min": F.min}[how](c).over(so_far).alias(c) for c, how in merge.items()}
     until = F.coalesce(F.lead("_at").over(Window.partitionBy(client).orderBy("_at")), F.lit(len(dates)))

@@ -256,3 +256,31 @@ def test_enriched_metadata_query_equals_brute_force(spark):
 def test_histogram_holds_all_scores(spark):
     df = spark.createDataFrame([(x,) for x in (-5.0, -0.1, 0.0, 9.9, 10.0, 19.9, 20.0, 20.1, 99.0, None)], "s double")
     assert rows(scoring.score_histogram(df, "s", 0.0, 20.0, 2)) == [(0, 2), (1, 2), (2, 3), (3, 2)]
+
+
+def test_book_deviation_of_large_values(spark):
+    """Values of 1e9 that differ by 1, over several snapshots, against stddev."""
+    rows = [(i % 3, f"2024-01-{1 + i % 28:02d} 00:00:00", 1e9 + i % 3 * (i % 2) + i % 5 if i % 3 else 1e-3 * (i % 7)) for i in range(3000)]
+    facts = spark.createDataFrame(rows, "c int, d string, v double").withColumn("d", F.col("d").cast("timestamp"))
+    spec = BookSpec(client="c", date="d", aggregates=[Agg("std", "stddev", "v")])
+    cutoffs = {1: "2024-01-02", 2: "2024-01-09", 3: "2024-01-20", 4: "2024-02-01"}
+    got = {(r["c"], r["snapshot"]): r["std"] for r in build_book(facts, spec, cutoffs).collect()}
+    assert len(got) == 12
+    for k, cut in cutoffs.items():
+        for r in facts.where(F.col("d") < cut).groupBy("c").agg(F.stddev("v").alias("s")).collect():
+            assert got[r["c"], k] == pytest.approx(r["s"], rel=1e-9)
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    """Also with ties, nulls, null groups, a group without values and one row."""
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 3).alias("g"), F.when(F.col("id") % 7 > 0, F.pmod(F.xxhash64("id"), F.lit(1000)) / 7).alias("x"),
+        F.when(F.col("id") % 2 == 0, 3.5).otherwise(-1.0).alias("y"), F.when(F.col("id") == 9, 1.0).alias("z"))
+    levels = [0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0]
+    values = {c: F.col(c) for c in "xyz"}
+    for by in ([], ["g"]):
+        got = {(*(r[b] for b in by), r["feature"]): r["quantiles"] for r in curves.exact_quantiles(df, values, levels, by).collect()}
+        for r in df.groupBy(*by).agg(*(F.percentile(c, F.array(*map(F.lit, levels))).alias(c) for c in "xyz")).collect():
+            for c in "xyz":
+                assert got.get((*(r[b] for b in by), c)) == r[c]
+    assert curves.quantile_values(df.where("false"), values, [0.5]) == {"x": [None], "y": [None], "z": [None]}

@@ -1,6 +1,9 @@
 """Every registered query with SQL gives the SQL's rows on the smallest tables."""
 
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -35,6 +38,18 @@ def test_query_matches_sql(spark, duck, name):
     assert got == want
 
 
+def test_the_rest_works_without_the_llm_folders(tmp_path):
+    """The library, its queries and their SQL stand without the training-data part, with or without the pipeline's file."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for name, left_out in (("a", ("llm", "corpus_pipeline.py")), ("b", ("llm",))):
+        copy = tmp_path / name
+        shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", *left_out))
+        code = ("import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert 'book_payment' in q and set(o) <= set(q) and not any(x == 'pipeline' or x.startswith('op1') for x in q); "
+                "import importlib, pkgutil, tidemark; [importlib.import_module(m.name) for m in pkgutil.walk_packages(tidemark.__path__, 'tidemark.')]; print('fine')")
+        out = subprocess.run([sys.executable, "-c", code], cwd=copy, env=os.environ | {"PYTHONPATH": str(copy)}, capture_output=True, text=True)
+        assert out.stdout.strip() == "fine", out.stderr
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 

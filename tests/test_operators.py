@@ -268,7 +268,7 @@ def test_book_deviation_of_large_values(spark):
     assert len(got) == 12
     for k, cut in cutoffs.items():
         for r in facts.where(F.col("d") < cut).groupBy("c").agg(F.stddev("v").alias("s")).collect():
-            assert got[r["c"], k] == pytest.approx(r["s"], rel=1e-9)
+            assert got[r["c"], k] == pytest.approx(r["s"], rel=1e-7)
 
 
 def test_exact_quantiles_equal_percentile(spark):

@@ -30,7 +30,8 @@ ODD = [
 def docs(spark):
     """Odd documents, with further columns whose names clash with results."""
     df = spark.createDataFrame(ODD, "doc_id long, text string")
-    return df.withColumns({"n_words": F.lit("clash"), "score": F.lit("clash"), "kept": F.lit(1), "size": F.lit(0), "_id": F.lit(2)}).repartition(3).cache()
+    return df.withColumns({"n_words": F.lit("clash"), "score": F.lit("clash"), "kept": F.lit(1), "size": F.lit(0), "_id": F.lit(2),
+                           "_drop": F.lit(3), "_counts": F.lit(4), "_row": F.lit(5), "row": F.lit(6), "id": F.lit(7), "drop": F.lit("x"), "a.b": F.lit(8), "edits": F.lit(9), "n_upper": F.lit(10)}).repartition(3).cache()
 
 
 @pytest.fixture(scope="module")
@@ -512,6 +513,71 @@ def test_all_exact_lines_are_dropped(corpus):
         assert exact <= dropped[d]  # and lines of near copies, which differ in a field
 
 
+def test_texts_of_one_id_lose_their_own_lines(spark):
+    """Two texts under one doc_id: what recurs in the first doesn't cost the second its line there."""
+    shared, own = "this passage of nine words stands in many documents", "a unique line of nine words that nobody holds"
+    df = spark.createDataFrame([(3, shared), (5, f"{shared}\nmore"), (5, f"{own}\n{own} too"), (5, f"{own}\n{own} too")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_dropped"], r["clean_text"]) for r in line_dedup.dedup_lines(df).collect())
+    assert got == sorted([(3, 0, shared), (5, 1, "more"), (5, 0, f"{own}\n{own} too"), (5, 0, f"{own}\n{own} too")])
+
+
+def dropped_lines(rows, min_words=8, depth=3, similarity=0.8, min_docs=2, short_min_docs=3):
+    """The same tree line by line: (doc_id, text) -> numbers of the lines that go."""
+    leaves, prints = defaultdict(dict), {}
+    for d, text in rows:
+        for i, line in enumerate((text or "").split("\n")):
+            w = tuple(re.findall(WORDS, "".join(c.lower() if c.isascii() else c for c in line)))
+            if not w or text is None:
+                continue
+            masked = tuple("<field>" if re.search("[0-9]", x) else x for x in w)
+            need = -(-round(len(w) * similarity * 1000) // 1000)
+            general = len(w) - masked.count("<field>") >= need
+            key = masked if general else w
+            leaf = (len(w), key[:depth])
+            prints[d, text, i] = (leaf, key, general)
+            leaves[leaf].setdefault((key, general), set()).add(d)
+    template = {}
+    for leaf, variants in leaves.items():
+        keys = list(variants)
+        root = {k: k for k in keys}
+
+        def find(k):
+            while root[k] != k:
+                k = root[k]
+            return k
+
+        need = -(-round(leaf[0] * similarity * 1000) // 1000)
+        for a, b in itertools.combinations([k for k in keys if k[1]], 2):
+            if sum(x == y != "<field>" for x, y in zip(a[0], b[0])) >= need:
+                root[find(a)] = find(b)
+        for k in keys:
+            template[leaf, k] = (leaf, find(k))
+    holders = defaultdict(set)
+    for (leaf, k), t in template.items():
+        holders[t] |= leaves[leaf][k]
+    out = defaultdict(set)
+    for (d, text, i), (leaf, key, general) in prints.items():
+        own = holders[template[leaf, (key, general)]]
+        if len(own) >= (min_docs if leaf[0] >= min_words else short_min_docs) and d > min(own):
+            out[d, text].add(i)
+    return out
+
+
+def test_dropped_lines_equal_brute_force(spark, corpus):
+    """Which lines go, both ways, on whole documents with numbers, copies and short lines."""
+    rng = random.Random(5)
+    rows = [(r["doc_id"], r["text"]) for r in corpus.collect()]
+    rows += [(90_000 + i, "\n".join(rng.choice(["report {} of the daily sales meeting was sent to {}", "Home {}", "see you there", "the total of {} {} {} {} units", "all of these words {} come back again {} and again"]).format(
+        *(rng.choice([rng.randrange(40), "anna", "boris", "the"]) for _ in range(4))) for _ in range(4))) for i in range(60)]
+    want = dropped_lines(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for r in line_dedup.dedup_lines(df).collect():
+        gone = want.get((r["doc_id"], r["text"]), set())
+        clean = r["text"] and "\n".join(x for i, x in enumerate(r["text"].split("\n")) if i not in gone)
+        assert (r["n_dropped"], r["clean_text"]) == (len(gone), clean if gone else r["text"])
+    assert sum(map(len, want.values())) > 100
+
+
 def test_lines_of_odd_documents(docs, none):
     out = line_dedup.dedup_lines(docs)
     assert out.count() == len(ODD) and out.where("doc_id = 12").first()["n_dropped"] == 0

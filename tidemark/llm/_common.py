@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -36,6 +36,21 @@ def materialize(df: DataFrame, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark reads it literally."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def as_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, whatever their names."""
+    return F.struct(*(F.col(quoted(c)).alias(c) for c in df.columns))
+
+
+def of_row(row: str, names: list[str]) -> list[Column]:
+    """The columns of such a struct."""
+    return [F.col(f"{row}.{quoted(c)}").alias(c) for c in names]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

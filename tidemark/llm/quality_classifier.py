@@ -15,7 +15,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import materialize
+from tidemark.llm._common import as_row, materialize, of_row
 from tidemark.llm.quality_rules import FEATURES, labelled_statistics, with_statistics
 
 SPLIT = re.compile(r"^(\s*)(?:If|Else) \(feature (\d+) (<=|>) (\S+)\)$")
@@ -104,5 +104,5 @@ def scored(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
     """The documents that are predicted to be of good quality, columns unchanged."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    return with_statistics(rows).where(model.score() >= 0.5).select("_row.*")
+    rows = docs.select(as_row(docs).alias("row"), "text")
+    return with_statistics(rows).where(model.score() >= 0.5).select(*of_row("row", docs.columns))

@@ -15,13 +15,14 @@ from math import log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import materialize
+from tidemark.llm._common import as_row, materialize, of_row
 
 #: Words are what stands between these characters.
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+EXTRA = ["n_upper", "n_marks", "n_bangs", "n_stops", "n_adjacent"]
 FEATURES = {
     "n_words": "n_words",
     "mean_word": "word_chars / greatest(n_words, 1)",
@@ -77,13 +78,18 @@ def _count_of(text: Column, characters: str) -> Column:
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """Add the statistics of whole texts to ``docs``; a null text counts as empty."""
+    """Add the statistics of whole texts to ``docs``; a null text counts as empty.
+
+    Columns with the names of statistics are replaced, all others stay.
+    """
+    names = [c for c in docs.columns if c not in {*STATISTICS, *EXTRA}]
+    docs = docs.select(as_row(docs).alias("row"), "text")
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.filter(F.split(text, "[ \\t-\\r]+"), lambda w: w != "")
     lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, BLANKS, "") != "")
     bare = F.translate(text, BLANKS, "")
     out = docs.withColumns({
-        "_counts": _let(words, lambda w: F.struct(
+        "counts": _let(words, lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"),
             _repeated_words(w).alias("n_repeat_words"),
             F.size(F.filter(w, lambda x, i: (i > 0) & (x == F.get(w, i - 1)))).cast("long").alias("n_adjacent"))),
@@ -95,10 +101,8 @@ def with_statistics(docs: DataFrame) -> DataFrame:
         "n_bangs": _count_of(text, "!"),
         "n_stops": _count_of(text, ".?"),
     })
-    return out.withColumns({c: F.col(f"_counts.{c}") for c in ("n_words", "n_repeat_words", "n_adjacent")}).drop("_counts")
-
-
-EXTRA = ["n_upper", "n_marks", "n_bangs", "n_stops", "n_adjacent"]
+    within = ("n_words", "n_repeat_words", "n_adjacent")
+    return out.select(*of_row("row", names), *(F.col(f"counts.{c}" if c in within else c).alias(c) for c in [*STATISTICS, *EXTRA]))
 
 
 def base_failed() -> Column:
@@ -236,9 +240,11 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> list[Ru
 def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """``docs`` with statistics, base_failed and kept.
 
-    Null and empty texts have no words and fail the base rules; repeated rows
-    are judged each on their own; extra columns stay, but columns with the
-    names of statistics are replaced.
+    Null and empty texts have no words and fail the base rules; a very long text
+    is measured whole; repeated rows are judged each on their own, and ties with
+    a threshold fall on its upper side; extra columns stay, but columns with the
+    names of statistics and of the verdict are replaced. An empty table gives no
+    rows.
     """
     return with_statistics(docs).withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & verdict(rules))
@@ -246,5 +252,5 @@ def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """The documents that the base rules and the learned list keep, columns unchanged."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
-    return judge(rows, rules).where("kept").select("_row.*")
+    rows = docs.select(as_row(docs).alias("row"), "text")
+    return judge(rows, rules).where("kept").select(*of_row("row", docs.columns))

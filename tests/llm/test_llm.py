@@ -456,18 +456,73 @@ def test_components_equal_brute_force(spark, seed):
     assert Counter(map(tuple, ngram_join.near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect())) == brute_components(rows)
 
 
+def test_sets_with_one_fingerprint_stay_apart(spark):
+    """Sets that share their first fingerprint are told apart by the second."""
+    rows = near_copies(5, 8)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    first = ngram_join.measured(df, 5).where("kind = 0")
+    local, shared = ngram_join.class_keys(first.select("doc_id", "print", F.col("key").bitwiseAND(F.lit(3)).alias("key"), "check", "size"))
+    assert len(shared) == 4 and local.select("key").distinct().count() == first.select("check").distinct().count()
+
+
+def test_pairs_within_a_passage_grow_with_its_documents(spark):
+    """Documents that share a passage but don't link are never paired off, whatever their number."""
+    common = " ".join(f"common{j}" for j in range(19))
+    met = {}
+    for n in (1000, 4000):
+        df = spark.createDataFrame([(i, " ".join(f"own{i}x{j}" for j in range(5)) + " " + common) for i in range(n)], "doc_id long, text string").repartition(4)
+        ranked = ngram_join.frequent_shingles(ngram_join.measured(df, 5).where("kind = 1"), 1000)
+        assert len(ranked) >= 15
+        shared = ngram_join.sharers(ngram_join.prefixes(df, 5, 75, ranked, np.empty(0, np.int64)))
+        assert shared.count() >= n
+        rooted = shared.withColumns({"root": F.col("key"), "leader_root": F.col("leader_key")})
+        met[n] = ngram_join.repair_pairs(rooted, 75).count()
+        got = ngram_join.near_duplicates(df)
+        assert got.where("doc_id = component_id").count() == n
+    assert met == {1000: 0, 4000: 0}
+
+
+def test_size_limits_are_what_may_link_allows(spark):
+    df = spark.range(1, 61).selectExpr("id as s").crossJoin(spark.range(1, 61).selectExpr("id as u")).crossJoin(spark.range(0, 20).selectExpr("id as t")).where("t < s")
+    low, high = ngram_join.size_limits(F.col("s"), F.col("t"), 75)
+    ok = ngram_join.may_link(F.col("s"), F.col("t"), F.col("u"), F.lit(0), 75)
+    assert df.where(ok != F.col("u").between(low, high) & (F.least("u", F.col("s") - F.col("t")) >= ngram_join.required_overlap(F.col("s"), F.col("u"), 75))).count() == 0
+    assert df.where(ok & ~F.col("u").between(low, high)).count() == 0
+    c = ngram_join.size_class
+    assert spark.range(1, 5000).where(c(F.col("id")) > c(F.col("id") + 1)).count() == 0
+
+
+def test_components_with_a_hub(spark):
+    links = [(i, 500) for i in range(200)] + [(500, 3), (900, 901), (901, 902)]
+    df = spark.createDataFrame(links, "a long, b long")
+    got = [dict(map(tuple, ngram_join.components(df, hub).collect())) for hub in (10, 1_000_000)]
+    assert got[0] == got[1] == {**{i: 0 for i in [*range(200), 500]}, 900: 900, 901: 900, 902: 900}
+
+
 def test_one_of_each_group_stays(spark, docs, none):
     rows = near_copies(3, 10)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("mine"))
     kept = ngram_join.keep_one(df)
     assert kept.columns == df.columns
     want = {c for d, _, c in brute_components(rows)}
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
+    blank = sum(d not in {x for x, t in rows if t and t.strip()} for d, _ in rows)
+    assert blank == 3 and sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
+    by_shuffles = ngram_join.keep_one(df, few=0)
+    assert Counter(map(tuple, by_shuffles.collect())) == Counter(map(tuple, kept.collect()))
     odd = ngram_join.keep_one(docs)
     assert odd.columns == docs.columns and odd.where("doc_id is null").count() == 1 and odd.where("doc_id in (5, 6)").count() == 1
     assert ngram_join.near_duplicates(none).count() == 0 and ngram_join.keep_one(none).count() == 0
 
 
+def test_texts_of_one_id_and_rows_without_one(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    df = spark.createDataFrame([(1, a), (1, b), (1, b), (2, b + " more"), (None, a + " more"), (None, c), (None, c + " more"), (3, None), (3, None), (None, " ")], "doc_id long, text string")
+    kept = ngram_join.keep_one(df).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter({(1, a): 1, (1, b): 1, (3, None): 2, (None, " "): 1, next((None, t) for t in (c, c + " more") if any(r["text"] == t for r in kept)): 1})
+    got = Counter((r["doc_id"], r["component_id"]) for r in ngram_join.near_duplicates(df).collect())
+    assert got == Counter({(1, 1): 3, (2, 1): 1, (None, 1): 1, (None, None): 3, (3, 3): 2})
+
+
 def test_long_data_in_segments():
     text = (b"some words  of\tmany lengths \xc3\xa9t\xc3\xa9 " * 200) + b"\n"
     data = np.frombuffer(text, np.uint8)

@@ -10,10 +10,13 @@ Documents with equal sets are one class from the start. The result is whole but
 does not spell out all pairs of a large group of near copies: every class is
 first compared with the leader of each of its shingles, the class with the
 fewest rarer shingles before it, and only then the members that are in another
-component than a leader with all who share the shingle. A pair that shares a
-prefix shingle is thus either compared or known to be in one component already.
+component than a leader with those who share the shingle and whose sizes its own
+size and place allow; sizes are part of that join's key. A pair that shares a
+prefix shingle is thus either ruled out, compared or known to be in one component
+already.
 
-Shingles and sets are 64-bit fingerprints of the words' bytes.
+Shingles and sets are 64-bit fingerprints of the words' bytes; equal sets are one
+class if 128 bits of theirs agree.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import byte_slices, materialize, with_keys, without_keys
+from tidemark.llm._common import FEW_KEYS, as_row, byte_slices, materialize, of_row, with_keys, without_keys
 
 N = 5
 PERCENT = 75
@@ -122,14 +125,25 @@ def shingle_sets(values: list[bytes], n: int = N) -> tuple[np.ndarray, np.ndarra
     return shingles, np.bincount(owner, minlength=len(values)).astype(np.int64)
 
 
-def set_keys(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """One fingerprint for each set: equal sets have equal keys, 0 without words."""
+def set_prints(shingles: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two fingerprints for each set: equal sets have equal ones, 0 without words."""
     if not len(shingles):
-        return np.zeros(len(sizes), np.int64)
-    sums = np.concatenate([[U64(0)], np.cumsum(mix(shingles ^ U64(0x5851F42D4C957F2D)))])
-    ends = np.cumsum(sizes)
-    keys = mix((sums[ends] - sums[ends - sizes]) + sizes.astype(U64) * BASE)
-    return np.where(sizes > 0, keys, U64(0)).view(np.int64)
+        return np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+    ends, out = np.cumsum(sizes), []
+    for other in (U64(0x5851F42D4C957F2D), U64(0x2545F4914F6CDD1D)):
+        sums = np.concatenate([[U64(0)], np.cumsum(mix(shingles ^ other))])
+        prints = mix((sums[ends] - sums[ends - sizes]) + sizes.astype(U64) * BASE)
+        out.append(np.where(sizes > 0, prints, U64(0)).view(np.int64))
+    return out[0], out[1]
+
+
+def set_keys(shingles: np.ndarray, sizes: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """The key of each set's class: its first fingerprint, or both where different sets share the first (``shared``, sorted)."""
+    keys, checks = set_prints(shingles, sizes)
+    if len(shared):
+        at = np.minimum(np.searchsorted(shared, keys), len(shared) - 1)
+        keys = np.where(shared[at] == keys, keys ^ checks, keys)
+    return keys
 
 
 #: Bits of a parity sketch.
@@ -160,8 +174,13 @@ def _array(values: np.ndarray) -> pa.Array:
 
 # ---- passes over the texts ------------------------------------------------
 
+def row_print() -> Column:
+    """What a row is known by inside: rows without a doc_id have one too, and texts of one doc_id have their own."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
 def measured(docs: DataFrame, n: int) -> DataFrame:
-    """A row per document (kind 0: doc_id, key, size) and counts of recurring shingles.
+    """A row per row of ``docs`` (kind 0: doc_id, print, key, check, size) and counts of recurring shingles.
 
     Each task reports the shingles that several of its own documents hold, with
     their number (kind 1: key, size). Summed over tasks these are lower bounds
@@ -170,7 +189,7 @@ def measured(docs: DataFrame, n: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "doc_id", "key", "size"]
+        names = ["kind", "doc_id", "print", "key", "check", "size"]
         kept, counts, pending, waiting = np.empty(0, U64), np.empty(0, np.int64), [], 0
 
         def folded() -> tuple[np.ndarray, np.ndarray]:
@@ -189,13 +208,15 @@ def measured(docs: DataFrame, n: int) -> DataFrame:
             if waiting > 4_000_000:
                 kept, counts = folded()
                 pending, waiting = [], 0
+            keys, checks = set_prints(shingles, sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(sizes), np.int32)), batch.column("doc_id"), _array(set_keys(shingles, sizes)), _array(sizes)], names)
+                [pa.array(np.zeros(len(sizes), np.int32)), batch.column("doc_id"), batch.column("print"), _array(keys), _array(checks), _array(sizes)], names)
         kept, counts = folded()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.ones(len(kept), np.int32)), pa.nulls(len(kept), pa.int64()), _array(kept.view(np.int64)), _array(counts)], names)
+            [pa.array(np.ones(len(kept), np.int32)), *[pa.nulls(len(kept), pa.int64())] * 2, _array(kept.view(np.int64)), pa.nulls(len(kept), pa.int64()), _array(counts)], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "kind int, doc_id long, key long, size long")
+    return docs.select(F.col("doc_id").cast("long"), row_print().alias("print"), "text").mapInArrow(
+        run, "kind int, doc_id long, print long, key long, check long, size long")
 
 
 def required_overlap(a: Column, b: Column, percent: int) -> Column:
@@ -203,7 +224,7 @@ def required_overlap(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / F.lit(100 + percent))
 
 
-def prefixes(docs: DataFrame, n: int, percent: int, ranked: np.ndarray) -> DataFrame:
+def prefixes(docs: DataFrame, n: int, percent: int, ranked: np.ndarray, shared: np.ndarray) -> DataFrame:
     """Prefix shingles (shingle, key, size, at) of each distinct set of a task.
 
     An entry's shingle has 49 bits of the fingerprint, which at worst names a few
@@ -218,7 +239,7 @@ def prefixes(docs: DataFrame, n: int, percent: int, ranked: np.ndarray) -> DataF
         seen: set[int] = set()
         for batch in byte_slices(batches):
             shingles, sizes = shingle_sets(_binary(batch), n)
-            keys = set_keys(shingles, sizes)
+            keys = set_keys(shingles, sizes, shared)
             fresh = np.zeros(len(sizes), bool)
             for i, k in enumerate(keys.tolist()):  # copies in one task give one entry
                 if k and k not in seen:
@@ -251,7 +272,8 @@ def sharers(entries: DataFrame) -> DataFrame:
     The leader has the shingle at the least place: fewest of its shingles are
     rarer, as for a text that others are copies of. Frequent shingles get their
     leader from a pre-aggregated table and a join that can be split; the others
-    from a window, in one shuffle.
+    from a window, in one shuffle: no task holds them twice within 4,000,000
+    shingles, so their groups are no larger than the number of such runs.
     """
     size, at = F.shiftright("size_at", 32).cast("int"), F.col("size_at").bitwiseAND(0x7FFFFFFF).cast("int")
     entries = entries.select("shingle", "key", size.alias("size"), at.alias("at"))
@@ -265,7 +287,8 @@ def sharers(entries: DataFrame) -> DataFrame:
     rare = entries.where(~frequent).withColumns({"first": least.over(own), "low": F.min("key").over(own), "high": F.max("key").over(own)})
     rare = split(rare.where("low != high")).dropDuplicates(["shingle", "key"])
     often = entries.where(frequent).dropDuplicates(["shingle", "key"])
-    leaders = often.groupBy("shingle").agg(least.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # a table, so that the join below is one of two shuffles and can be split
+    leaders = materialize(often.groupBy("shingle").agg(least.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
     return rare.unionByName(split(often.join(leaders, "shingle")))
 
 
@@ -278,6 +301,37 @@ def may_link(size_a: Column, at_a: Column, size_b: Column, at_b: Column, percent
     return (short * 100 >= long * percent) & (within >= required_overlap(size_a, size_b, percent))
 
 
+def size_limits(size: Column, at: Column, percent: int) -> tuple[Column, Column]:
+    """The least and greatest size of a set that may link over a shared shingle at this place (see ``may_link``)."""
+    return F.ceil(size * percent / F.lit(100)), F.least(F.floor(size * 100 / F.lit(percent)), F.floor((size - at) * (100 + percent) / F.lit(percent)) - size)
+
+
+def size_class(size: Column) -> Column:
+    """Classes of similar sizes: single ones up to 16, then steps of about 6 %."""
+    return F.when(size <= 16, size).otherwise(F.floor(F.log2(size.cast("double")) * 12) - 32).cast("int")
+
+
+def repair_pairs(rooted: DataFrame, percent: int) -> DataFrame:
+    """(a, b, a_size, b_size): pairs of sharers in different components of which one is apart from its leader.
+
+    Partners meet by shingle and class of sizes, in the classes that an entry's
+    size and place allow; entries that allow none meet nobody.
+    """
+    low, high = size_limits(F.col("size"), F.col("at"), percent)
+    entries = rooted.where("key != leader_key or root != leader_root").withColumns({"low": low, "high": high}).where("low <= high")
+    entries = entries.withColumn("apart", F.col("root") != F.col("leader_root"))
+    a, b = (df.select("shingle", *extra, *(F.col(c).alias(f"{side}_{c}") for c in ("key", "size", "at", "root"))) for side, df, extra in (
+        ("a", entries.where("apart"), [F.explode(F.sequence(size_class(F.col("low")), size_class(F.col("high")))).alias("size_class")]),
+        ("b", entries, [size_class(F.col("size")).alias("size_class"), "apart"])))
+    # a pair of two entries apart meets twice
+    met = a.join(b, ["shingle", "size_class"]).where(~F.col("apart") | (F.col("a_key") < F.col("b_key")))
+    met = met.where((F.col("a_root") != F.col("b_root")) & may_link(F.col("a_size"), F.col("a_at"), F.col("b_size"), F.col("b_at"), percent))
+    turn = F.col("a_key") < F.col("b_key")
+    return met.select(
+        F.greatest("a_key", "b_key").alias("a"), F.least("a_key", "b_key").alias("b"),
+        F.when(turn, F.col("b_size")).otherwise(F.col("a_size")).alias("a_size"), F.when(turn, F.col("a_size")).otherwise(F.col("b_size")).alias("b_size"))
+
+
 def close_sketches(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Suffix filter: pairs (a, b, a_size, b_size) whose sketches differ in no more bits than linked sets may."""
     both = pairs.join(sketches.select(F.col("key").alias("a"), F.col("sketch").alias("_sa")), "a").join(
@@ -307,7 +361,7 @@ def verified(pairs: DataFrame, class_texts: DataFrame, n: int, percent: int, spr
     several.
     """
     pairs = pairs.withColumn("part", F.pmod(F.xxhash64("a"), F.lit(1 << 20)))
-    counts = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n_partners"))
+    counts = materialize(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n_partners")))
     pairs = pairs.join(counts, "b").withColumn("part", F.col("part") % F.ceil(F.col("n_partners") / spread))
     members = pairs.select(F.col("a").alias("key"), "b", "part", F.lit(1).alias("role"))
     heads = pairs.select(F.col("b").alias("key"), "b", "part", F.lit(0).alias("role")).distinct()
@@ -333,23 +387,28 @@ def verified(pairs: DataFrame, class_texts: DataFrame, n: int, percent: int, spr
     return grouped.select("key", "b", "part", "role", "text").mapInArrow(run, "a long, b long")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, hub: int = 1_000_000) -> DataFrame:
     """(key, component): the smallest key reachable over links (a, b).
 
     Alternates the large-star and small-star steps, which are each a minimum by
     key and a join, until nothing changes. Keys without links are not returned.
+    Where a key has more than ``hub`` neighbours, the minima are written first:
+    the joins are then of two tables, and Spark splits the hub's rows.
     """
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
 
     def state(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+        most = df.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h"))
+        n, h, largest = most.agg(F.sum("n"), F.sum("h"), F.max("n")).first()
+        return n or 0, h, largest or 0
 
     before = state(edges)
     while before[0]:
+        kept = materialize if before[2] > hub else lambda df: df
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = kept(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = kept(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         edges = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         now = state(edges)
@@ -360,10 +419,10 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("key"), F.col("v").alias("component")).distinct())
 
 
-def sharing_texts(docs: DataFrame, named: DataFrame, n: int) -> DataFrame:
-    """(key, text, sketch) of the classes of ``named`` (doc_id, key), a row each or more.
+def sharing_texts(docs: DataFrame, named: DataFrame, n: int, shared: np.ndarray) -> DataFrame:
+    """(key, text, sketch) of the classes of ``named`` (print, key), a row each or more.
 
-    A text that has the doc_id of a class but another set is left out; rows that
+    A text that has the print of a class but another set is left out; rows that
     repeat one come once a task.
     """
 
@@ -372,32 +431,65 @@ def sharing_texts(docs: DataFrame, named: DataFrame, n: int) -> DataFrame:
         for batch in byte_slices(batches):
             shingles, sizes = shingle_sets(_binary(batch), n)
             own = []
-            for key, found in zip(batch.column("key").to_pylist(), set_keys(shingles, sizes).tolist()):
+            for key, found in zip(batch.column("key").to_pylist(), set_keys(shingles, sizes, shared).tolist()):
                 own.append(key == found and key not in seen)
                 if own[-1]:
                     seen.add(key)
             columns = [batch.column("key"), batch.column("text"), parity_sketches(shingles, sizes)]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(own, pa.bool_())) for c in columns], ["key", "text", "sketch"])
 
-    texts = with_keys(docs.select(F.col("doc_id").cast("long"), "text"), named, "doc_id")
+    texts = with_keys(docs.select(row_print().alias("print"), "text"), named, "print")
     return texts.select("key", "text").mapInArrow(run, "key long, text string, sketch array<long>")
 
 
+def class_keys(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, print, key, size) with a key for each distinct set, and the sorted fingerprints that different sets share.
+
+    Of n sets about n * n / 2**65 pairs share a fingerprint, so these are few.
+    """
+    shared = rows.groupBy("key").agg(F.min("check").alias("p"), F.max("check").alias("q")).where("p != q").select("key")
+    found = np.sort(shared.toArrow().column("key").to_numpy())
+    if len(found):
+        doubled = rows.sparkSession.createDataFrame([(int(k),) for k in found], "key long").withColumn("doubled", F.lit(True))
+        rows = rows.join(F.broadcast(doubled), "key", "left").withColumn("key", F.when(F.col("doubled"), F.col("key").bitwiseXOR(F.col("check"))).otherwise(F.col("key")))
+    return rows.select("doc_id", "print", "key", "size"), found
+
+
+def frequent_shingles(counts: DataFrame, most: int) -> np.ndarray:
+    """The most frequent shingles of (key, size), most frequent last, ``most`` at most.
+
+    The least frequency follows from a histogram, so that nothing is sorted or
+    limited in one task.
+    """
+    often = materialize(counts.groupBy("key").agg(F.sum("size").alias("df")))
+    step = F.floor(F.log2(F.col("df").cast("double")) * 16).cast("int").alias("step")
+    least, held = None, 0
+    for r in sorted(often.groupBy(step).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):  # 16 rows for each power of two
+        held += r["n"]
+        if held > most:
+            break
+        least = r["step"]
+    if least is None:
+        return np.empty(0, U64)
+    found = often.where(step >= least).toArrow()  # bounded by most
+    keys, df = found.column("key").to_numpy(), found.column("df").to_numpy()
+    return keys[np.lexsort((-keys, df))].view(U64)
+
+
 def classes_and_components(docs: DataFrame, n: int = N, percent: int = PERCENT, most_frequent: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, key, size) of each document and (key, root) of each linked class.
+    """(doc_id, print, key, size) of each row and (key, root) of each linked class.
 
     ``most_frequent`` bounds how many shingles are ordered by frequency, behind
     all others; it affects speed only, as any order gives the same links.
     """
     first = materialize(measured(docs, n))
-    rows = first.where("kind = 0").select("doc_id", "key", "size")
-    often = first.where("kind = 1").groupBy("key").agg(F.sum("size").alias("df")).orderBy(F.desc("df"), "key").limit(most_frequent)
-    ranked = often.toArrow().column("key").to_numpy()[::-1].view(U64)  # bounded by most_frequent
-    shared = materialize(sharers(prefixes(docs, n, percent, ranked)))
+    rows, prints = class_keys(first.where("kind = 0").select("doc_id", "print", "key", "check", "size"))
+    ranked = frequent_shingles(first.where("kind = 1"), most_frequent)
+    shared = materialize(sharers(prefixes(docs, n, percent, ranked, prints)))
 
-    named = rows.where("size > 0 and doc_id is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    named = rows.where("size > 0").groupBy("key").agg(F.min("print").alias("print"))
     named = materialize(named.join(shared.select("key").distinct(), "key", "left_semi"))
-    texts = materialize(sharing_texts(docs, named, n), "zstd")
+    texts = materialize(sharing_texts(docs, named, n, prints), "zstd")
     sketches = texts.groupBy("key").agg(F.first("sketch").alias("sketch"))
 
     def close(pairs: DataFrame) -> DataFrame:
@@ -414,51 +506,54 @@ def classes_and_components(docs: DataFrame, n: int = N, percent: int = PERCENT,
     rooted = shared.join(roots, "key", "left").join(leader_roots, "leader_key", "left").select(
         "shingle", "key", "size", "at", "leader_key", F.coalesce("root", "key").alias("root"), F.coalesce("leader_root", "leader_key").alias("leader_root"))
     rooted = materialize(rooted)
-    apart, mates = (rooted.where(on).select("shingle", *(F.col(c).alias(f"{side}_{c}") for c in ("key", "size", "at", "root")))
-                    for on, side in (("root != leader_root", "a"), ("key != leader_key", "b")))
-    more = apart.join(mates, "shingle").where((F.col("a_root") != F.col("b_root")) & may_link(
-        F.col("a_size"), F.col("a_at"), F.col("b_size"), F.col("b_at"), percent))
-    turn = F.col("a_key") < F.col("b_key")
-    more = close(more.select(
-        F.greatest("a_key", "b_key").alias("a"), F.least("a_key", "b_key").alias("b"),
-        F.when(turn, F.col("b_size")).otherwise(F.col("a_size")).alias("a_size"), F.when(turn, F.col("a_size")).otherwise(F.col("b_size")).alias("b_size")))
+    more = close(repair_pairs(rooted, percent))
     if not more.isEmpty():
         known = found.select(F.col("key").alias("a"), F.col("component").alias("b"))
         found = components(known.unionByName(verified(more, texts, n, percent)))
     return rows, found.select("key", F.col("component").alias("root"))
 
 
+def rows_and_classes(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, print, key, size) of each row and (key, least, root) of each class of equal sets."""
+    rows, roots = classes_and_components(docs, n, percent)
+    classes = rows.where("size > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
+    return rows, materialize(classes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")))
+
+
 def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every document.
 
     Letters A-Z are lower-cased; words are runs of characters other than blanks.
     A null or blank text has no shingles and links with nothing, so its
-    component is its own doc_id. Repeated rows are returned as often as they
-    come; rows with a null doc_id link only with equal sets and never name a
-    component; other columns are ignored. An empty table gives no rows.
+    component is its own doc_id; a very long text is taken whole. Repeated rows
+    are returned as often as they come, and texts of one doc_id link each for
+    itself; rows with a null doc_id link like all others but never name a
+    component, which is null if it has no other rows. Ties in frequency fall
+    back on fingerprints and change no link; other columns are ignored, whatever
+    their names. An empty table gives no rows.
     """
-    rows, roots = classes_and_components(docs, n, percent)
-    classes = rows.where("size > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
-    classes = classes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = classes.select("key", "root").join(least, "root").select("key", "component_id")
+    rows, classes = rows_and_classes(docs, n, percent)
+    least = materialize(classes.groupBy("root").agg(F.min("least").alias("component_id")))
+    named = materialize(classes.select("key", "root").join(least, "root").select("key", "component_id"))
     linked = rows.where("size > 0").join(named, "key").select("doc_id", F.col("size").alias("n_shingles"), "component_id")
     return linked.unionByName(rows.where("size = 0").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
-def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, that with the smallest doc_id; columns unchanged.
+def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT, few: int = FEW_KEYS) -> DataFrame:
+    """One row of each component, that with the smallest doc_id, ties by a fingerprint; columns unchanged.
 
-    A document without words is its own component. Rows that repeat a doc_id
-    stay once, the least of them; a doc_id goes if any of its texts is a copy of
-    a document with a smaller one. Rows without a doc_id cannot be named as
-    copies and all stay.
+    Rows without words are components of their own and all stay. Texts of one
+    doc_id are judged each for itself, and rows without a doc_id stay where
+    their component has no others. ``few`` is that of ``without_keys``.
     """
-    found = materialize(near_duplicates(docs, n, percent).where("doc_id is not null"))
-    copies = found.where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct()
-    again = found.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_id")
-    again = again.join(copies, "_id", "left_anti")
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.struct(*docs.columns).alias("_row"))
-    single = without_keys(rows, copies.unionByName(again), "_id")
-    first = with_keys(rows, again, "_id").groupBy("_id").agg(F.min("_row").alias("_row"))
-    return single.unionByName(first).select("_row.*")
+    rows, classes = rows_and_classes(docs, n, percent)
+    found = rows.where("size > 0").groupBy("key", "print").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
+    found = materialize(found.join(classes.select("key", "root"), "key"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "print", "n"))
+    stay = materialize(found.groupBy("root").agg(first.alias("first")).select("first.print", "first.n"))
+    copies = found.select("print").join(stay, "print", "left_anti")
+    again = stay.where("n > 1").select("print")
+    every = docs.select(row_print().alias("print"), as_row(docs).alias("row"))
+    single = without_keys(every, materialize(copies.unionByName(again)), "print", few)
+    once = with_keys(every, again, "print", few).groupBy("print").agg(F.min("row").alias("row"))
+    return single.unionByName(once).select(*of_row("row", docs.columns))

@@ -710,6 +710,43 @@ def test_top_k_equals_brute_force(spark):
     assert topk_search.top_k(few, F.col("vec_id") == 0).count() == 2
 
 
+def test_top_k_of_clusters_and_shuffled_rows(spark, monkeypatch):
+    """Clusters, many equal vectors, repeated rows and two widths, over several cells; the same rows however they are dealt."""
+    rng = np.random.default_rng(8)
+    middles = rng.normal(0, 1, (12, 6))
+    base = np.concatenate([middles[rng.integers(0, 12, 5000)] + rng.normal(0, 0.05, (5000, 6)), np.tile(middles[0], (1500, 1))])
+    rows = [(i, v.tolist()) for i, v in enumerate(base)] + [(7, base[7].tolist())] * 3 + [(90_000 + i, rng.normal(0, 1, 3).tolist()) for i in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = set()
+    for width in (6, 3):
+        own = [(i, np.floor(256 * np.array(v)).astype(np.int64)) for i, v in rows if len(v) == width]
+        ids, whole = np.array([i for i, _ in own]), np.stack([v for _, v in own])
+        for q in sorted({i for i in ids.tolist() if i % 50 == 0}):
+            s = whole @ whole[np.flatnonzero(ids == q)[0]]
+            best = [j for j in np.lexsort((ids, -s)) if ids[j] != q][:5]
+            want |= {(q, r + 1, int(ids[j]), int(s[j])) for r, j in enumerate(best)}
+    got = topk_search.top_k(df.repartition(5), F.col("vec_id") % 50 == 0).collect()
+    assert set(map(tuple, got)) == want and len(got) == len(want)
+    again = topk_search.top_k(df.orderBy(F.rand(1)).repartition(3), F.col("vec_id") % 50 == 0).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, got))
+
+
+def test_few_scores_are_computed():
+    """On clusters, with a score to beat, a small part of all pairs is looked at."""
+    rng = np.random.default_rng(9)
+    middles = rng.normal(0, 200, (40, 8))
+    v = np.floor(middles[np.repeat(np.arange(40), 100)] + rng.normal(0, 8, (4000, 8)))
+    ask = np.arange(0, 4000, 50)
+    scores = v[ask] @ v.T
+    scores[np.arange(len(ask)), ask] = -np.inf
+    worst = np.sort(scores, 1)[:, -5]
+    data, queries = topk_search.CoverTree(np.arange(4000), v), topk_search.CoverTree(ask, v[ask], leaf=4)
+    for known in (None, worst):
+        ids, _, found, computed = topk_search.search(queries, data, 5, known)
+        assert len(ids) == 5 * len(ask) and computed < 0.35 * len(ask) * 4000
+        assert sorted(found.tolist()) == sorted(np.sort(scores, 1)[:, -5:].astype(np.int64).ravel().tolist())
+
+
 def test_tree_nodes_cover_their_points():
     rng = np.random.default_rng(7)
     v = np.floor(rng.normal(0, 50, (900, 6)))

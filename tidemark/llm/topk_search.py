@@ -1,11 +1,20 @@
-"""Exact top-k inner-product search with two cover trees.
+"""Exact top-k inner-product search with trees over data and queries.
 
-Rows are cut into blocks where they lie; each block becomes a tree of nodes
-with a center, a covering radius and the points below. A block of queries meets
-every block of candidates once, and the two trees are walked together: a pair
-of nodes is left out when the highest inner product that their centers and
-radii allow is below the worst k-th score found so far for any query below the
+Every row goes to the cell of its nearest center; the centers are a bounded
+sample, the cells' radii are exact over all rows. The rows of a cell are cut into
+blocks, each a tree of nodes with a center, a covering radius and the points
+below. Queries first walk one block of their own cell, which gives each a k-th
+score to beat, and then go to those cells only whose center and radius allow a
+score as high. There a tree of queries and the tree of a block are walked
+together: a pair of nodes is left out when the highest inner product that their
+centers and radii allow is below the worst k-th score of any query below the
 query node.
+
+What holds of a tree: a node's radius covers all its points, sibling centers are
+more than half their parent's radius apart, and a point goes to the nearest of
+them. A node has at most ``FANOUT`` children, so that siblings need not cover
+everything within that half radius, as the levels of a textbook cover tree do;
+the exact radii take the place of the levels.
 """
 
 from __future__ import annotations
@@ -19,29 +28,32 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import shuffle_partitions
+from tidemark.llm._common import materialize, shuffle_partitions
 
 LEAF = 64
 FANOUT = 8
+#: Rows of a block and queries of a pack, and the most cells of the index.
 VECTORS, QUERIES = 4096, 1024
+MOST_CELLS = 4096
 
 
 class CoverTree:
     """Nodes in arrays: center, radius, children; each node's points are a slice."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF):
         order = np.arange(len(ids))
         self.center: list[np.ndarray] = []
         self.radius: list[float] = []
         self.span: list[tuple[int, int]] = []
         self.children: list[list[int]] = []
-        self._build(vectors, order, 0, len(order))
-        self.ids, self.vectors = ids[order], vectors[order]
-        self.norm = [float(np.sqrt(c @ c)) for c in self.center]
+        self._build(vectors, order, leaf)
+        self.order, self.ids, self.vectors = order, ids[order], vectors[order]
+        self.centers, self.radii = np.array(self.center), np.array(self.radius)
+        self.norms = np.sqrt((self.centers ** 2).sum(1))
 
-    def _build(self, vectors: np.ndarray, order: np.ndarray, start: int, stop: int) -> int:
+    def _build(self, vectors: np.ndarray, order: np.ndarray, leaf: int) -> None:
         """A loop over open slices; ``order`` is permuted so that nodes are slices."""
-        todo = [(start, stop, order[start], -1)]
+        todo = [(0, len(order), order[0], -1)]
         while todo:
             a, b, middle, parent = todo.pop()
             node = len(self.center)
@@ -54,7 +66,7 @@ class CoverTree:
             self.radius.append(float(away.max()))
             self.span.append((a, b))
             self.children.append([])
-            if b - a <= LEAF or self.radius[node] == 0:
+            if b - a <= leaf or self.radius[node] == 0:
                 continue
             # the farthest point left uncovered at half the radius opens a child
             centers, nearest, side = [middle], away, np.zeros(b - a, np.int64)
@@ -70,51 +82,63 @@ class CoverTree:
             for c, lo, hi in zip(centers, np.concatenate([[a], ends[:-1]]).tolist(), ends.tolist()):
                 if hi > lo:
                     todo.append((lo, hi, c, node))
-        return 0
 
 
-def search(queries: CoverTree, data: CoverTree, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, candidate id, score) of each query's k best, ties to smaller ids."""
-    n = len(queries.ids)
-    worst = np.full(n, -np.inf)
-    scores, ids = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+def hopeless(most: np.ndarray | float, worst: np.ndarray | float) -> np.ndarray | bool:
+    """Whether a bound on scores is below a k-th score; scores are whole numbers."""
+    return most + np.abs(most) * 1e-9 + 0.5 < worst
 
-    def bound(q: int, d: int) -> float:
-        return (queries.center[q] @ data.center[d] + queries.radius[q] * data.norm[d]
-                + data.radius[d] * queries.norm[q] + queries.radius[q] * data.radius[d])
 
-    def hopeless(q: int, most: float) -> bool:
-        a, b = queries.span[q]
-        return most * (1 + 1e-9) + 0.5 < worst[a:b].min()  # scores are whole numbers
+def search(queries: CoverTree, data: CoverTree, k: int, worst: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query id, candidate id, score) of each query's k best, ties to smaller ids, and how many scores were computed.
 
-    heap = [(-bound(0, 0), 0, 0)]
+    ``worst`` are scores, in the order that the query tree was built from, which
+    k candidates of each query are known to reach; lower ones need not be found.
+    """
+    n, computed = len(queries.ids), 0
+    least = np.full(n, -np.inf) if worst is None else worst[queries.order]
+    worst = least.copy()
+    scores, ids = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+
+    def bounds(q: list[int], d: list[int]) -> np.ndarray:
+        rq, rd = queries.radii[q][:, None], data.radii[d]
+        return queries.centers[q] @ data.centers[d].T + rq * data.norms[d] + rd * queries.norms[q][:, None] + rq * rd
+
+    heap = [(-bounds([0], [0]).item(), 0, 0)]
     while heap:
         most, q, d = heapq.heappop(heap)
-        if hopeless(q, -most):
+        a, b = queries.span[q]
+        if hopeless(-most, worst[a:b].min()):
             continue
         below_q, below_d = queries.children[q], data.children[d]
         if not below_q and not below_d:
-            a, b = queries.span[q]
             lo, hi = data.span[d]
+            computed += (b - a) * (hi - lo)
             for at in range(lo, hi, 8 * LEAF):  # a node of equal points can be large
                 part = slice(at, min(at + 8 * LEAF, hi))
                 got = queries.vectors[a:b] @ data.vectors[part].T
                 got[queries.ids[a:b, None] == data.ids[None, part]] = -np.inf
-                every = np.concatenate([scores[a:b], got], 1)
-                named = np.concatenate([ids[a:b], np.broadcast_to(data.ids[part], got.shape)], 1)
+                better = np.flatnonzero((got >= worst[a:b, None]).any(1))
+                if not len(better):
+                    continue
+                rows, got = a + better, got[better]
+                every = np.concatenate([scores[rows], got], 1)
+                named = np.concatenate([ids[rows], np.broadcast_to(data.ids[part], got.shape)], 1)
                 best = np.lexsort((named, -every), axis=-1)[:, :k]
-                scores[a:b], ids[a:b] = np.take_along_axis(every, best, 1), np.take_along_axis(named, best, 1)
-            worst[a:b] = scores[a:b, -1]
+                scores[rows], ids[rows] = np.take_along_axis(every, best, 1), np.take_along_axis(named, best, 1)
+                worst[rows] = np.maximum(scores[rows, -1], least[rows])
             continue
-        for x in below_q or [q]:
-            for y in below_d or [d]:
-                most = bound(x, y)
-                if not hopeless(x, most):
-                    heapq.heappush(heap, (-most, x, y))
-    found = np.isfinite(scores)
+        xs, ys = below_q or [q], below_d or [d]
+        most = bounds(xs, ys)
+        low = np.array([worst[lo:hi].min() for lo, hi in map(queries.span.__getitem__, xs)])
+        for i, j in zip(*np.nonzero(~hopeless(most, low[:, None]))):
+            heapq.heappush(heap, (-most[i, j], xs[i], ys[j]))
+    found = np.isfinite(scores) & (scores >= least[:, None])
     owner = np.broadcast_to(queries.ids[:, None], scores.shape)
-    return owner[found], ids[found], scores[found].astype(np.int64)
+    return owner[found], ids[found], scores[found].astype(np.int64), computed
+
 
+# ---- the index ------------------------------------------------------------
 
 def whole_vectors(vectors: DataFrame, scale: int) -> DataFrame:
     """(vec_id, v): components as floor(scale * x); rows without a usable vector go."""
@@ -124,37 +148,95 @@ def whole_vectors(vectors: DataFrame, scale: int) -> DataFrame:
         "vec_id", F.transform("x", lambda c: F.floor(c * scale)).alias("v"))
 
 
-def trees(rows: DataFrame, size: int) -> DataFrame:
-    """(width, tree): a tree for up to ``size`` rows of a task and of one width."""
+def by_width(batch: pa.RecordBatch, rows: int = VECTORS) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
+    """(width, rows of that width, their vectors as a matrix), ``rows`` at most at a time."""
+    for at in range(0, batch.num_rows, rows):
+        part = batch.slice(at, rows)
+        v = part.column("v")
+        widths = np.diff(v.offsets.to_numpy())
+        flat = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        firsts = np.cumsum(widths) - widths
+        for width in np.unique(widths).tolist():
+            mine = np.flatnonzero(widths == width)
+            yield width, part.take(pa.array(mine)), flat[firsts[mine][:, None] + np.arange(width)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list, list]] = {}
 
-        def closed(width: int) -> pa.RecordBatch:
-            ids, vectors = held.pop(width)
-            tree = CoverTree(np.concatenate(ids), np.concatenate(vectors))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([width], pa.int32()), pa.array([pickle.dumps(tree)], pa.binary())], ["width", "tree"])
+def sample_centers(rows: DataFrame, most: int = MOST_CELLS) -> dict[int, np.ndarray]:
+    """Centers by width: a vector for about every 2,048 rows, ``most`` at most, chosen by a hash of vec_id."""
+    n = rows.count()
+    wanted = min(most, -(-n // 2048))
+    share = int(min(1.0, 2 * wanted / max(n, 1)) * (1 << 30)) + 1
+    print_ = F.xxhash64("vec_id", F.lit("center"))
+    some = rows.where(F.pmod(print_, F.lit(1 << 30)) < share).groupBy("vec_id").agg(F.min("v").alias("v")).orderBy(print_, "vec_id").limit(wanted)
+    out: dict[int, list] = {}
+    for r in some.collect():
+        out.setdefault(len(r["v"]), []).append(r["v"])
+    return {w: np.array(v, np.float64).reshape(len(v), w) for w, v in out.items()}
+
 
+def in_cells(rows: DataFrame, centers: dict[int, np.ndarray]) -> DataFrame:
+    """(width, cell, away, vec_id, v): each row's nearest center and its distance; the origin's where its width has none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, size):
-                part = batch.slice(at, size)
-                ids, v = part.column("vec_id").to_numpy(zero_copy_only=False), part.column("v")
-                widths = np.diff(v.offsets.to_numpy())
-                flat = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-                firsts = np.cumsum(widths) - widths
-                for width in np.unique(widths).tolist():
-                    mine = np.flatnonzero(widths == width)
-                    matrix = flat[firsts[mine][:, None] + np.arange(width)]
-                    own = held.setdefault(width, ([], []))
-                    own[0].append(ids[mine])
-                    own[1].append(matrix)
-                    if sum(map(len, own[0])) >= size:
-                        yield closed(width)
-        for width in list(held):
-            yield closed(width)
-
-    return rows.mapInArrow(run, "width int, tree binary")
+            for width, part, matrix in by_width(batch):
+                own = centers.get(width, np.zeros((1, width)))
+                cell = ((own ** 2).sum(1) - 2 * matrix @ own.T).argmin(1)
+                away = np.sqrt(((matrix - own[cell]) ** 2).sum(1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(cell), width, np.int32)), pa.array(cell.astype(np.int32)), pa.array(away), *(part.column(c) for c in ("vec_id", "v"))],
+                    ["width", "cell", "away", "vec_id", "v"])
+
+    return rows.mapInArrow(run, "width int, cell int, away double, vec_id long, v array<bigint>")
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str], size: int) -> Iterator[tuple[tuple, pa.Table]]:
+    """Runs of rows of one key, which are sorted by it, ``size`` rows at most."""
+    held: list[pa.RecordBatch] = []
+    rows, own = 0, None
+
+    def closed() -> Iterator[tuple[tuple, pa.Table]]:
+        if held:
+            yield own, pa.Table.from_batches(held).combine_chunks()
+
+    for batch in batches:
+        names = list(zip(*(batch.column(k).to_pylist() for k in keys)))
+        at = 0
+        while at < len(names):
+            stop = at
+            while stop < len(names) and names[stop] == names[at] and stop - at < size:
+                stop += 1
+            if own != names[at] or rows + stop - at > size:
+                yield from closed()
+                held, rows, own = [], 0, names[at]
+            held.append(batch.slice(at, stop - at))
+            rows += stop - at
+            at = stop
+    yield from closed()
+
+
+def _matrix(table: pa.Table, width: int) -> np.ndarray:
+    v = table.column("v").combine_chunks()
+    v = v.chunk(0) if isinstance(v, pa.ChunkedArray) else v
+    return v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(table.num_rows, width)
+
+
+def trees(rows: DataFrame, keys: list[str], size: int, by: list[str], carry: str | None = None) -> DataFrame:
+    """A tree for up to ``size`` rows of one key: (keys, tree), and the column ``carry`` of its rows in the order of building.
+
+    The rows of a key are sorted by ``by``; ``width`` is one of the keys.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, table in grouped(batches, keys, size):
+            tree = CoverTree(table.column("vec_id").to_numpy(), _matrix(table, own[keys.index("width")]))
+            if carry:
+                tree.carried = table.column(carry).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([x], pa.int32()) for x in own), pa.array([pickle.dumps(tree)], pa.binary())], [*keys, "tree"])
+
+    placed = rows.repartition(*keys).sortWithinPartitions(*keys, *by)
+    return placed.mapInArrow(run, ", ".join(f"{k} int" for k in keys) + ", tree binary")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) -> DataFrame:
@@ -165,24 +247,72 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) ->
     rows whose vec_id isn't the query's. Vectors that are null or hold null or
     non-finite components take no part; vectors of another length than the
     query's are no candidates; a vec_id repeated as a query counts once, repeated
-    candidates as often as they come. Other columns are ignored.
+    candidates as often as they come. Other columns are ignored, whatever their
+    names; an empty table gives no rows.
     """
+    spark = vectors.sparkSession
     rows = whole_vectors(vectors, scale)
-    queries = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
-    groups = max(1, -(-queries.count() // QUERIES))
-    ask = trees(queries, QUERIES).select(
-        F.col("width"), F.col("tree").alias("queries"), F.pmod(F.xxhash64("tree"), F.lit(groups)).alias("part"))
-    # each block of candidates goes once to each part of the queries
-    answer = trees(rows, VECTORS).select("width", "tree", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("part"))
+    centers = sample_centers(rows)
+    indexed = materialize(in_cells(rows, centers))
+    stats = indexed.groupBy("width", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"))
+    blocks_of = F.ceil(F.col("n") / (VECTORS * 3 // 4)).cast("int")
+    # a row for each cell, MOST_CELLS and one for each further width
+    cells = materialize(stats.withColumn("n_blocks", blocks_of))
+    radius: dict[int, np.ndarray] = {}
+    for r in cells.collect():
+        own = radius.setdefault(r["width"], np.full(len(centers.get(r["width"], [0])), -1.0))
+        own[r["cell"]] = r["radius"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    few = F.broadcast(cells.select("width", "cell", "n_blocks"))
+    # the table's own row numbers deal out the rows of a repeated vec_id too
+    block = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.col("n_blocks")).cast("int")
+    numbered = indexed.select("width", "cell", "vec_id", "v").join(few, ["width", "cell"]).withColumn("block", block)
+    blocks = materialize(trees(numbered, ["width", "cell", "block"], VECTORS, ["vec_id"]))
+
+    asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = materialize(in_cells(asked, centers).drop("away"))
+    salts = max(1, asked.count() // (QUERIES * 64))
+    salt = F.pmod(F.xxhash64("vec_id"), F.lit(salts)).cast("int")
+
+    def walk(pairs: DataFrame, bounds_only: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for q, d in zip(batch.column("queries"), batch.column("tree")):
+                    queries = pickle.loads(q.as_py())
+                    ids, found, scores, _ = search(queries, pickle.loads(d.as_py()), k, getattr(queries, "carried", None))
+                    if bounds_only:  # ids come in runs, best scores first
+                        full = np.flatnonzero(np.append(ids[k - 1:] == ids[:len(ids) - k + 1], False)) if len(ids) >= k else np.empty(0, np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[full]), pa.array(scores[full + k - 1].astype(np.float64))], ["vec_id", "worst"])
+                    else:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids, found, scores)], ["query_id", "vec_id", "score"])
+
+        return pairs.select("queries", "tree").mapInArrow(run, "vec_id long, worst double" if bounds_only else "query_id long, vec_id long, score long")
+
+    # one block of the query's own cell: a score to beat
+    packs = trees(asked.withColumn("salt", salt), ["width", "cell", "salt"], QUERIES, ["vec_id"]).withColumnRenamed("tree", "queries")
+    bounds = walk(packs.withColumn("block", F.lit(0)).join(blocks, ["width", "cell", "block"]), True)
+    bounds = bounds.groupBy("vec_id").agg(F.max("worst").alias("worst"))
+    bounded = materialize(asked.join(bounds, "vec_id", "left").select("width", F.col("cell").alias("own"), "vec_id", "v", F.coalesce("worst", F.lit(float("-inf"))).alias("worst")))
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each cell that may hold a score as high as the query's k-th."""
         for batch in batches:
-            for q, d in zip(batch.column("queries"), batch.column("tree")):
-                found = search(pickle.loads(q.as_py()), pickle.loads(d.as_py()), k)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["query_id", "vec_id", "score"])
+            for width, part, matrix in by_width(batch, 256):
+                if width not in radius:
+                    continue
+                own, r = centers.get(width, np.zeros((1, width))), radius[width]
+                most = matrix @ own.T + np.sqrt((matrix ** 2).sum(1))[:, None] * r
+                worst = part.column("worst").to_numpy(zero_copy_only=False)
+                q, cell = np.nonzero(~hopeless(most, worst[:, None]) & (r >= 0))
+                sent = part.take(pa.array(q))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell.astype(np.int32)), *(sent.column(c) for c in ("width", "own", "vec_id", "v", "worst"))], ["cell", "width", "own", "vec_id", "v", "worst"])
 
-    # pairs of blocks are few and small but costly: deal them over all tasks
-    pairs = answer.join(ask, ["width", "part"]).select("queries", "tree").repartition(shuffle_partitions(vectors.sparkSession))
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    sent = bounded.mapInArrow(reach, "cell int, width int, own int, vec_id long, v array<bigint>, worst double").withColumn("salt", salt)
+    # similar queries, those of one cell, share packs
+    packs = materialize(trees(sent, ["width", "cell", "salt"], QUERIES, ["own", "vec_id"], "worst").withColumnRenamed("tree", "queries"))
+    placed = packs.join(few, ["width", "cell"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    pairs = placed.join(blocks, ["width", "cell", "block"]).repartition(shuffle_partitions(spark), F.xxhash64("width", "cell", "block", F.crc32("queries")))
+    found = walk(pairs, False)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

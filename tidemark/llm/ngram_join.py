@@ -8,9 +8,10 @@ suffix filters drop pairs before their texts are compared, once each.
 
 Documents with equal sets are one class from the start. The result is whole but
 does not spell out all pairs of a large group of near copies: every class is
-first compared with the leader of each of its shingles, the class with the
-fewest rarer shingles before it, and only then the members that are in another
-component than a leader with those who share the shingle and whose sizes its own
+first compared with the leaders of its shingles, the classes with the fewest
+rarer shingles before them: with the one that leads most of its shingles, then
+with those in other components. Only then the members that are in another
+component than a leader are compared with those who share the shingle and whose sizes its own
 size and place allow; sizes are part of that join's key. A pair that shares a
 prefix shingle is thus either ruled out, compared or known to be in one component
 already.
@@ -266,8 +267,26 @@ def prefixes(docs: DataFrame, n: int, percent: int, ranked: np.ndarray, shared:
     return docs.select("text").mapInArrow(run, "shingle long, key long, size_at long")
 
 
-def sharers(entries: DataFrame) -> DataFrame:
-    """Entries whose shingle several sets share, with the shingle's leader.
+#: More sharers of a shingle than these meet by classes of sizes.
+MANY = 64
+
+
+def size_of(size_at: Column) -> Column:
+    return F.shiftright(size_at, 32).cast("int")
+
+
+def at_of(size_at: Column) -> Column:
+    """The place of a shingle in its set's order."""
+    return size_at.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+
+
+def of_many(size_at: Column) -> Column:
+    """Whether the shingle has more than ``MANY`` sharers, the bit between size and place."""
+    return size_at.bitwiseAND(F.lit(1 << 31)) != 0
+
+
+def sharers(entries: DataFrame, many: int = MANY) -> DataFrame:
+    """(shingle, key, size_at, leader_key, leader_size_at) of the entries whose shingle several sets share.
 
     The leader has the shingle at the least place: fewest of its shingles are
     rarer, as for a text that others are copies of. Frequent shingles get their
@@ -275,20 +294,24 @@ def sharers(entries: DataFrame) -> DataFrame:
     from a window, in one shuffle: no task holds them twice within 4,000,000
     shingles, so their groups are no larger than the number of such runs.
     """
-    size, at = F.shiftright("size_at", 32).cast("int"), F.col("size_at").bitwiseAND(0x7FFFFFFF).cast("int")
-    entries = entries.select("shingle", "key", size.alias("size"), at.alias("at"))
+    # two small numbers make smaller shuffles than one large one
+    entries = entries.select("shingle", "key", size_of(F.col("size_at")).alias("size"), at_of(F.col("size_at")).alias("at"))
     frequent = F.col("shingle") % 2 == 1
     least = F.min(F.struct("at", "size", "key"))
 
     def split(df: DataFrame) -> DataFrame:
-        return df.select("shingle", "key", "size", "at", *(F.col(f"first.{c}").alias(f"leader_{c}") for c in ("key", "size", "at")))
+        def packed(size: str, at: str) -> Column:
+            return F.shiftleft(F.col(size).cast("long"), 32).bitwiseOR(F.col(at).cast("long"))
+
+        marked = packed("size", "at").bitwiseOR(F.when(F.col("n") > many, F.lit(1 << 31)).otherwise(F.lit(0).cast("long")))
+        return df.select("shingle", "key", marked.alias("size_at"), F.col("first.key").alias("leader_key"), packed("first.size", "first.at").alias("leader_size_at"))
 
     own = Window.partitionBy("shingle")
-    rare = entries.where(~frequent).withColumns({"first": least.over(own), "low": F.min("key").over(own), "high": F.max("key").over(own)})
+    rare = entries.where(~frequent).withColumns({"first": least.over(own), "low": F.min("key").over(own), "high": F.max("key").over(own), "n": F.count(F.lit(1)).over(own)})
     rare = split(rare.where("low != high")).dropDuplicates(["shingle", "key"])
-    often = entries.where(frequent).dropDuplicates(["shingle", "key"])
-    # a table, so that the join below is one of two shuffles and can be split
-    leaders = materialize(often.groupBy("shingle").agg(least.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    # tables, so that the texts are read once for both and the join can be split
+    often = materialize(entries.where(frequent).dropDuplicates(["shingle", "key"]))
+    leaders = materialize(often.groupBy("shingle").agg(least.alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     return rare.unionByName(split(often.join(leaders, "shingle")))
 
 
@@ -314,31 +337,35 @@ def size_class(size: Column) -> Column:
 def repair_pairs(rooted: DataFrame, percent: int) -> DataFrame:
     """(a, b, a_size, b_size): pairs of sharers in different components of which one is apart from its leader.
 
-    Partners meet by shingle and class of sizes, in the classes that an entry's
-    size and place allow; entries that allow none meet nobody.
+    Partners meet by shingle, and where it has many sharers by class of sizes
+    too, in the classes that an entry's size and place allow; entries that allow
+    none meet nobody.
     """
-    low, high = size_limits(F.col("size"), F.col("at"), percent)
+    size, at = size_of(F.col("size_at")), at_of(F.col("size_at"))
+    low, high = size_limits(size, at, percent)
     entries = rooted.where("key != leader_key or root != leader_root").withColumns({"low": low, "high": high}).where("low <= high")
     entries = entries.withColumn("apart", F.col("root") != F.col("leader_root"))
-    a, b = (df.select("shingle", *extra, *(F.col(c).alias(f"{side}_{c}") for c in ("key", "size", "at", "root"))) for side, df, extra in (
-        ("a", entries.where("apart"), [F.explode(F.sequence(size_class(F.col("low")), size_class(F.col("high")))).alias("size_class")]),
-        ("b", entries, [size_class(F.col("size")).alias("size_class"), "apart"])))
+    by_class = of_many(F.col("size_at"))
+    a, b = (df.select("shingle", *extra, *(F.col(c).alias(f"{side}_{c}") for c in ("key", "size_at", "root"))) for side, df, extra in (
+        ("a", entries.where("apart"), [F.explode(F.when(by_class, F.sequence(size_class(F.col("low")), size_class(F.col("high")))).otherwise(F.array(F.lit(0)))).alias("size_class")]),
+        ("b", entries, [F.when(by_class, size_class(size)).otherwise(0).alias("size_class"), "apart"])))
     # a pair of two entries apart meets twice
     met = a.join(b, ["shingle", "size_class"]).where(~F.col("apart") | (F.col("a_key") < F.col("b_key")))
-    met = met.where((F.col("a_root") != F.col("b_root")) & may_link(F.col("a_size"), F.col("a_at"), F.col("b_size"), F.col("b_at"), percent))
+    (a_size, a_at), (b_size, b_at) = ((size_of(F.col(c)), at_of(F.col(c))) for c in ("a_size_at", "b_size_at"))
+    met = met.where((F.col("a_root") != F.col("b_root")) & may_link(a_size, a_at, b_size, b_at, percent))
     turn = F.col("a_key") < F.col("b_key")
     return met.select(
         F.greatest("a_key", "b_key").alias("a"), F.least("a_key", "b_key").alias("b"),
-        F.when(turn, F.col("b_size")).otherwise(F.col("a_size")).alias("a_size"), F.when(turn, F.col("a_size")).otherwise(F.col("b_size")).alias("b_size"))
+        F.when(turn, b_size).otherwise(a_size).alias("a_size"), F.when(turn, a_size).otherwise(b_size).alias("b_size"))
 
 
 def close_sketches(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Suffix filter: pairs (a, b, a_size, b_size) whose sketches differ in no more bits than linked sets may."""
+    """Suffix filter: (a, b, n) of the pairs (a, b, a_size, b_size, n) whose sketches differ in no more bits than linked sets may."""
     both = pairs.join(sketches.select(F.col("key").alias("a"), F.col("sketch").alias("_sa")), "a").join(
         sketches.select(F.col("key").alias("b"), F.col("sketch").alias("_sb")), "b")
     apart = F.aggregate(F.zip_with("_sa", "_sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, m: n + m)
     size = F.col("a_size") + F.col("b_size")
-    return both.where(apart <= size - 2 * required_overlap(F.col("a_size"), F.col("b_size"), percent)).select("a", "b")
+    return both.where(apart <= size - 2 * required_overlap(F.col("a_size"), F.col("b_size"), percent)).select("a", "b", "n")
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -366,7 +393,8 @@ def verified(pairs: DataFrame, class_texts: DataFrame, n: int, percent: int, spr
     members = pairs.select(F.col("a").alias("key"), "b", "part", F.lit(1).alias("role"))
     heads = pairs.select(F.col("b").alias("key"), "b", "part", F.lit(0).alias("role")).distinct()
     places = materialize(heads.unionByName(members))
-    placed = places.join(with_keys(class_texts.select("key", "text"), places.select("key").distinct(), "key"), "key")
+    # few places go to the texts, so that only texts with a partner are moved, once
+    placed = class_texts.select("key", "text").join(F.broadcast(places) if places.count() <= FEW_KEYS else places, "key")
     grouped = placed.repartition("b", "part").sortWithinPartitions("b", "part", "role", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -456,22 +484,22 @@ def class_keys(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 
 def frequent_shingles(counts: DataFrame, most: int) -> np.ndarray:
-    """The most frequent shingles of (key, size), most frequent last, ``most`` at most.
+    """The most frequent shingles of (key, size), most frequent last, about ``most`` at most.
 
     The least frequency follows from a histogram, so that nothing is sorted or
     limited in one task.
     """
     often = materialize(counts.groupBy("key").agg(F.sum("size").alias("df")))
     step = F.floor(F.log2(F.col("df").cast("double")) * 16).cast("int").alias("step")
-    least, held = None, 0
+    chosen, held = F.lit(False), 0
     for r in sorted(often.groupBy(step).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):  # 16 rows for each power of two
+        share = min(1.0, (most - held) / r["n"])
+        # of the last step, a share by fingerprint
+        chosen |= (step == r["step"]) & (F.pmod("key", F.lit(1 << 20)) < int(share * (1 << 20)))
         held += r["n"]
-        if held > most:
+        if held >= most:
             break
-        least = r["step"]
-    if least is None:
-        return np.empty(0, U64)
-    found = often.where(step >= least).toArrow()  # bounded by most
+    found = often.where(chosen).toArrow()  # about ``most`` at most
     keys, df = found.column("key").to_numpy(), found.column("df").to_numpy()
     return keys[np.lexsort((-keys, df))].view(U64)
 
@@ -493,23 +521,36 @@ def classes_and_components(docs: DataFrame, n: int = N, percent: int = PERCENT,
     sketches = texts.groupBy("key").agg(F.first("sketch").alias("sketch"))
 
     def close(pairs: DataFrame) -> DataFrame:
-        return materialize(close_sketches(pairs.distinct(), sketches, percent))
+        counted = pairs.groupBy("a", "b", "a_size", "b_size").agg(F.count(F.lit(1)).alias("n"))
+        return materialize(close_sketches(counted, sketches, percent))
+
+    def with_roots(df: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
+        """Add <column>_root, the component of the class or the class itself."""
+        few = roots.count() <= FEW_KEYS
+        for c in columns:
+            own = roots.select(F.col("key").alias(c), F.col("component").alias(f"{c}_root"))
+            df = df.join(F.broadcast(own) if few else own, c, "left").withColumn(f"{c}_root", F.coalesce(f"{c}_root", c))
+        return df
+
+    def joined(found: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Components after further pairs are compared."""
+        if pairs.isEmpty():
+            return found
+        known = found.select(F.col("key").alias("a"), F.col("component").alias("b"))
+        return materialize(components(known.unionByName(verified(pairs, texts, n, percent))))
 
-    led = shared.where("key != leader_key").where(
-        may_link(F.col("size"), F.col("at"), F.col("leader_size"), F.col("leader_at"), percent))
-    led = close(led.select(F.col("key").alias("a"), F.col("leader_key").alias("b"), F.col("size").alias("a_size"), F.col("leader_size").alias("b_size")))
-    found = materialize(components(verified(led, texts, n, percent)))
+    (size, at), (leader_size, leader_at) = ((size_of(F.col(c)), at_of(F.col(c))) for c in ("size_at", "leader_size_at"))
+    led = shared.where("key != leader_key").where(may_link(size, at, leader_size, leader_at, percent))
+    led = close(led.select(F.col("key").alias("a"), F.col("leader_key").alias("b"), size.alias("a_size"), leader_size.alias("b_size")))
+    # the leader of most of a class's shingles first, the others where that left them apart
+    best = materialize(led.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("b")))
+    found = materialize(components(verified(best, texts, n, percent)))
+    found = joined(found, materialize(with_roots(led.select("a", "b"), found, "a", "b").where("a_root != b_root").select("a", "b")))
 
     # who shares a shingle but is not in its leader's component
-    roots = found.withColumnRenamed("component", "root")
-    leader_roots = roots.select(F.col("key").alias("leader_key"), F.col("root").alias("leader_root"))
-    rooted = shared.join(roots, "key", "left").join(leader_roots, "leader_key", "left").select(
-        "shingle", "key", "size", "at", "leader_key", F.coalesce("root", "key").alias("root"), F.coalesce("leader_root", "leader_key").alias("leader_root"))
-    rooted = materialize(rooted)
-    more = close(repair_pairs(rooted, percent))
-    if not more.isEmpty():
-        known = found.select(F.col("key").alias("a"), F.col("component").alias("b"))
-        found = components(known.unionByName(verified(more, texts, n, percent)))
+    rooted = with_roots(shared.drop("leader_size_at"), found, "key", "leader_key")
+    rooted = materialize(rooted.withColumnsRenamed({"key_root": "root", "leader_key_root": "leader_root"}))
+    found = joined(found, close(repair_pairs(rooted, percent)).select("a", "b"))
     return rows, found.select("key", F.col("component").alias("root"))
 
 

@@ -401,10 +401,61 @@ def test_license_base_places(docs, none, corpus):
     ("Released under the MIT License.", True), ("released under the terms of the mit license", True), ("released under terms of the mit license", False),
     ("Released under the MIT-style License", False), ("x licensed licensed under the mit license y", True), ("released under the mit", False)])
 def test_template_regions(text, accepted):
-    a = license_scan.Automaton(license_scan.TEMPLATES[0][1])
+    a = license_scan.Automaton(license_scan.TEMPLATES[0][2])
     assert a.accepts(license_scan.WORD.findall(text.lower().encode())) == accepted
 
 
+def as_pattern(markup):
+    """A template as a regular expression over words that each end in a space."""
+    out = ""
+    for m in license_scan.marks(markup):
+        if m == "[[":
+            out += "(?:"
+        elif m == "]]":
+            out += ")?"
+        elif m[0] == "{":
+            out += f"(?:[^ ]+ ){{0,{m[1:-1]}}}" if m[1:-1].isdigit() else f"(?:{m[1:-1]}) "
+        else:
+            out += re.escape(m) + " "
+    return re.compile("(?:^| )" + out)
+
+
+def test_labels_equal_an_independent_matcher(spark, corpus, docs):
+    """Whole texts with their regions filled in or left out are accepted, those with one mandatory word altered are not."""
+    rng = random.Random(11)
+    patterns = [(label, score, as_pattern(markup)) for label, score, markup in license_scan.TEMPLATES]
+    rows = [(d, t) for d, t in every(corpus, docs) if d is not None]
+    for label, _, markup in license_scan.TEMPLATES:
+        if not label.endswith("-text"):
+            continue
+        for k in range(8):
+            words, depth = [], 0
+            for m in license_scan.marks(markup):
+                depth += (m == "[[") - (m == "]]")
+                if m[0] == "{":
+                    words += [[f"any{i}" for i in range(rng.randrange(int(m[1:-1]) + 1))]] if m[1:-1].isdigit() else [[rng.choice(m[1:-1].split("|"))]]
+                elif m[0] not in "[]" and (not depth or k % 2):
+                    words.append(m if not depth else [m])
+            if k > 1:
+                at = rng.choice([i for i, w in enumerate(words) if isinstance(w, str)])
+                words[at] = "altered"
+            text = rng.choice([" ", ", ", "\n"]).join(x.upper() if k % 3 else x for w in words for x in ([w] if isinstance(w, str) else w))
+            rows.append((1_000_000 + len(rows), f"{label} {k}\n{text}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    accepted = Counter()
+    got = {(r["doc_id"], r["labels"], r["score"]) for r in license_scan.scan(df).collect()}
+    for d, text in rows:
+        w = "".join(x.decode() + " " for x in license_scan.WORD.findall((text or "").encode().lower()))
+        base = {v for p, v in license_scan.PHRASES.items() if f" {p} " in " " + w}
+        more = {label: score for label, score, p in patterns if p.search(w)}
+        assert (d, ",".join(sorted(base | set(more))), max(more.values(), default=0.5 if base else 0.0)) in got, text
+        if d >= 1_000_000:
+            label, k = text.split("\n")[0].split(" ")
+            accepted[label, int(k) < 2] += label in more
+    whole = [label for label, score, _ in license_scan.TEMPLATES if score == 1]
+    assert all(accepted[label, True] == 2 and accepted[label, False] == 0 for label in whole)
+
+
 def test_replaceable_words():
     a = license_scan.Automaton("this {2} is [[really]] ours")
     for text, ok in (("this is ours", True), ("this x is ours", True), ("this x y is really ours", True), ("this x y z is ours", False), ("this x is truly ours", False)):

@@ -26,26 +26,85 @@ IS_WORD = np.array([WORD.fullmatch(bytes([b]).lower()) is not None for b in rang
 #: Phrases of the base scan and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Label, markup. Notices in common use, in lower case words.
+# The wording of notices and licenses in common use.
+_NOTICE = "{released|licensed|distributed|available} under"
+_AS_IS_DAMAGES = (
+    "any direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or "
+    "services; loss of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in contract, strict liability, "
+    "or tort (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage")
+_BSD_OPENING = "redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
+_BSD_CONDITIONS = (
+    _BSD_OPENING + ": [[1]] redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "[[2]] redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution.")
+_BSD_END = (
+    "this software is provided by {8} as is and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and "
+    "fitness for a particular purpose are disclaimed. in no event shall {8} be liable for " + _AS_IS_DAMAGES)
+_MIT_OPENING = (
+    "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the software), to deal in "
+    "the software without restriction")
+
+
+def _gnu_notice(license: str, version: str) -> str:
+    return (
+        "{6} free software; you can redistribute it and/or modify it under the terms of the " + license + " as published by the free software foundation; "
+        "either version " + version + " of the license, [[or (at your option) any later version]]. {6} distributed in the hope that it will be useful, but without "
+        "any warranty; without even the implied warranty of merchantability or fitness for a particular purpose. see the " + license + " for more details. "
+        "you should have received a copy of the " + license + " along with {4}; if not")
+
+
+#: Label, score, markup. Whole texts score 1, notices that name a license 0.9, opening clauses alone 0.7.
 TEMPLATES = [
-    ("mit-notice", "{released|licensed|distributed|available} under the [[terms of the]] mit license"),
-    ("mit-text", "permission is hereby granted free of charge to any person obtaining a copy of {8} and associated documentation "
-                 "files the {1} to deal in the {1} without restriction"),
-    ("apache-2.0", "{released|licensed|distributed|available} under the [[terms of the]] apache license version 2 0"),
-    ("apache-2.0-text", "you may not use this file except in compliance with the license [[you may obtain a copy of the license at {8}]]"),
-    ("gpl-3.0", "this {3} is {released|licensed|distributed|available} under the [[terms of the]] gnu general public license "
-                "version 3 [[or [[at your option]] any later version]]"),
-    ("gpl-2.0", "this {3} is {released|licensed|distributed|available} under the [[terms of the]] gnu general public license "
-                "version 2 [[or [[at your option]] any later version]]"),
-    ("gpl-text", "{4} is free software you can redistribute it and or modify it under the terms of the gnu general public license "
-                 "as published by the free software foundation"),
-    ("cc-by-nc-4.0", "{released|licensed|distributed|available} under [[a]] cc by nc 4 0 [[license]]"),
-    ("cc-by-sa-4.0", "{released|licensed|distributed|available} under [[a]] cc by sa 4 0 [[license]]"),
-    ("cc-by-4.0", "{released|licensed|distributed|available} under [[a]] cc by 4 0 [[license]]"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the "
-            "following conditions are met"),
-    ("all-rights-reserved", "[[copyright [[c]] {6}]] all rights reserved"),
+    ("mit-notice", 0.9, _NOTICE + " the [[terms of the]] mit license"),
+    ("apache-2.0", 0.9, _NOTICE + " the [[terms of the]] apache license, version 2.0"),
+    ("gpl-3.0", 0.9, "this {3} is " + _NOTICE + " the [[terms of the]] gnu general public license version 3 [[or [[at your option]] any later version]]"),
+    ("gpl-2.0", 0.9, "this {3} is " + _NOTICE + " the [[terms of the]] gnu general public license version 2 [[or [[at your option]] any later version]]"),
+    ("cc-by-nc-4.0", 0.9, _NOTICE + " [[a]] cc by-nc 4.0 [[license]]"),
+    ("cc-by-sa-4.0", 0.9, _NOTICE + " [[a]] cc by-sa 4.0 [[license]]"),
+    ("cc-by-4.0", 0.9, _NOTICE + " [[a]] cc by 4.0 [[license]]"),
+    ("all-rights-reserved", 0.9, "[[copyright [[c]] {6}]] all rights reserved"),
+    ("mit-opening", 0.7, _MIT_OPENING),
+    ("bsd-opening", 0.7, _BSD_OPENING),
+    ("mit-text", 1.0, _MIT_OPENING + (
+        ", including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software, and to permit "
+        "persons to whom the software is furnished to do so, subject to the following conditions: the above copyright notice and this permission notice [[including "
+        "the next paragraph]] shall be included in all copies or substantial portions of the software. the software is provided as is, without warranty of any kind, "
+        "express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. in no event shall "
+        "the {6} be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with "
+        "the software or the use or other dealings in the software")),
+    ("bsd-2-clause-text", 1.0, _BSD_CONDITIONS + " " + _BSD_END),
+    ("bsd-3-clause-text", 1.0, _BSD_CONDITIONS + (
+        " [[3]] neither the name of {12} nor the names of {2} contributors may be used to endorse or promote products derived from this software without specific "
+        "prior written permission. ") + _BSD_END),
+    ("isc-text", 1.0, (
+        "permission to use, copy, modify, and [[or]] distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright "
+        "notice and this permission notice appear in all copies. the software is provided as is and {4} disclaims all warranties with regard to this software including "
+        "all implied warranties of merchantability and fitness. in no event shall {4} be liable for any special, direct, indirect, or consequential damages or any "
+        "damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in "
+        "connection with the use or performance of this software")),
+    ("apache-2.0-text", 1.0, (
+        "licensed under the apache license, version 2.0 [[the license]]; you may not use this file except in compliance with the license. you may obtain a copy of the "
+        "license at {10} unless required by applicable law or agreed to in writing, software distributed under the license is distributed on an as is basis, without "
+        "warranties or conditions of any kind, either express or implied. see the license for the specific language governing permissions and limitations under the "
+        "license")),
+    ("gpl-2.0-text", 1.0, _gnu_notice("gnu general public license", "2")),
+    ("gpl-3.0-text", 1.0, _gnu_notice("gnu general public license", "3")),
+    ("lgpl-2.1-text", 1.0, _gnu_notice("gnu lesser general public license", "2.1")),
+    ("lgpl-3.0-text", 1.0, _gnu_notice("gnu lesser general public license", "3")),
+    ("mpl-2.0-text", 1.0, (
+        "this source code form is subject to the terms of the mozilla public license, v. 2.0. if a copy of the mpl was not distributed with this file, you can obtain "
+        "one at {8} mozilla.org/mpl/2.0")),
 ]
+#: What base phrases alone score.
+BASE_SCORE = 0.5
+
+
+def marks(markup: str) -> list[str]:
+    """``[[``, ``]]``, ``{...}`` and the words of what stands between them."""
+    out = []
+    for part in re.findall(r"\[\[|\]\]|\{[^}]*\}|[^\[\]{}]+", markup):
+        out += [part] if part[0] in "[]{" else [w.decode() for w in WORD.findall(part.lower().encode())]
+    return out
 
 
 class Automaton:
@@ -57,7 +116,7 @@ class Automaton:
         self.free: list[list[int]] = [[]]
         mandatory: list[list[bytes]] = []
         opened: list[int] = []
-        for mark in re.findall(r"\[\[|\]\]|\{[^}]*\}|[^\s\[\]{}]+", markup):
+        for mark in marks(markup):
             here = len(self.words) - 1
             if mark == "[[":
                 opened.append(here)
@@ -116,8 +175,8 @@ class Automaton:
 
 
 @lru_cache(maxsize=8)
-def compiled(templates: tuple[tuple[str, str], ...]) -> list[tuple[str, Automaton]]:
-    return [(label, Automaton(markup)) for label, markup in templates]
+def compiled(templates: tuple[tuple[str, float, str], ...]) -> list[tuple[str, float, Automaton]]:
+    return [(label, score, Automaton(markup)) for label, score, markup in templates]
 
 
 def places(words: list[bytes], phrase: list[bytes]) -> list[int]:
@@ -125,14 +184,16 @@ def places(words: list[bytes], phrase: list[bytes]) -> list[int]:
     return [i for i, w in enumerate(words) if w == phrase[0] and words[i:i + n] == phrase]
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, phrases: dict[str, str] | None = None) -> DataFrame:
+def scan(docs: DataFrame, templates: list[tuple[str, float, str]] | None = None, phrases: dict[str, str] | None = None) -> DataFrame:
     """Base places and labels of each document, and the labels of its templates.
 
     Letters A-Z are lower-cased; words are runs of other letters, digits and
-    non-ASCII characters of the whole text. The score is 1 where a template is
-    accepted, 0.5 where only base phrases stand, else 0. A null or empty text
-    has no words, null first_word and last_word, and empty labels. Repeated rows
-    are scanned each; other columns are ignored.
+    non-ASCII characters of the whole text, however long. The score is the highest
+    of the accepted templates', 0.5 where only base phrases stand, else 0. A null
+    or empty text has no words, null first_word and last_word, and empty labels.
+    Texts that hold several templates have all their labels, and ties in score
+    don't matter; repeated rows are scanned each; other columns are ignored,
+    whatever their names; an empty table gives no rows.
     """
     chosen = tuple(templates if templates is not None else TEMPLATES)
     base = [(p.encode().split(), label) for p, label in (phrases if phrases is not None else PHRASES).items()]
@@ -149,7 +210,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, phrase
             counts = np.diff(np.concatenate([[0], ends[sizes - 1]]))
             rows = []
             for doc, value, n in zip(batch.column("doc_id").to_pylist(), values, counts.tolist()):
-                asked = [(label, a) for label, a in automata if all(w in value for w in a.needs)]
+                asked = [t for t in automata if all(w in value for w in t[2].needs)]
                 stated = [(p, label) for p, label in base if all(w in value for w in p)]
                 if not asked and not stated:
                     rows.append((doc, n, 0, None, None, "", "", 0.0))
@@ -160,9 +221,9 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, phrase
                     if got := places(words, phrase):
                         at += got
                         own.add(label)
-                more = {label for label, a in asked if a.accepts(words)}
+                more = {label: score for label, score, a in asked if a.accepts(words)}
                 rows.append((doc, n, len(at), min(at, default=None), max(at, default=None), ",".join(sorted(own)),
-                             ",".join(sorted(own | more)), 1.0 if more else 0.5 if own else 0.0))
+                             ",".join(sorted(own | set(more))), max(more.values(), default=BASE_SCORE if own else 0.0)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     schema = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"

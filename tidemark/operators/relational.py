@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.clean import select_with_prefix
-from tidemark.operators.curves import global_rank, prefix_sums, tile
+from tidemark.operators.curves import exact_quantiles, global_rank, join_groups, prefix_sums, tile
 
 # ---- joins ----------------------------------------------------------------------
 
@@ -79,6 +79,11 @@ def side_by_side(df: DataFrame, keys: list[str], model: str, models: list[str],
     return df.groupBy(*keys).pivot(model, models).agg(*(F.first(v).alias(v) for v in values))
 
 
+def scores_with_labels(scores: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
+    """Scored rows that have a label, with it; a key's labels should be unique."""
+    return scores.join(labels, keys)
+
+
 # ---- aggregates ------------------------------------------------------------------
 
 
@@ -105,6 +110,16 @@ def engagement_ratios(df: DataFrame, short: str = "n_30", long: str = "n_360") -
     return df.withColumns({"monthly_short": a, "monthly_long": b, "engagement": F.try_divide(a, b)})
 
 
+def percentile_columns(df: DataFrame, by: list[str], value: str, levels: list[float], accuracy: int | None = None) -> DataFrame:
+    """p<percent> of a value by group, with its mean and number of rows: exact, or estimates of the given accuracy."""
+    t = df.groupBy(*by).agg(F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n"))
+    if accuracy is None:
+        found = exact_quantiles(df, {value: F.col(value)}, levels, by)
+    else:
+        found = df.groupBy(*by).agg(F.percentile_approx(F.col(value).cast("double"), levels, accuracy).alias("quantiles"))
+    return join_groups(t, found, by, "left").select(*by, *(F.col("quantiles")[i].alias(f"p{round(q * 100)}") for i, q in enumerate(levels)), "mean", "n")
+
+
 def crosstab(df: DataFrame, rows: str, column: str, values: list) -> DataFrame:
     return df.groupBy(rows).pivot(column, values).count().na.fill(0)
 
@@ -141,6 +156,12 @@ def delinquency_vs_payment(bills: DataFrame, payments: DataFrame, client: str, c
 # ---- windows, top-k, sets -----------------------------------------------------------
 
 
+def relative_bands(df: DataFrame, by: list[str], value: str, bands: int) -> DataFrame:
+    """Add ``band`` 0..bands - 1 by the share of the group's rows with no greater value."""
+    w = Window.partitionBy(*by).orderBy(value)
+    return df.withColumn("band", F.least(F.floor(F.cume_dist().over(w) * bands), F.lit(bands - 1)))
+
+
 def score_tiles(df: DataFrame, score: str, key: str, tiles: int = 10, by: list[str] | None = None) -> DataFrame:
     """Add ``tile``, 1 the highest scores; over the whole table by global ranks, within groups by a window."""
     if by:

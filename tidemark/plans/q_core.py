@@ -31,9 +31,41 @@ def source_calendar(t: Tables) -> DataFrame:
     return rounded(c.withColumns({x: F.col(x).cast("string") for x in ("is_month_end", "is_weekend", "is_weekday")}))
 
 
-@query("select c_mktsegment, count(distinct c_mktsegment) as n_ids from customer where trim(c_mktsegment) <> '' group by c_mktsegment")
+@query("select count(distinct c_name) as n_keys, count(distinct c_name) as n_ids, 0 as n_collisions from customer where trim(c_name) <> ''")
 def source_key_dimension(t: Tables) -> DataFrame:
-    return io.build_key_dimension(t("customer"), "c_mktsegment").groupBy("c_mktsegment").agg(F.count_distinct("key_id").alias("n_ids"))
+    """As many ids as keys, and no id with several keys."""
+    dim = io.build_key_dimension(t("customer").union(t("customer")), "c_name")
+    n = dim.agg(F.count("c_name").alias("n_keys"), F.count_distinct("key_id").alias("n_ids"))
+    return n.join(F.broadcast(io.key_collisions(dim, "c_name").agg(F.count(F.lit(1)).cast("int").alias("n_collisions"))))  # a row each
+
+
+def ingested(t: Tables) -> tuple[io.TableStore, str, DataFrame]:
+    """Orders and customers from CSV files, and a source that isn't there, landed in one batch."""
+    spark = t("orders").sparkSession
+    files, root = io.scratch_path(spark), io.scratch_path(spark)
+    for name in ("orders", "customer"):
+        t(name).write.option("header", "true").csv(f"{files}/{name}")
+    sources = [io.Source(n, f"{files}/{n}", "csv", {"header": "true"}) for n in ("orders", "customer", "missing")]
+    store = io.TableStore(root, "bronze")
+    io.ingest_batch(spark, sources, store, "raw", f"{root}/log")
+    return store, f"{root}/log", spark
+
+
+@query("select 'orders' as name, 'SUCCESS' as status, count(*) as n from orders union all select 'customer', 'SUCCESS', count(*) from customer union all select 'missing', 'FAILED', null")
+def source_ingest_log(t: Tables) -> DataFrame:
+    """The run log of a batch: a source that fails doesn't stop the others."""
+    _, log, spark = ingested(t)
+    return io.read_table(spark, log).select(F.col("table").alias("name"), "status", F.col("rows").alias("n"))
+
+
+@query(shown("select o_orderstatus, count(*) as n, sum(o_totalprice) as total, min(o_orderdate) as first_day, 0 as n_unnamed from orders group by o_orderstatus", o_orderstatus="s", n="i", total="d", first_day="t", n_unnamed="i"))
+def source_ingested_rows(t: Tables) -> DataFrame:
+    """What a batch has landed, typed again, with its audit columns filled in every row."""
+    store, _, spark = ingested(t)
+    rows = io.read_columns(spark, store.path("raw", "orders"), ["o_orderstatus", "o_totalprice", "o_orderdate", "_execution_id", "_ingested_at"])
+    return rounded(rows.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("double")).alias("total"), F.min(F.col("o_orderdate").cast("timestamp")).alias("first_day"),
+        F.count_if(F.col("_execution_id").isNull() | F.col("_ingested_at").isNull()).alias("n_unnamed")))
 
 
 UPSERT = """select o_orderkey, o_totalprice, o_orderstatus from orders where o_orderkey % 5 <> 0
@@ -86,14 +118,33 @@ def source_final_features(t: Tables) -> DataFrame:
 @query(shown("select c_custkey, c_name, n_name, c_acctbal from customer join nation on c_nationkey = n_nationkey where c_acctbal > 0", c_custkey="i", c_name="s", n_name="s", c_acctbal="d"))
 def source_lookup_view(t: Tables) -> DataFrame:
     """A customer lookup over registered views."""
-    c = t("customer")
-    c.createOrReplaceTempView("tidemark_customer")
-    t("nation").createOrReplaceTempView("tidemark_nation")
-    return rounded(c.sparkSession.sql("select c_custkey, c_name, n_name, c_acctbal from tidemark_customer join tidemark_nation on c_nationkey = n_nationkey where c_acctbal > 0"))
+    spark = t("customer").sparkSession
+    root = io.scratch_path(spark)
+    for name in ("customer", "nation"):
+        io.write_overwrite(t(name), f"{root}/{name}")
+    io.register_views(spark, {f"tidemark_{name}": f"{root}/{name}" for name in ("customer", "nation")})
+    return rounded(spark.sql("select c_custkey, c_name, n_name, c_acctbal from tidemark_customer join tidemark_nation on c_nationkey = n_nationkey where c_acctbal > 0"))
 
 
 # ---- cleansing ------------------------------------------------------------------------
 
+
+@query("select o_orderkey, o_custkey from orders")
+def clean_drop_internal(t: Tables) -> DataFrame:
+    return clean.drop_internal(io.with_audit(t("orders").select("o_orderkey", "o_custkey"), "run"))
+
+
+@query(shown("select o_orderkey, o_totalprice as score_price, o_orderstatus as score_status from orders", o_orderkey="i", score_price="d", score_status="s"))
+def clean_rename_matching(t: Tables) -> DataFrame:
+    o = t("orders").selectExpr("o_orderkey", "o_totalprice as PROB_price", "o_orderstatus as PROB_status")
+    return rounded(clean.rename_matching(o, "PROB_", "score_"))
+
+
+@query("select o_orderkey from orders where o_orderstatus = 'F'")
+def clean_filter_approved(t: Tables) -> DataFrame:
+    o = t("orders").withColumn("approved", F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 0))
+    return clean.filter_approved(o, "approved").select("o_orderkey")
+
 STAMPS = "upper(strftime(o_orderdate, '%d%b%Y')) || ':00:00:00'"
 
 
@@ -330,9 +381,14 @@ def aggregate_statistics(t: Tables) -> DataFrame:
 @query(shown("""select l_returnflag, quantile_cont(l_extendedprice, 0.1) as p10, quantile_cont(l_extendedprice, 0.5) as p50, quantile_cont(l_extendedprice, 0.9) as p90, avg(l_extendedprice) as mean, count(*) as n
     from lineitem group by l_returnflag""", l_returnflag="s", p10="d", p50="d", p90="d", mean="d", n="i"))
 def aggregate_percentiles(t: Tables) -> DataFrame:
-    p = F.percentile("l_extendedprice", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
-    out = t("lineitem").groupBy("l_returnflag").agg(p.alias("p"), F.avg("l_extendedprice").alias("mean"), F.count(F.lit(1)).alias("n"))
-    return rounded(out.select("l_returnflag", *(F.col("p")[i].alias(f"p{q}") for i, q in enumerate((10, 50, 90))), "mean", "n"))
+    return rounded(rel.percentile_columns(t("lineitem"), ["l_returnflag"], "l_extendedprice", [0.1, 0.5, 0.9]))
+
+
+@query(shown("select l_returnflag, quantile_disc(l_quantity, 0.25) as p25, quantile_disc(l_quantity, 0.5) as p50, avg(l_quantity) as mean, count(*) as n from lineitem group by l_returnflag",
+             l_returnflag="s", p25="d", p50="d", mean="d", n="i"))
+def aggregate_percentiles_approximate(t: Tables) -> DataFrame:
+    """A column of few distinct values, where the estimate is the value itself."""
+    return rounded(rel.percentile_columns(t("lineitem"), ["l_returnflag"], "l_quantity", [0.25, 0.5], accuracy=1_000_000))
 
 
 @query(shown("""select user_id, max(case when event_type like 'p%' then value end) as top_p, max(case when event_type like 'c%' then value end) as top_c, count(distinct event_type) as kinds from events group by user_id""",
@@ -345,13 +401,12 @@ def aggregate_pivot_by_pattern(t: Tables) -> DataFrame:
 
 @query(shown("select o_orderkey, least(floor(cume_dist() over (partition by o_custkey order by o_totalprice) * 5), 4) as band from orders", o_orderkey="i", band="i"))
 def window_relative_rank(t: Tables) -> DataFrame:
-    w = Window.partitionBy("o_custkey").orderBy("o_totalprice")
-    return rounded(t("orders").select("o_orderkey", F.least(F.floor(F.cume_dist().over(w) * 5), F.lit(4)).alias("band")))
+    return rounded(rel.relative_bands(t("orders"), ["o_custkey"], "o_totalprice", 5).select("o_orderkey", "band"))
 
 
 @query(shown("select d.doc_id as doc_id, lang, quality from documents d join labels l on d.doc_id = l.doc_id", doc_id="i", lang="s", quality="i"))
 def join_scores_labels(t: Tables) -> DataFrame:
-    return rounded(t("documents").select("doc_id", "lang").join(t("labels").select("doc_id", "quality"), "doc_id"))
+    return rounded(rel.scores_with_labels(t("documents").select("doc_id", "lang"), t("labels").select("doc_id", "quality"), ["doc_id"]))
 
 
 @query(shown("select o_orderpriority, count(*) filter (where o_orderstatus = 'F') as f, count(*) filter (where o_orderstatus = 'O') as o, count(*) filter (where o_orderstatus = 'P') as p from orders group by all",

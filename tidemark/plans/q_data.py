@@ -9,6 +9,7 @@ from tidemark.operators import fitting, profiling, quality, scoring, selection
 from tidemark.operators.metrics import quality_gate, ranking_metrics
 from tidemark.plans.q_metrics import FEATURES, IV, SCORED, psi_sql, scored
 from tidemark.plans.registry import Tables, query, rounded, shown
+from tidemark.sources import io
 
 # ---- profiling -------------------------------------------------------------------
 
@@ -156,6 +157,16 @@ def quality_summary(t: Tables) -> DataFrame:
     return rounded(quality.summarise(suite(t)))
 
 
+@query("""select 'by status' as entity, 'PASS' as status from orders having count(*) > 0 union all select 'whole', 'FAIL' from orders having count(*) > 0""")
+def quality_partitioned(t: Tables) -> DataFrame:
+    """A table in folders by the column, and the same table without."""
+    spark = t("orders").sparkSession
+    parts, whole = io.scratch_path(spark), io.scratch_path(spark)
+    io.write_overwrite(t("orders"), parts, ["o_orderstatus"])
+    io.write_overwrite(t("orders"), whole)
+    return quality.run_suite([quality.partitioned_by(spark, p, "o_orderstatus", "gold", e) for p, e in ((parts, "by status"), (whole, "whole"))]).select("entity", "status")
+
+
 # ---- selection --------------------------------------------------------------------------
 
 
@@ -196,13 +207,13 @@ WIDE = ["p1", "p2", "quantity", "price", "tax"]
 @query()
 def selection_correlation_filter(t: Tables) -> DataFrame:
     left = selection.correlation_filter(scored(t), WIDE, {"quantity": 0.2, "p2": 0.1})
-    return t("lineitem").limit(1).select(F.explode(F.array(*map(F.lit, left))).alias("feature"))
+    return t("lineitem").sparkSession.createDataFrame([(x,) for x in left], "feature string")
 
 
 @query()
 def selection_drop_most_correlated(t: Tables) -> DataFrame:
     left = selection.drop_most_correlated(scored(t), WIDE)
-    return t("lineitem").limit(1).select(F.explode(F.array(*map(F.lit, left))).alias("feature"))
+    return t("lineitem").sparkSession.createDataFrame([(x,) for x in left], "feature string")
 
 
 @query()

@@ -137,6 +137,11 @@ def write_final_features(df: DataFrame, path: str, features: list[str], keys: li
 
 
 def build_key_dimension(df: DataFrame, key: str, name: str = "key_id") -> DataFrame:
-    """Distinct non-blank keys with a stable 64-bit id of their text."""
+    """Distinct non-blank keys with a stable 64-bit id of their text; ``key_collisions`` tells whether two keys share one."""
     text = F.trim(F.col(key).cast("string"))
     return df.where(text.isNotNull() & (text != "")).select(F.col(key)).distinct().withColumn(name, F.xxhash64(key))
+
+
+def key_collisions(dimension: DataFrame, key: str, name: str = "key_id") -> DataFrame:
+    """Ids that stand for several keys; of n keys about n * n / 2**65 are to be expected."""
+    return dimension.groupBy(name).agg(F.min(key).alias("a"), F.max(key).alias("b")).where("a != b")

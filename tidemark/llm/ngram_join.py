@@ -426,13 +426,14 @@ def components(links: DataFrame, hub: int = 1_000_000) -> DataFrame:
     edges = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
 
     def state(df: DataFrame) -> tuple:
-        most = df.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h"))
-        n, h, largest = most.agg(F.sum("n"), F.sum("h"), F.max("n")).first()
-        return n or 0, h, largest or 0
+        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
+    def has_hub(df: DataFrame) -> bool:
+        return df.groupBy("v").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] > hub
 
     before = state(edges)
     while before[0]:
-        kept = materialize if before[2] > hub else lambda df: df
+        kept = materialize if before[0] > hub and has_hub(edges) else lambda df: df
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = kept(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())

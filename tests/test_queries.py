@@ -12,7 +12,7 @@ from tidemark.plans import catalog
 
 DIR = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-CHOSEN = sorted(catalog.ORACLE) if os.environ.get("ALL_QUERIES") else sorted(catalog.ORACLE)[::6]
+CHOSEN = sorted(catalog.ORACLE) if os.environ.get("ALL_QUERIES") else sorted(catalog.ORACLE)[::3]
 
 
 @pytest.fixture(scope="module")

@@ -16,10 +16,14 @@ def scratch_dir(spark: SparkSession) -> str:
     """A new folder name inside the shared checkpoint folder.
 
     The cluster names the folder in ``spark.checkpoint.dir``; only where that
-    is unset (tests on one machine) a temporary folder is taken instead.
+    is unset on a local master (tests on one machine) a temporary folder is taken
+    instead; elsewhere that is an error, as executors would not share it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"

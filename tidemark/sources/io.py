@@ -57,9 +57,12 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share; a temporary one where none is set."""
+    """A new path in the folder that driver and executors share; a temporary one where none is set on a local master."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from tidemark.operators.curves import quantile_values
 
 INTERNAL = "_"
+# fixed value: names of columns that tell the label
+LEAKAGE = r"VLR_FPD|TARGET_FPD|_LEAKAGE"
 
 
 def safe_divide(a: Column, b: Column, fill: float | None = 0.0) -> Column:
@@ -201,4 +203,9 @@ def dedup_latest(df: DataFrame, keys: list[str] | None, order: list[str] | None
 
 def hash_split(key: Column, percent: int, salt: str = "split") -> Column:
     """A repeatable sample by key: true for about this percentage, its negation is the rest."""
-    return F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(100)) < percent
+    return hash_number(key, salt) % 100 < percent
+
+
+def hash_number(key: Column, salt: str) -> Column:
+    """A whole number of 32 bits from a key's text, which any engine with md5 gives as well."""
+    return F.conv(F.substring(F.md5(F.concat(key.cast("string"), F.lit(f":{salt}"))), 1, 8), 16, 10).cast("long")

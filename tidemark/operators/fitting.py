@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.features import frequency_encode
+from tidemark.operators.compiled import logistic_probability
 from tidemark.operators.metrics import ranking_metrics
 
 
@@ -31,9 +32,9 @@ def _inputs(features: list[str]) -> list:
     return [Imputer(inputCols=features, outputCols=filled, strategy="median"), VectorAssembler(inputCols=filled, outputCol="_x")]
 
 
-def lasso_pipeline(features: list[str], penalty: float = 0.001) -> Pipeline:
+def lasso_pipeline(features: list[str], penalty: float = 0.001, tolerance: float = 1e-6) -> Pipeline:
     return Pipeline(stages=[*_inputs(features), StandardScaler(inputCol="_x", outputCol="_z", withMean=True), LogisticRegression(
-        featuresCol="_z", labelCol="_label", weightCol="_weight", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=100)])
+        featuresCol="_z", labelCol="_label", weightCol="_weight", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=100, tol=tolerance)])
 
 
 def boosted_pipeline(features: list[str], rounds: int = 20, depth: int = 4, step: float = 0.1, seed: int = 42) -> Pipeline:
@@ -47,6 +48,10 @@ def forest_pipeline(features: list[str], trees: int = 500, depth: int = 12, leas
 
 
 def predict(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the probability of label 1: an expression over the columns for logistic models, else by the model."""
+    p = logistic_probability(model)
+    if p is not None:
+        return df.withColumn(name, p)
     out = model.transform(df).withColumn(name, vector_to_array(F.col("probability"))[1])
     return out.select(*df.columns, name)
 

@@ -27,11 +27,6 @@ def of_kind(df: DataFrame, kind: str) -> list[str]:
     return [c for c, k in column_kinds(df).items() if k == kind]
 
 
-def adaptive_sample(df: DataFrame, n_rows: int, share: float = 0.1, most: int = 1_000_000, seed: int = 42) -> DataFrame:
-    """A tenth of the rows, or fewer where that were more than ``most``."""
-    return df.sample(False, min(share, most / max(n_rows, 1)) if n_rows > most * share else 1.0, seed)
-
-
 def _unpivoted(df: DataFrame, columns: list[str], aggregates: dict[str, Column], names: list[str]) -> DataFrame:
     """One row of many aggregates named <stat>_<i> turned into a row for each column."""
     one = df.agg(*(a.alias(n) for n, a in aggregates.items()))

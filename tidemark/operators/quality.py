@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.clean import LEAKAGE
+
 RESULT = "layer string, entity string, check string, status string, detail string"
 
 
@@ -95,7 +97,7 @@ def snapshots_are(df: DataFrame, snapshot: str, expected: list[int], layer: str,
     return _counted(df.select(snapshot).distinct(), layer, entity, "snapshots as expected", wrong, F.col("_v") == "")
 
 
-def no_leakage(df: DataFrame, layer: str, entity: str, pattern: str = r"VLR_FPD|TARGET_FPD|_LEAKAGE") -> DataFrame:
+def no_leakage(df: DataFrame, layer: str, entity: str, pattern: str = LEAKAGE) -> DataFrame:
     bad = [c for c in df.columns if re.search(pattern, c)]
     return _said(df.sparkSession, layer, entity, "no leakage columns", not bad, ", ".join(bad) or "none")
 
@@ -117,8 +119,8 @@ def volume_near(df: DataFrame, expected: int, layer: str, entity: str, tolerance
 
 def partitioned_by(spark: SparkSession, path: str, column: str, layer: str, entity: str) -> DataFrame:
     """Whether the table's files lie in folders named by the column."""
-    files = spark.read.parquet(path).select(F.input_file_name().alias("f"))
-    return _counted(files, layer, entity, "partitioned", F.count_if(~F.col("f").contains(f"/{column}=")), F.col("_v") == 0)
+    outside = [f for f in spark.read.parquet(path).inputFiles() if f"/{column}=" not in f]
+    return _said(spark, layer, entity, "partitioned", not outside, str(len(outside)))
 
 
 def null_rates(df: DataFrame, columns: list[str], layer: str, entity: str, limit: float = 0.50) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.clean import select_with_prefix
+from tidemark.functions.clean import LEAKAGE, rename_matching, select_with_prefix
 from tidemark.operators.curves import exact_quantiles, global_rank, join_groups, prefix_sums, tile
 
 # ---- joins ----------------------------------------------------------------------
@@ -36,8 +37,6 @@ def consolidate(spine: DataFrame, sources: dict[str, DataFrame | None], keys: li
 
     Columns whose names match a leakage pattern stay out.
     """
-    import re
-
     out = spine
     for name, book in sources.items():
         if book is None:
@@ -84,6 +83,19 @@ def scores_with_labels(scores: DataFrame, labels: DataFrame, keys: list[str]) ->
     return scores.join(labels, keys)
 
 
+def feature_store(spine: DataFrame, books: dict[str, DataFrame | None], scores: DataFrame | None, keys: list[str], score_prefix: str, to: str,
+                  exclude: list[str] | None = None, at: Column | None = None) -> DataFrame:
+    """The consolidated table: books with their prefixes, scores with theirs renamed, and ``processed_at``.
+
+    Columns that match the leakage patterns stay out of books and scores alike.
+    """
+    out = consolidate(spine, books, keys, exclude, [LEAKAGE])
+    if scores is not None:
+        named = rename_matching(scores.select(*[c for c in scores.columns if not re.search(LEAKAGE, c, re.I)]), score_prefix, to)
+        out = out.join(named, keys, "left")
+    return out.withColumn("processed_at", at if at is not None else F.current_timestamp())
+
+
 # ---- aggregates ------------------------------------------------------------------
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.binning import bin_of, quantile_edges
+from tidemark.operators.compiled import logistic_probability
 from tidemark.operators.curves import exact_quantiles, join_groups
 
 BANDS = ["CRITICO", "ALTO", "MEDIO", "BAIXO"]
@@ -70,7 +71,8 @@ def score_columns(df: DataFrame, prob: Column, version: str, execution_id: str)
 
 def batch_score(model: PipelineModel, df: DataFrame, keys: list[str], version: str, execution_id: str) -> DataFrame:
     """Keys with score, band and probability; the keys stay with their rows throughout."""
-    out = score_columns(model.transform(df), probability_of(), version, execution_id)
+    p = logistic_probability(model)
+    out = score_columns(model.transform(df), probability_of(), version, execution_id) if p is None else score_columns(df, p, version, execution_id)
     return out.select(*keys, "score", "band", "prob", "model_version", "scored_at", "execution_id")
 
 

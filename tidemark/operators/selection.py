@@ -12,8 +12,9 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.clean import impute_median, inf_to_null
+from tidemark.functions.clean import LEAKAGE, impute_median, inf_to_null
 from tidemark.operators.binning import information_value, psi_table
+from tidemark.operators.sampling import exact_sample
 
 
 def iv_filter(df: DataFrame, columns: list[str], label: str, least: float = 0.02) -> DataFrame:
@@ -103,9 +104,6 @@ def label_correlations(df: DataFrame, columns: list[str], label: str) -> DataFra
     return one.select(pairs.alias("x")).select("x.*").orderBy(F.desc(F.abs("correlation")), "feature")
 
 
-LEAKAGE = r"VLR_FPD|TARGET_FPD|_LEAKAGE"
-
-
 def leakage_filter(df: DataFrame, columns: list[str], label: str, limit: float = 0.95, pattern: str = LEAKAGE) -> DataFrame:
     """Features that leak the label, by name or by correlation."""
     by_name = [c for c in columns if re.search(pattern, c)]
@@ -122,8 +120,8 @@ def variance_inflation(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def stratified_sample(df: DataFrame, strata: list[str], key: str, percent: int = 25) -> DataFrame:
-    """The same share of every stratum, by hash of the key within it."""
-    return df.where(F.pmod(F.xxhash64(key, *strata, F.lit("sample")), F.lit(100)) < percent)
+    """The same share of every stratum, its size exact, by hash of the key."""
+    return exact_sample(df, key, strata, percent=percent)
 
 
 @dataclass(frozen=True)

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.book_engine import build_book, build_book_by_snapshot
+from tidemark.plans.book_run import book_counts, book_rollup, run_book
 from tidemark.plans.book_spec import BookSpec, naive_sql
 from tidemark.plans.books import billing_book, payment_book, recharge_book
 from tidemark.plans.registry import Tables, query, rounded, shown
+from tidemark.sources.io import scratch_path
 
 WEEKS = {20240108: "2024-01-08", 20240115: "2024-01-15", 20240122: "2024-01-22", 20240129: "2024-01-29"}
 YEARS = {y * 100 + 1: f"{y}-01-01" for y in range(1996, 2002)}
@@ -119,3 +121,32 @@ def bills(t: Tables) -> DataFrame:
 @query(oracle(BILLING, BILL_SQL, YEARS))
 def book_billing(t: Tables) -> DataFrame:
     return rounded(build_book(bills(t), BILLING, YEARS))
+
+
+# ---- runs and rollups ---------------------------------------------------------------
+
+ROLLUP = f"""select case when grouping(snapshot) = 1 then 'total' when grouping(risk_segment) = 1 then 'snapshot' else 'segment' end as level,
+    snapshot, risk_segment, count(*) as n, sum(credit_total) as total, max(n_total) as most from ({naive_sql(RECHARGE, f"select {EVENT_ROLES} from events", WEEKS)}) group by rollup (snapshot, risk_segment)"""
+
+
+@query(shown(ROLLUP, level="s", snapshot="i", risk_segment="s", n="i", total="d", most="i"))
+def book_rollup_by_segment(t: Tables) -> DataFrame:
+    """Segments, snapshots and the total of a book from one pass."""
+    book = build_book(recharges(t), RECHARGE, WEEKS)
+    return rounded(book_rollup(book, "risk_segment", {"total": "sum(credit_total)", "most": "max(n_total)"}))
+
+
+RUNS = " union all ".join(
+    f"select {k} as snapshot, count(distinct o_custkey) as rows, 'SUCCESS' as status, {2 if k == max(YEARS) else 1} as run from orders where o_orderdate < timestamp '{c}'" for k, c in YEARS.items())
+
+
+@query(shown(RUNS, snapshot="i", rows="i", status="s", run="i"))
+def book_run_resumed(t: Tables) -> DataFrame:
+    """A run in which the last snapshot's cut-off is no date, and a second one that adds only this snapshot."""
+    facts = payments(t)
+    target = scratch_path(facts.sparkSession)
+    bad = YEARS | {max(YEARS): "2001-13-01"}
+    first = run_book(facts, PAYMENT, bad, target).where("status = 'SUCCESS'").withColumn("run", F.lit(1))
+    second = run_book(facts, PAYMENT, YEARS, target).withColumn("run", F.lit(2))
+    landed = first.unionByName(second).select("snapshot", F.col("run").alias("landed_in"))
+    return rounded(book_counts(facts.sparkSession, target).join(landed, "snapshot").select("snapshot", "rows", "status", F.col("landed_in").alias("run")))

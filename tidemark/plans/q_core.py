@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import clean, features
 from tidemark.operators import relational as rel
 from tidemark.plans.registry import Tables, query, rounded, shown
-from tidemark.sources import calendar, io
+from tidemark.sources import calendar, io, merge
 
 # ---- sources ----------------------------------------------------------------------
 
@@ -81,6 +81,20 @@ def source_upsert(t: Tables) -> DataFrame:
     return rounded(io.upsert(o, changed.unionByName(new), ["o_orderkey"]))
 
 
+@query(shown(UPSERT.replace("* 2, 'X'", "* 2, case when o_orderkey % 10 = 0 then 'X' else 'F' end"), o_orderkey="i", o_totalprice="d", o_orderstatus="s"))
+def source_merge(t: Tables) -> DataFrame:
+    """The upsert as a merge into a table with a partition for each status; rows also move between partitions."""
+    o = t("orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    spark = o.sparkSession
+    path = io.scratch_path(spark)
+    io.write_overwrite(o, path, ["o_orderstatus"])
+    status = F.when(F.col("o_orderkey") % 10 == 0, "X").otherwise("F")
+    changed = o.where("o_orderkey % 5 = 0").select("o_orderkey", (F.col("o_totalprice") * 2).alias("o_totalprice"), status.alias("o_orderstatus"))
+    new = o.where("o_orderkey % 50 = 0").select((F.col("o_orderkey") + 100000000).alias("o_orderkey"), "o_totalprice", F.lit("N").alias("o_orderstatus"))
+    merge.merge_into(spark, path, changed.unionByName(new), ["o_orderkey"], ["o_orderstatus"])
+    return rounded(io.read_columns(spark, path, ["o_orderkey", "o_totalprice", "o_orderstatus"]))
+
+
 @query("select 'orders' as \"table\", count(*) as n from orders union all select 'lineitem', count(*) from lineitem union all select 'customer', count(*) from customer")
 def source_row_counts(t: Tables) -> DataFrame:
     return rel.row_counts({n: t(n) for n in ("orders", "lineitem", "customer")})
@@ -123,7 +137,9 @@ def source_lookup_view(t: Tables) -> DataFrame:
     for name in ("customer", "nation"):
         io.write_overwrite(t(name), f"{root}/{name}")
     io.register_views(spark, {f"tidemark_{name}": f"{root}/{name}" for name in ("customer", "nation")})
-    return rounded(spark.sql("select c_custkey, c_name, n_name, c_acctbal from tidemark_customer join tidemark_nation on c_nationkey = n_nationkey where c_acctbal > 0"))
+    rows = spark.table("tidemark_customer").join(spark.table("tidemark_nation"), F.col("c_nationkey") == F.col("n_nationkey")).where("c_acctbal > 0")
+    io.lookup_view(rows, "tidemark_lookup", ["c_custkey", "c_name", "n_name", "c_acctbal"])
+    return rounded(spark.table("tidemark_lookup"))
 
 
 # ---- cleansing ------------------------------------------------------------------------
@@ -287,6 +303,23 @@ def join_consolidate(t: Tables) -> DataFrame:
     return rounded(rel.consolidate(spine, {"orders": book, "lines": lines, "absent": None}, ["client", "snapshot"], leakage=["VLR_FPD|TARGET_FPD|_LEAKAGE"]))
 
 
+FEATURE_STORE = CONSOLIDATED.replace("orders_n, orders_total, lines_n", "orders_n, orders_total, lines_n, score_orders, '2002-01-01' as processed_at") + """
+    left join (select o_custkey as c3, year(o_orderdate) as s3, avg(o_totalprice) as score_orders from orders group by all) on c3 = client and s3 = snapshot"""
+
+
+@query(shown(FEATURE_STORE, client="i", snapshot="i", orders_n="i", orders_total="d", lines_n="i", score_orders="d", processed_at="s"))
+def join_feature_store(t: Tables) -> DataFrame:
+    """Books and scores consolidated: scores have their prefix renamed, and rows say when they were made."""
+    o = t("orders").withColumns({"client": F.col("o_custkey"), "snapshot": F.year("o_orderdate")})
+    spine = o.select("client", "snapshot").distinct()
+    book = o.where("o_orderstatus = 'F'").groupBy("client", "snapshot").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"), F.max("o_totalprice").alias("x_LEAKAGE"))
+    scores = o.groupBy("client", "snapshot").agg(F.avg("o_totalprice").alias("PROB_orders"), F.max("o_totalprice").alias("VLR_FPD_max"))
+    lines = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy(
+        F.col("o_custkey").alias("client"), F.year("l_shipdate").alias("snapshot")).agg(F.count(F.lit(1)).alias("n"))
+    return rounded(rel.feature_store(spine, {"orders": book, "lines": lines}, scores, ["client", "snapshot"], "PROB_", "score_", at=F.lit("2002-01-01").cast("timestamp")).withColumn(
+        "processed_at", F.date_format("processed_at", "yyyy-MM-dd")))
+
+
 WEEKS = {20240107: "2024-01-07", 20240114: "2024-01-14", 20240121: "2024-01-21", 20240131: "2024-01-31"}
 SEEN = "select e.*, snapshot, date_diff('day', cast(ts as date), ref) as days_before from events e join (values {}) s(snapshot, ref) on cast(ts as date) <= ref".format(
     ", ".join(f"({k}, date '{d}')" for k, d in WEEKS.items()))
@@ -487,8 +520,8 @@ def topk_at_least(t: Tables) -> DataFrame:
 @query(shown("select event_id, ts, event_type from events where user_id = (select min(user_id) from events)", event_id="i", ts="t", event_type="s"))
 def topk_timeline(t: Tables) -> DataFrame:
     e = t("events")
-    first = e.agg(F.min("user_id").alias("u"))
-    return rounded(e.join(F.broadcast(first), F.col("user_id") == F.col("u")).orderBy("ts").select("event_id", "ts", "event_type"))
+    first = e.agg(F.min("user_id").alias("u")).first()["u"]
+    return rounded(rel.timeline(e, "user_id", first, "ts").select("event_id", "ts", "event_type"))
 
 
 @query("select o_orderpriority, count(*) as n, case left(o_orderpriority, 1) when '3' then 0 when '1' then 1 else 2 end as place from orders group by all")
@@ -517,12 +550,10 @@ def set_overlap(t: Tables) -> DataFrame:
     return rel.set_overlap(t("lineitem"), F.col("l_discount") > 0.05, F.col("l_tax") > 0.04)
 
 
-@query("select count(*) as n, count(distinct part) as parts from (select o_orderkey, 1 as part from orders union all select o_orderkey, 2 from orders where false)", name="set_hash_split")
+@query("select o_orderkey, cast(('0x' || substr(md5(o_orderkey || ':split'), 1, 8)) as bigint) % 100 < 25 as chosen from orders")
 def set_hash_split(t: Tables) -> DataFrame:
-    """A sample and its complement hold every row once."""
-    o = t("orders").withColumn("chosen", clean.hash_split(F.col("o_orderkey"), 25))
-    both = o.where("chosen").select("o_orderkey").unionByName(o.where("not chosen").select("o_orderkey"))
-    return both.agg(F.count(F.lit(1)).alias("n"), (F.count(F.lit(1)) / F.count_distinct("o_orderkey")).cast("long").alias("parts"))
+    """The keys of a sample, and those of its complement."""
+    return t("orders").select("o_orderkey", clean.hash_split(F.col("o_orderkey"), 25).alias("chosen"))
 
 
 # ---- derived features ------------------------------------------------------------------------------

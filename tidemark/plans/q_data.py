@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import fitting, profiling, quality, scoring, selection
+from tidemark.operators import compiled, fitting, profiling, quality, sampling, scoring, selection
 from tidemark.operators.metrics import quality_gate, ranking_metrics
+from tidemark.operators.quality_plan import Suite
 from tidemark.plans.q_metrics import FEATURES, IV, SCORED, psi_sql, scored
 from tidemark.plans.registry import Tables, query, rounded, shown
 from tidemark.sources import io
@@ -118,27 +119,47 @@ def profile_enriched_metadata(t: Tables) -> DataFrame:
 
 
 def suite(t: Tables) -> DataFrame:
+    """All checks of the three tables; the spine's are its rows only."""
+    s = Suite()
+    o = s.table(t("orders").withColumn("yr", F.year("o_orderdate")), "orders")
+    li, spine = s.table(t("lineitem"), "lineitem"), s.table(t("orders").select("o_orderkey").distinct(), "spine")
+    o.has_rows("silver").rows_at_most("silver", li).rows_equal("gold", spine).keys_not_null("silver", ["o_orderkey"]).keys_unique("silver", ["o_orderkey"])
+    li.keys_unique("silver", ["l_orderkey", "l_linenumber"])
+    o.types_conform("silver", {"o_orderkey": "bigint", "o_orderdate": "datetime", "o_orderstatus": "varchar(10)"}).audit_columns("bronze").column_count("silver", 7)
+    o.column_is_int("gold", "yr").snapshots_are("gold", "yr", list(range(1995, 2003))).no_leakage("gold").prefixes_present("gold", ["o_", "x_"])
+    o.columns_present("gold", ["o_orderkey", "o_custkey"]).snapshots_balanced("gold", "yr").volume_near("gold", 1).null_rates("gold", ["o_custkey", "o_totalprice"])
+    return s.result()
+
+
+def suite_by_check(t: Tables) -> DataFrame:
+    """The same checks one by one, each with a scan of its own (the slow definition)."""
     o, li = t("orders"), t("lineitem")
     years = o.withColumn("yr", F.year("o_orderdate"))
     return quality.run_suite([
         quality.has_rows(o, "silver", "orders"), quality.row_count_at_most(o, li, "silver", "orders"), quality.row_count_equals(o, o.select("o_orderkey").distinct(), "gold", "orders"),
         quality.keys_not_null(o, ["o_orderkey"], "silver", "orders"), quality.keys_unique(o, ["o_orderkey"], "silver", "orders"), quality.keys_unique(li, ["l_orderkey", "l_linenumber"], "silver", "lineitem"),
         quality.types_conform(o, {"o_orderkey": "bigint", "o_orderdate": "datetime", "o_orderstatus": "varchar(10)"}, "silver", "orders"), quality.audit_columns(o, "bronze", "orders"),
-        quality.column_count(o, 6, "silver", "orders"), quality.column_is_int(years, "yr", "gold", "orders"), quality.snapshots_are(years, "yr", list(range(1995, 2003)), "gold", "orders"),
+        quality.column_count(years, 7, "silver", "orders"), quality.column_is_int(years, "yr", "gold", "orders"), quality.snapshots_are(years, "yr", list(range(1995, 2003)), "gold", "orders"),
         quality.no_leakage(o, "gold", "orders"), quality.prefixes_present(o, ["o_", "x_"], "gold", "orders"), quality.columns_present(o, ["o_orderkey", "o_custkey"], "gold", "orders"),
         quality.snapshots_balanced(years, "yr", "gold", "orders"), quality.volume_near(o, 1, "gold", "orders"), quality.null_rates(o, ["o_custkey", "o_totalprice"], "gold", "orders")])
 
 
-CHECKS = """select 'silver' as layer, 'orders' as entity, 'has rows' as "check", case when n > 0 then 'PASS' else 'FAIL' end as status from (select count(*) as n from orders)
+#: Columns of the checked table and their types, as the database describes them.
+NAMES = "names as (select column_name as c, data_type as d from information_schema.columns where table_name = 'orders' union all select 'yr', typeof(year(min(o_orderdate))) from orders)"
+CHECKS = "with " + NAMES + """ select 'silver' as layer, 'orders' as entity, 'has rows' as "check", case when n > 0 then 'PASS' else 'FAIL' end as status from (select count(*) as n from orders)
     union all select 'silver', 'orders', 'rows at most the source''s', case when (select count(*) from orders) <= (select count(*) from lineitem) then 'PASS' else 'FAIL' end
     union all select 'gold', 'orders', 'rows equal the spine''s', case when (select count(*) from orders) = (select count(distinct o_orderkey) from orders) then 'PASS' else 'FAIL' end
     union all select 'silver', 'orders', 'key not null', case when (select count(*) from orders where o_orderkey is null) = 0 then 'PASS' else 'FAIL' end
     union all select 'silver', 'orders', 'key unique', case when (select count(*) - count(distinct o_orderkey) from orders) = 0 then 'PASS' else 'FAIL' end
     union all select 'silver', 'lineitem', 'key unique', case when (select count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)) = 0 then 'PASS' else 'FAIL' end
-    union all select 'silver', 'orders', 'types conform', 'PASS' union all select 'bronze', 'orders', 'audit columns', 'FAIL' union all select 'silver', 'orders', 'column count', 'PASS'
-    union all select 'gold', 'orders', 'snapshot is int', 'PASS'
+    union all select 'silver', 'orders', 'types conform', case when (select count(*) from names where (c, d) in (('o_orderkey', 'BIGINT'), ('o_orderdate', 'TIMESTAMP'), ('o_orderstatus', 'VARCHAR'))) = 3 then 'PASS' else 'FAIL' end
+    union all select 'bronze', 'orders', 'audit columns', case when (select count(*) from names where c in ('_execution_id', '_ingested_at')) = 2 then 'PASS' else 'FAIL' end
+    union all select 'silver', 'orders', 'column count', case when (select count(*) from names) = 7 then 'PASS' else 'FAIL' end
+    union all select 'gold', 'orders', 'snapshot is int', case when (select d from names where c = 'yr') in ('INTEGER', 'BIGINT') then 'PASS' else 'FAIL' end
     union all select 'gold', 'orders', 'snapshots as expected', case when (select list_sort(list(distinct year(o_orderdate))) from orders) = range(1995, 2003) then 'PASS' else 'FAIL' end
-    union all select 'gold', 'orders', 'no leakage columns', 'PASS' union all select 'gold', 'orders', 'prefixes present', 'FAIL' union all select 'gold', 'orders', 'columns present', 'PASS'
+    union all select 'gold', 'orders', 'no leakage columns', case when (select count(*) from names where regexp_matches(c, 'VLR_FPD|TARGET_FPD|_LEAKAGE')) = 0 then 'PASS' else 'FAIL' end
+    union all select 'gold', 'orders', 'prefixes present', case when (select bool_or(c like 'o\\_%' escape '\\') and bool_or(c like 'x\\_%' escape '\\') from names) then 'PASS' else 'FAIL' end
+    union all select 'gold', 'orders', 'columns present', case when (select count(*) from names where c in ('o_orderkey', 'o_custkey')) = 2 then 'PASS' else 'FAIL' end
     union all select 'gold', 'orders', 'snapshots balanced', case when (select min(n) / max(n) from (select count(*) as n from orders group by year(o_orderdate))) >= 0.1 then 'PASS' else 'WARN' end
     union all select 'gold', 'orders', 'volume near expected', case when (select abs(count(*) - 1) from orders) <= 0.3 then 'PASS' else 'WARN' end
     union all select 'gold', 'orders', 'null rate of o_custkey', case when (select avg(case when o_custkey is null then 1.0 else 0.0 end) from orders) < 0.5 then 'PASS' else 'WARN' end
@@ -233,10 +254,23 @@ def selection_funnel(t: Tables) -> DataFrame:
     return f.table(s.sparkSession)
 
 
-@query("select yr, count(*) > 0 as chosen from (select * from (" + SCORED + ")) group by yr")
+def hash_sql(key: str, salt: str) -> str:
+    return f"cast(('0x' || substr(md5({key} || ':{salt}'), 1, 8)) as bigint)"
+
+
+@query(f"""select rid, cast(yr as bigint) as yr, cast(label as bigint) as label from (select *, row_number() over (partition by yr, label order by {hash_sql('rid', 'sample')}, rid) as place, count(*) over (partition by yr, label) as n
+    from ({SCORED})) where place <= n * 25 // 100""")
 def selection_stratified_sample(t: Tables) -> DataFrame:
+    """A quarter of the rows of each year and label, by the order of a hash."""
     s = selection.stratified_sample(scored(t), ["yr", "label"], "rid", 25)
-    return s.groupBy("yr").agg((F.count(F.lit(1)) > 0).alias("chosen"))
+    return s.select("rid", F.col("yr").cast("long").alias("yr"), F.col("label").cast("long").alias("label"))
+
+
+@query(f"""select o_orderkey from (select o_orderkey, row_number() over (order by {hash_sql('o_orderkey', '42')}, o_orderkey) as place, count(*) over () as n from orders)
+    where place <= case when n > 1000 then least(n * 10 // 100, 1000) else n end""")
+def profile_adaptive_sample(t: Tables) -> DataFrame:
+    """A tenth of a table of more than 1,000 rows, 1,000 at most."""
+    return sampling.adaptive_sample(t("orders"), "o_orderkey", most=1000).select("o_orderkey")
 
 
 # ---- fitting ----------------------------------------------------------------------------
@@ -329,3 +363,17 @@ def fit_permutation_importance(t: Tables) -> DataFrame:
 @query(shown(f"select rid, (p1 + p2) / 2 as p from ({SCORED})", rid="i", p="d"))
 def fit_ensemble_average(t: Tables) -> DataFrame:
     return rounded(scored(t).select("rid", fitting.average(["p1", "p2"]).alias("p")))
+
+
+CARD = f"""with n as (select count(*) filter (where label = 1 and status = 'O') as b1, count(*) filter (where label = 0 and status = 'O') as g1, count(*) filter (where label = 1 and status <> 'O') as b0,
+        count(*) filter (where label = 0 and status <> 'O') as g0, count(*) filter (where label = 1) / count(*) as share from ({SCORED}) where yr <= 1998),
+    m as (select ln(b1 / g1) - ln(b0 / g0) as w, ln(b0 * (0.5 / share) / (g0 * (0.5 / (1 - share)))) as i from n)
+    select 'is_open' as feature, w as coefficient, -w * 50 / ln(2) as points, 600 - i * 50 / ln(2) as base from m"""
+
+
+@query(shown(CARD, 2, feature="s", coefficient="d", points="d", base="d"))
+def fit_scorecard(t: Tables) -> DataFrame:
+    """Points of a fitted logistic model; of one 0/1 feature they have a closed form."""
+    s = prepared(t).withColumn("is_open", (F.col("status") == "O").cast("double"))
+    model = fitting.lasso_pipeline(["is_open"], 0.0, tolerance=1e-12).fit(s.where("yr <= 1998"))
+    return rounded(compiled.card(model, s), 2)

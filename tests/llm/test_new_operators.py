@@ -204,7 +204,7 @@ def test_filters_hold_all_of_a_set(spark):
 def test_words_in_segments():
     rolling = [word_stream.Rolling(1), word_stream.Rolling(2)]
     values = [b"Some words ", b"", "wörter".encode() * 40, b"a b c some"]
-    whole, cut = (word_stream.words_of(values, collocations.BLANK, rolling, segment=s) for s in (1 << 22, 16))
+    whole, cut = (word_stream.words_of(values, collocations.BLANK, rolling, segment=s) for s in (1 << 20, 16))
     for a, b in zip((whole.starts, whole.ends, whole.text, *whole.prints), (cut.starts, cut.ends, cut.text, *cut.prints)):
         assert a.tolist() == b.tolist()
     assert whole.prints[0][0] == whole.prints[0][-1] and whole.prints[0][0] != whole.prints[1][0]

@@ -39,7 +39,7 @@ BLANK = PIECE_END | np.isin(np.arange(256), [0x20, 9])
 JOINT = r"[\x20\x09]+"
 SECOND = 20240607
 ROLLING = [Rolling(20240606), Rolling(SECOND)]
-SLICE = 1 << 22
+SLICE = 1 << 20
 MASK = (1 << 64) - 1
 
 COUNTED = "words tinyint, print long, n long, low long, high long, row long, place long, size long, lang string"
@@ -92,12 +92,13 @@ def _grams_of(batch: pa.RecordBatch, print_bits: int) -> Grams:
     return Grams(values, batch.column("lang_print").to_numpy(zero_copy_only=False).view(U64), print_bits)
 
 
-def counted(docs: DataFrame, sizes: list[int], base: int, known: PrintFilter | None, totals: bool, print_bits: int) -> DataFrame:
+def counted(docs: DataFrame, light: list[int], full: list[int], base: int, known: PrintFilter | None, totals: bool, print_bits: int) -> DataFrame:
     """Sums by (words, print) over all texts, of n-grams of these sizes.
 
-    ``low`` and ``high`` are the least and greatest second fingerprint, (row,
-    place, size) points to one occurrence's bytes. With ``totals`` there is a row
-    without a print for each language, with the number of its words.
+    For the sizes ``full``, ``low`` and ``high`` are the least and greatest second
+    fingerprint and (row, place, size) points to one occurrence's bytes; the others
+    are only counted, as most of them won't be frequent. With ``totals`` there is a
+    row without a print for each language, with the number of its words.
     """
     sent = docs.sparkSession.sparkContext.broadcast(known)
 
@@ -105,21 +106,26 @@ def counted(docs: DataFrame, sizes: list[int], base: int, known: PrintFilter | N
         for batch in byte_slices(batches, limit=SLICE):
             grams = _grams_of(batch, print_bits)
             rows = batch.column("row").to_numpy(zero_copy_only=False)
-            for k in sizes:
+            for k in light + full:
                 at = _chosen(grams, k, base, sent.value)
                 if not len(at):
                     continue
                 prints = grams.prints(k, at)
-                order = np.argsort(prints, kind="stable")
-                at, prints = at[order], prints[order]
-                heads = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
-                checks = grams.prints(k, at, 1).view(np.int64)
-                first = at[heads]
-                text = grams.found.text[first]
-                start = grams.found.starts[first]
-                values = [np.full(len(heads), k, np.int8), prints[heads].view(np.int64), np.diff(np.append(heads, len(at))), np.minimum.reduceat(checks, heads), np.maximum.reduceat(checks, heads),
-                          rows[text], start - grams.found.text_starts[text], grams.found.ends[first + k - 1] - start]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, values), pa.nulls(len(heads), pa.string())], NAMES)
+                if k in light:
+                    some, n = np.unique(prints, return_counts=True)
+                    values = [pa.array(x) for x in (np.full(len(some), k, np.int8), some.view(np.int64), n.astype(np.int64))] + [pa.nulls(len(some), pa.int64())] * 5
+                else:
+                    order = np.argsort(prints, kind="stable")
+                    at, prints = at[order], prints[order]
+                    heads = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
+                    checks = grams.prints(k, at, 1).view(np.int64)
+                    first = at[heads]
+                    text = grams.found.text[first]
+                    start = grams.found.starts[first]
+                    values = [*map(pa.array, (
+                        np.full(len(heads), k, np.int8), prints[heads].view(np.int64), np.diff(np.append(heads, len(at))), np.minimum.reduceat(checks, heads), np.maximum.reduceat(checks, heads),
+                        rows[text], start - grams.found.text_starts[text], grams.found.ends[first + k - 1] - start))]
+                yield pa.RecordBatch.from_arrays([*values, pa.nulls(len(values[0]), pa.string())], NAMES)
             if totals:
                 by_text = np.bincount(grams.found.text, minlength=batch.num_rows)
                 sums = pa.table({"lang": batch.column("lang"), "n": by_text}).group_by("lang").aggregate([("n", "sum")])
@@ -182,16 +188,21 @@ def frequent_phrases(docs: DataFrame, max_words: int = WORDS, min_count: int = M
     while k <= max_words:
         # four words and more are told well enough by their frequent threes to be counted at once
         sizes = [k] if k < 4 else list(range(k, max_words + 1))
-        sums = materialize(counted(docs, sizes, base, known, k == 1, print_bits).where(F.col("print").isNull() | (F.col("n") >= min_count)))
+        last = sizes[-1] == max_words
+        # what was frequent in the pass before is pointed to in this one
+        full = ([base] if base else []) + (sizes if last else [])
+        sums = counted(docs, [] if last else sizes, full, base, known, k == 1, print_bits)
+        sums = materialize(sums.where(F.col("print").isNull() | (F.col("n") >= min_count)))
         if k == 1:
             totals = sums.where("print is null").select("lang", "n")
-        found = sums.where("print is not null")
-        phrases.append(pointed(docs, found.where("low = high")))
-        doubtful = found.where("low != high")
-        if not doubtful.isEmpty():
-            phrases.append(read_again(docs, doubtful, sizes, base, known, print_bits).where(F.col("n") >= min_count))
-        if sizes[-1] < max_words:
-            known, base = print_filter(found, "print"), k
+        if full:
+            found = sums.where(F.col("words").isin(full))
+            phrases.append(pointed(docs, found.where("low = high")))
+            doubtful = found.where("low != high")
+            if not doubtful.isEmpty():
+                phrases.append(read_again(docs, doubtful, full, base, known, print_bits).where(F.col("n") >= min_count))
+        if not last:
+            known, base = print_filter(sums.where(F.col("words") == k), "print"), k
         k = sizes[-1] + 1
     return materialize(reduce(DataFrame.unionByName, phrases)), totals
 

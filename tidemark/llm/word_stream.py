@@ -64,7 +64,7 @@ class Words:
     prints: list[np.ndarray]
 
 
-def words_of(values: list[bytes], blank: np.ndarray, rolling: list[Rolling], segment: int = 1 << 22) -> Words:
+def words_of(values: list[bytes], blank: np.ndarray, rolling: list[Rolling], segment: int = 1 << 20) -> Words:
     """Words are what stands between bytes of the table ``blank``, which holds the line feed.
 
     Long data go through in segments that end at blanks, so that working memory

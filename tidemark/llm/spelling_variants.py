@@ -128,10 +128,10 @@ def _halves(side: str, kept: str, rest: str, length: int, other: int) -> Iterato
 def entries(word: str, ranks: dict[str, int]) -> tuple[list[int], list[int], int]:
     """Entries under which others find the word, those it looks up by its pivots, and the rank its prefix ends with."""
     prefix, size = prefix_of(word, ranks), len(word)
-    held = [e for i in prefix for side, kept, rest in (("L", word[:i + 2], word[i + 2:]), ("R", word[i:], word[:i])) for e in _halves(side, kept, rest, size, size)]
+    held = {e for i in prefix for side, kept, rest in (("L", word[:i + 2], word[i + 2:]), ("R", word[i:], word[:i])) for e in _halves(side, kept, rest, size, size)}
     left, right = pivots_of(word, prefix, ranks)
-    sought = [e for other in (size - 1, size, size + 1) for side, kept, rest in (("L", word[:left + 2], word[left + 2:]), ("R", word[right:], word[:right])) for e in _halves(side, kept, rest, size, other)]
-    return held, sought, max(ranks[word[i:i + 2]] for i in prefix)
+    sought = {e for other in (size - 1, size, size + 1) for side, kept, rest in (("L", word[:left + 2], word[left + 2:]), ("R", word[right:], word[:right])) for e in _halves(side, kept, rest, size, other)}
+    return list(held), list(sought), max(ranks[word[i:i + 2]] for i in prefix)
 
 
 def gram_ranks(words: DataFrame) -> dict[str, int]:
@@ -161,8 +161,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     found = words.select("word").mapInArrow(run, "key long, word string, held boolean, last int")
     found = materialize(found)
-    held = found.where("held").select("key", F.col("word").alias("b"), F.col("last").alias("b_last")).distinct()
-    sought = found.where("not held").select("key", F.col("word").alias("a"), F.col("last").alias("a_last")).distinct()
+    held = found.where("held").select("key", F.col("word").alias("b"), F.col("last").alias("b_last"))
+    sought = found.where("not held").select("key", F.col("word").alias("a"), F.col("last").alias("a_last"))
     met = sought.join(held, "key").where("a != b and b_last >= a_last and abs(length(a) - length(b)) <= 1")
     near = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return near.where(F.levenshtein("a", "b", 1) == 1)

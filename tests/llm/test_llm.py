@@ -720,6 +720,47 @@ def test_line_links_equal_brute_force(spark):
     assert dropped_of(spark, texts) == want and 10 < sum(want) < 110
 
 
+def test_comparisons_grow_with_the_lines(spark, monkeypatch):
+    """Lines that open alike and go on differently aren't all compared with each other."""
+    made = []
+    real = line_dedup.similar_pairs
+
+    def counting(pairs, *args):
+        made[-1] += pairs.distinct().count()
+        return real(pairs, *args)
+
+    monkeypatch.setattr(line_dedup, "similar_pairs", counting)
+    for n in (250, 1000):
+        rng = random.Random(n)
+        own = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(8))
+        texts = ["please note that our new offer for " + own() for _ in range(n)]
+        texts += [texts[7][:-6] + "klmnop", texts[9][:-6] + "klmnop"]
+        made.append(0)
+        assert dropped_of(spark, texts) == [0] * n + [1, 1]
+    assert made[1] < 6 * made[0] and made[1] < 6000
+
+
+def test_split_keys_lose_no_link(spark):
+    """Keys that are split early and often give the links of brute force."""
+    rng = random.Random(11)
+    texts = [" ".join(["one", "two", "three", *rng.choices("abc", k=rng.choice([6, 9, 12])), *rng.choices("xy", k=3)]) for _ in range(300)]
+    rows = list(enumerate(texts))
+    want = dropped_lines(rows)
+    found = line_dedup.line_variants(line_dedup.lines(spark.createDataFrame(rows, "doc_id long, text string"), 3, 0.8))
+    groups = [{r["print"]: r["template"] for r in line_dedup.templates(found, 3, 0.8, apart=k).collect()} for k in (4, 64)]
+    assert groups[0] == groups[1] and len(set(groups[0].values())) > 20
+    assert sum(dropped_of(spark, texts)) == sum(map(len, want.values()))
+
+
+def test_lines_with_one_print_are_told_apart(spark, monkeypatch):
+    """If all prints were one, the second fingerprint would still tell different lines from equal ones."""
+    real = line_dedup.lines
+    monkeypatch.setattr(line_dedup, "lines", lambda *a: real(*a).withColumn("print", F.lit(5).cast("long")))
+    texts = ["a line of eight words that is unique once", "another line of eight words that stands twice here", "another line of eight words that stands twice here", "three words here", "three words here"]
+    assert dropped_of(spark, texts) == [0, 0, 1, 0, 0]
+    assert dropped_of(spark, texts, short_min_docs=2) == [0, 0, 1, 0, 1]
+
+
 def test_short_lines_of_many_documents_go(spark):
     """Lines of every length are looked at; short ones need three documents, counted over all."""
     texts = ["Home\nown words here", "Home\nAll rights reserved.\nall of us were there", "Home\nAll rights reserved.", "all RIGHTS reserved.\n\nwe were there", "we were there\nHome", "\n", "\n"]

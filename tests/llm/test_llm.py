@@ -1,5 +1,6 @@
 """The training-data operators against brute force, round trips and edge cases."""
 
+import functools
 import hashlib
 import itertools
 import random
@@ -51,6 +52,17 @@ def library():
     return Tokenizer.from_file(default_tokenizer())
 
 
+@functools.cache
+def own_library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(default_tokenizer())
+
+
+def tokens_of(text):
+    return own_library().encode(text or "", add_special_tokens=False).ids
+
+
 def ids_of(library, text):
     return library.encode(text or "", add_special_tokens=False).ids
 
@@ -358,6 +370,63 @@ def test_rules_find_planted_junk(spark):
     assert all((r["predicted"] == 1) == (r["doc_id"] < 1000) for r in scored) and model.rules
 
 
+def features_of(text):
+    """The statistics behind learned rules, each by its own definition."""
+    text = text or ""
+    n, chars, symbols, copies, repeated = statistics_of(text)
+    w = re.findall(WORDS, text)
+    count = lambda some: sum(text.count(c) for c in some)
+    of = lambda x, y: x / max(y, 1)
+    return {
+        "n_words": n, "mean_word": of(chars, n), "symbol_share": of(symbols, chars), "dup_lines": copies, "repeat_share": of(repeated, n), "symbols_per_word": of(symbols, n),
+        "upper_share": of(count("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), chars), "mark_share": of(count(".,;:!?"), n), "bang_share": of(count("!"), n), "stop_share": of(count(".?"), n),
+        "adjacent_share": of(sum(a == b for a, b in zip(w, w[1:])), n)}
+
+
+def kept_by(rules, text):
+    """The verdict of a decision list: the first rule that holds rejects."""
+    n, _, _, _, repeated = statistics_of(text)
+    if n < 50 or 100 * repeated > 50 * n:
+        return False
+    f = features_of(text)
+    return not any(all((f[c.feature] >= c.threshold) == c.above for c in r.conditions) for r in rules)
+
+
+def score_by(model, text):
+    f = features_of(text)
+    odds = model.intercept + sum(w for path, w in model.rules if all((f[x] <= t) == (side == "<=") for x, side, t in path))
+    return 1 / (1 + np.exp(-odds))
+
+
+def test_learned_verdicts_and_scores_equal_plain_python(spark, docs, corpus):
+    labels = spark.read.parquet(f"{DIR}/labels.parquet")
+    both = corpus.select("doc_id", "text").unionByName(docs.select("doc_id", "text"))
+    rules, model = quality_rules.train(corpus, labels), quality_classifier.train(corpus, labels)
+    assert rules and model.rules
+    verdicts = quality_rules.judge(both, rules).select("text", "kept").collect()
+    assert all(r["kept"] == kept_by(rules, r["text"]) for r in verdicts)
+    # a list that splits the texts, so that rules decide and not the base
+    made = [quality_rules.Rule((quality_rules.Condition("mean_word", True, 4.7), quality_rules.Condition("stop_share", False, 0.11))), quality_rules.Rule((quality_rules.Condition("upper_share", True, 0.03),))]
+    verdicts = quality_rules.judge(both, made).select("text", "kept").collect()
+    assert all(r["kept"] == kept_by(made, r["text"]) for r in verdicts) and len({r["kept"] for r in verdicts}) == 2
+    rows = {r["text"]: r["score"] for r in quality_classifier.with_statistics(both.select("text")).withColumn("score", model.score()).select("text", "score").collect()}
+    assert all(abs(score - score_by(model, text)) < 1e-12 for text, score in rows.items()) and len(set(rows.values())) > 2
+
+
+def test_paths_are_those_of_the_tree(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = spark.range(200).selectExpr("cast(id % 20 as double) a", "cast(id % 7 as double) b", "cast((id % 20 > 9 and id % 7 > 2) or id % 20 > 15 as int) label")
+    tree = DecisionTreeClassifier(featuresCol="x", maxDepth=3).fit(VectorAssembler(inputCols=["a", "b"], outputCol="x").transform(rows))
+    found = list(quality_classifier.paths(tree, ["a", "b"]))
+    assert len(found) == tree.numNodes - 1
+    leaves = [p for p in found if not any(set(p) < set(q) and len(q) > len(p) for q in found)]
+    for a, b in itertools.product(range(20), range(7)):
+        held = [p for p in leaves if all(({"a": a, "b": b}[f] <= t) == (side == "<=") for f, side, t in p)]
+        assert held
+
+
 def test_learning_without_labels(spark, docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert quality_rules.train(docs, none) == []
@@ -863,6 +932,51 @@ def test_sql_of_queries(spark):
         assert Counter(map(tuple, df.select(*columns).collect())) == Counter(cursor.fetchall()), name
 
 
+def test_pipeline_equals_plain_python(spark, tmp_path):
+    """Stage by stage on whole documents; only the learned models come from Spark."""
+    import corpus_pipeline
+
+    given, labels = (spark.read.parquet(f"{DIR}/{t}.parquet") for t in ("documents", "labels"))
+    # near copies whose lines are no copies: a document in one line, with a word more
+    copies = given.where("doc_id % 9 = 0").withColumns({"doc_id": F.col("doc_id") + 10_000, "text": F.concat(F.translate("text", "\n", " "), F.lit(" more"))})
+    where = f"file://{tmp_path}"
+    given.unionByName(copies).write.parquet(f"{where}/documents.parquet")
+    labels.write.parquet(f"{where}/labels.parquet")
+    raw, labels = (spark.read.parquet(f"{where}/{t}.parquet") for t in ("documents", "labels"))
+    rules, model = quality_rules.train(raw, labels), quality_classifier.train(raw, labels)
+    rows = [(r["doc_id"], r["text"]) for r in raw.select("doc_id", "text").collect()]
+    rows = [(d, t) for d, t in rows if kept_by(rules, t)]
+    rows = [(d, t) for d, t in rows if score_by(model, t) >= 0.5]
+    gone = dropped_lines(rows)
+    clean = [(d, "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d, t]) if gone.get((d, t)) else t, bool(gone.get((d, t)))) for d, t in rows]
+    rows = [(d, t) for d, t, cut in clean if not cut or re.search(WORDS, t)]
+    sets = []
+    for d, t in rows:
+        w = re.findall(WORDS, "".join(c.lower() if c.isascii() else c for c in t))
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+    root = list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) > 0:
+            root[find(i)] = find(j)
+    group = {d: find(i) for i, (d, _) in enumerate(rows)}
+
+    got = corpus_pipeline.run(spark, where).collect()
+    kept = {r["doc_id"] for r in got}
+    assert kept <= set(group) and sorted(group[d] for d in kept) == sorted(set(group.values())) and len(kept) < len(rows)
+    ids = {d: len(x) + 1 for d, x in zip([d for d, _ in rows], [tokens_of(t) for _, t in rows]) if d in kept}
+    pieces = defaultdict(list)
+    for r in got:
+        pieces[r["doc_id"]].append((r["start"], r["length"]))
+    assert all(sum(n for _, n in x) == ids[d] for d, x in pieces.items())
+    assert len({r["sequence_id"] for r in got}) <= -(-sum(ids.values()) // 2048) + 2
+
+
 def test_pipeline_keeps_clean_documents_once(spark):
     import corpus_pipeline as p
 

@@ -7,10 +7,10 @@ keeps few of them, and these become one Spark column expression.
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassificationModel, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,51 +18,57 @@ from pyspark.sql import functions as F
 from tidemark.llm._common import as_row, materialize, of_row
 from tidemark.llm.quality_rules import FEATURES, labelled_statistics, with_statistics
 
-SPLIT = re.compile(r"^(\s*)(?:If|Else) \(feature (\d+) (<=|>) (\S+)\)$")
-
-
 def held_out(doc_id: Column) -> Column:
     """A third of the documents, told by the CRC-32 of the id's decimal text."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+#: A rule: bounds (feature, <= or >, threshold) that all have to hold.
+Path = tuple[tuple[str, str, float], ...]
+
+
+def rule_sql(path: Path) -> str:
+    return " AND ".join(f"({FEATURES[f]}) {side} {t!r}D" for f, side, t in path)
+
+
 @dataclass(frozen=True)
 class RuleEnsemble:
     """Weighted conjunctions over statistics, in log-odds of the positive label."""
 
     intercept: float
-    rules: tuple[tuple[str, float], ...]
+    rules: tuple[tuple[Path, float], ...]
 
     def score(self) -> Column:
         """Probability of the positive label, from the columns of ``with_statistics``."""
-        total = " + ".join([repr(self.intercept) + "D", *(f"CASE WHEN {r} THEN {w!r}D ELSE 0.0D END" for r, w in self.rules)])
+        total = " + ".join([repr(self.intercept) + "D", *(f"CASE WHEN {rule_sql(r)} THEN {w!r}D ELSE 0.0D END" for r, w in self.rules)])
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.expr(total)))
 
 
-def paths(tree: str, features: list[str]) -> list[str]:
-    """The conjunctions at all nodes of a tree, from its printed form.
+def paths(tree: DecisionTreeClassificationModel, features: list[str]) -> Iterator[Path]:
+    """The conjunctions at all nodes of a tree but its root.
 
     Tests on one feature along a path are drawn together to its tightest bounds.
     """
-    out, stack = [], []
-    for line in tree.splitlines():
-        if m := SPLIT.match(line):
-            depth = len(m[1])
-            while stack and stack[-1][0] >= depth:
-                stack.pop()
-            stack.append((depth, int(m[2]), m[3], float(m[4])))
-            bounds: dict[tuple[int, str], float] = {}
-            for _, f, side, t in stack:
-                best = min if side == "<=" else max
-                bounds[f, side] = best(bounds.get((f, side), t), t)
-            out.append(" AND ".join(f"({FEATURES[features[f]]}) {side} {t!r}D" for (f, side), t in sorted(bounds.items())))
-    return out
-
-
-def fit(table: DataFrame, n_trees: int = 20, depth: int = 3, penalty: float = 0.002, max_rules: int = 400, seed: int = 7) -> RuleEnsemble:
+    # nodes are read one by one; a tree of depth d has 2**(d + 1) of them at most
+    waiting = [(tree._call_java("rootNode"), {})]
+    while waiting:
+        node, bounds = waiting.pop()
+        if bounds:
+            yield tuple((features[f], side, t) for (f, side), t in sorted(bounds.items()))
+        if node.subtreeDepth() == 0:
+            continue
+        split = node.split()
+        f, t = split.featureIndex(), split.threshold()
+        for side, best, child in ((">", max, node.rightChild()), ("<=", min, node.leftChild())):
+            waiting.append((child, bounds | {(f, side): best(bounds.get((f, side), t), t)}))
+
+
+def fit(table: DataFrame, n_trees: int = 20, depth: int = 3, penalty: float = 0.002, seed: int = 7) -> RuleEnsemble:
     """Fit on labelled statistics with a column ``good`` of 0 and 1.
 
-    With rows of one label only, or none, every text gets that label's share.
+    There are as many rules as different paths in the trees, n_trees * 2**(depth + 1)
+    at most; the lasso weights choose among them. With rows of one label only
+    every text gets a log-odds of 4 for that label, without rows 0.
     """
     features = list(FEATURES)
     shares = {r["good"]: r["n"] for r in table.groupBy("good").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -76,10 +82,10 @@ def fit(table: DataFrame, n_trees: int = 20, depth: int = 3, penalty: float = 0.
     forest = RandomForestClassifier(
         featuresCol="x", labelCol="label", weightCol="weight", numTrees=n_trees, maxDepth=depth, maxBins=64,
         featureSubsetStrategy="sqrt", minInstancesPerNode=5, seed=seed).fit(grown.select("x", "label", "weight"))
-    rules = list(dict.fromkeys(r for t in forest.trees for r in paths(t.toDebugString, features)))[:max_rules]
+    rules = list(dict.fromkeys(r for t in forest.trees for r in paths(t, features)))
     if not rules:
         return RuleEnsemble(0.0, ())
-    flags = rows.select("label", *(F.expr(r).cast("double").alias(f"r{i}") for i, r in enumerate(rules)))
+    flags = rows.select("label", *(F.expr(rule_sql(r)).cast("double").alias(f"r{i}") for i, r in enumerate(rules)))
     hits = materialize(VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="rules").transform(flags).select("label", "rules").coalesce(4))
     lasso = LogisticRegression(
         featuresCol="rules", labelCol="label", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=60).fit(hits)
@@ -95,8 +101,10 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> RuleEns
 def scored(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
     """doc_id, held_out, score and predicted of every whole text.
 
-    A null text counts as empty and is scored like one; repeated rows are scored
-    each; a null doc_id is not held out; other columns are ignored.
+    A null text counts as empty and is scored like one, a very long one is measured
+    whole; repeated rows are scored each, equal texts alike; a score of exactly 0.5
+    predicts 1; a null doc_id is not held out; an empty table gives no rows; other
+    columns are ignored.
     """
     rows = with_statistics(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).withColumn("score", model.score())
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -815,8 +815,10 @@ def test_split_keys_lose_no_link(spark):
     texts = [" ".join(["one", "two", "three", *rng.choices("abc", k=rng.choice([6, 9, 12])), *rng.choices("xy", k=3)]) for _ in range(300)]
     rows = list(enumerate(texts))
     want = dropped_lines(rows)
-    found = line_dedup.line_variants(line_dedup.lines(spark.createDataFrame(rows, "doc_id long, text string"), 3, 0.8))
-    groups = [{r["print"]: r["template"] for r in line_dedup.templates(found, 3, 0.8, apart=k).collect()} for k in (4, 64)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    leaves = line_dedup.shared_leaves(line_dedup.line_variants(line_dedup.lines(df, 3, 0.8)))
+    words = line_dedup.line_words(df, 3, 0.8, leaves).dropDuplicates(["print"]).cache()
+    groups = [{r["print"]: r["template"] for r in line_dedup.templates(words, 3, 0.8, apart=k).collect()} for k in (4, 64)]
     assert groups[0] == groups[1] and len(set(groups[0].values())) > 20
     assert sum(dropped_of(spark, texts)) == sum(map(len, want.values()))
 

@@ -242,3 +242,116 @@ def test_feature_store_renames_scores_and_drops_leaks(spark):
     got = rel.feature_store(spine, {"b": book, "none": None}, scores, ["k", "s"], "PROB_", "score_")
     assert got.columns == ["k", "s", "b_v", "score_x", "processed_at"]
     assert rows(got.drop("processed_at")) == sorted([(1, 10, 5, None), (2, 10, None, 0.5)], key=str) and got.where("processed_at is null").isEmpty()
+
+
+# ---- stored states and sketches ---------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def yearly(spark):
+    x = F.col("id")
+    return spark.range(4000).select(
+        (x % 4 + 1).cast("int").alias("s"), (F.pmod(F.xxhash64(x), F.lit(1000)) / 10 + x % 4).alias("a"), F.when(x % 11 != 0, (x % 7).cast("int")).alias("b"), F.lit(1e9).cast("double").alias("same"))
+
+
+def test_a_new_snapshot_reads_only_its_rows(spark, yearly, tmp_path):
+    from tidemark.operators import binning, drift_states
+
+    source, path = f"file://{tmp_path}/src", f"file://{tmp_path}/states"
+    features = ["a", "b", "same"]
+    io.write_overwrite(yearly.where("s <= 3"), source, ["s"])
+    drift_states.start(spark.read.parquet(source), path, features, "s", [1, 2])
+    assert drift_states.add_snapshots(spark.read.parquet(source), path, "s") == [1, 2, 3]
+    before = rows(drift_states.stored(spark, path).drop("sketch", "counts"))
+    # the old rows are gone from the source: what is stored doesn't ask for them again
+    io.write_replace_partition(yearly.where("s = 4"), source, ["s"])
+    io.write_replace_partition(yearly.where("s <= 3").limit(3), source, ["s"])
+    assert drift_states.add_snapshots(spark.read.parquet(source), path, "s") == [4]
+    assert drift_states.add_snapshots(spark.read.parquet(source), path, "s") == []
+    after = rows(drift_states.stored(spark, path).drop("sketch", "counts"))
+    assert [r for r in after if r[-1] != 4] == before
+    # the plan reads the new snapshot's folder only
+    plan = drift_states.states(spark.read.parquet(source).where("s = 4"), drift_states.stored_edges(spark, path), "s")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(s" in plan.replace("`", "")
+
+    late = F.col("s") > 2
+    edges = drift_states.stored_edges(spark, path)
+    full = binning.psi_table(yearly, features, ~late, late, ["s"], edges=edges)
+    assert rows(drift_states.drift(spark, path, [1, 2]).select("snapshot", "feature", F.round("psi", 5))) == rows(full.select(F.col("s").cast("long"), "feature", F.round("psi", 5)))
+    assert drift_states.add_snapshots(spark.read.parquet(source), path, "s", again=[1]) == [1]
+
+
+def test_moments_and_rebased_drift_of_states(spark, yearly, tmp_path):
+    from tidemark.operators import binning, drift_states
+
+    path = f"file://{tmp_path}/states"
+    drift_states.start(yearly, path, ["a", "b", "same"], "s", [1])
+    drift_states.add_snapshots(yearly, path, "s")
+    got = {(r["name"], r["feature"]): r for r in drift_states.moments(spark, path, {"all": [1, 2, 3, 4], "late": [3, 4]}).collect()}
+    for name, part in (("all", yearly), ("late", yearly.where("s > 2"))):
+        for f in ("a", "b", "same"):
+            want = part.agg(F.count(f).alias("n"), F.avg(f).alias("mean"), F.stddev_samp(f).alias("std"), F.min(f).alias("least"), F.max(f).alias("most")).first()
+            r = got[name, f]
+            assert r["n"] == want["n"] and (r["least"], r["most"]) == (want["least"], want["most"])
+            assert abs(r["mean"] - want["mean"]) < 1e-9 * max(1, abs(want["mean"])) and abs(r["std"] - want["std"]) < 1e-9
+    near = {(r["snapshot"], r["feature"]): r["psi"] for r in drift_states.rebased_drift(spark, path, [2, 3]).collect()}
+    full = binning.psi_table(yearly, ["a", "b"], F.col("s").isin(2, 3), ~F.col("s").isin(2, 3), ["s"]).collect()
+    # shares of ten bins may each be off by two rank errors
+    assert all(abs(near[r["s"], r["feature"]] - r["psi"]) < 10 * 2 * drift_states.RANK_ERROR for r in full) and len(near) == 6
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_distinct_counts_over_horizons(spark, seed):
+    import random
+
+    from tidemark.operators import rolling_distinct
+
+    rng = random.Random(seed)
+    start = dt.datetime(2024, 1, 1)
+    data = [(rng.choice("ab"), start + dt.timedelta(days=rng.randrange(60), hours=rng.randrange(24)), rng.choice([None, *range(30)]), rng.randrange(5)) for _ in range(400)] + [("a", None, 1, 1), (None, start, 3, 3)]
+    df = spark.createDataFrame(data, "k string, at timestamp, u int, v int")
+    cutoffs, horizons, values = {1: "2024-01-20", 2: "2024-02-10", 3: "2024-02-11", 0: "2023-01-01"}, [3, 30, 400], {"us": "u", "vs": "v"}
+    want = set()
+    for k, c in cutoffs.items():
+        for h in horizons:
+            for who in ("a", "b", None):
+                inside = [r for r in data if r[0] == who and r[1] and 0 <= (dt.date.fromisoformat(c) - r[1].date()).days <= h]
+                counts = [len({r[i] for r in inside} - {None}) for i in (2, 3)]
+                if any(counts):
+                    want.add((who, k, h, *counts))
+    assert set(rows(rolling_distinct.exact_counts(df, ["k"], "at", values, cutoffs, horizons))) == want
+    both = rolling_distinct.compared(df, ["k"], "at", values, cutoffs, horizons)
+    assert both.where(f"us_error > {4 * rolling_distinct.ERROR} or vs_error > {4 * rolling_distinct.ERROR}").isEmpty() and both.count() == len([w for w in want if w[0]])
+
+
+# ---- importances and early stops ------------------------------------------------------------
+
+
+def test_permutation_scores_every_version_in_one_pass(spark, labelled):
+    model = fitting.lasso_pipeline(["a", "b"]).fit(labelled)
+    df = labelled.withColumn("g", F.col("k") % 2)
+    moved = fitting.permuted(df, ["a", "b"], "k", ["g"], bucket_rows=100)
+    # each group keeps its values, and no row its own unless the bucket is that small
+    for f in ("a", "same"):
+        if f == "a":
+            by = lambda c: rows(moved.groupBy("g", c).count())
+            assert by("a") == by("_to_a")
+    plan = moved._jdf.queryExecution().executedPlan().toString().split("Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1
+    got = {(r["g"], r["feature"]): r for r in fitting.permutation_importance(model, df, "y", ["a", "b"], "k", ["g"]).collect()}
+    # the same, a feature at a time
+    from tidemark.operators.metrics import ranking_metrics
+
+    whole = fitting.permuted(df, ["a", "b"], "k", ["g"])
+    for f in ("a", "b"):
+        one = whole.withColumn(f, F.col(f"_to_{f}"))
+        for r in ranking_metrics(fitting.predict(model, one, "p"), "y", "p", ["g"]).collect():
+            assert abs(got[r["g"], f]["auc_shuffled"] - r["auc"]) < 1e-12
+    assert all(r["drop"] > 0.1 for (_, f), r in got.items() if f == "a")
+
+
+def test_boosting_stops_on_the_validation_rows(labelled):
+    noise = labelled.withColumns({"_label": (F.pmod(F.xxhash64("k"), F.lit(2))).cast("double"), "held": F.col("k") % 3 == 0})
+    stopped = fitting.boosted_pipeline(["a"], rounds=30, depth=5, validation="held").fit(noise)
+    assert stopped.stages[-1].getNumTrees < 30
+    assert fitting.boosted_pipeline(["a"], rounds=3, depth=1).fit(labelled).stages[-1].getNumTrees == 3

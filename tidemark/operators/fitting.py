@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.features import frequency_encode
@@ -37,14 +37,23 @@ def lasso_pipeline(features: list[str], penalty: float = 0.001, tolerance: float
         featuresCol="_z", labelCol="_label", weightCol="_weight", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=100, tol=tolerance)])
 
 
-def boosted_pipeline(features: list[str], rounds: int = 20, depth: int = 4, step: float = 0.1, seed: int = 42) -> Pipeline:
-    return Pipeline(stages=[*_inputs(features), GBTClassifier(
-        featuresCol="_x", labelCol="_label", weightCol="_weight", maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=0.8, seed=seed)])
+#: How often trees of one fit write their rows' nodes, so that their lineage stays short.
+CHECKPOINT = 10
+
+
+def boosted_pipeline(features: list[str], rounds: int = 20, depth: int = 4, step: float = 0.1, seed: int = 42, validation: str | None = None) -> Pipeline:
+    """Boosted trees; with a boolean column ``validation`` they stop once its rows' error no longer falls."""
+    trees = GBTClassifier(
+        featuresCol="_x", labelCol="_label", weightCol="_weight", maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=0.8, seed=seed,
+        cacheNodeIds=True, checkpointInterval=CHECKPOINT, validationTol=0.0)
+    return Pipeline(stages=[*_inputs(features), trees.setValidationIndicatorCol(validation) if validation else trees])
 
 
 def forest_pipeline(features: list[str], trees: int = 500, depth: int = 12, least: int = 50, seed: int = 42) -> Pipeline:
+    """A forest; rows keep the numbers of their nodes from level to level, and many nodes are split in one pass."""
     return Pipeline(stages=[*_inputs(features), RandomForestClassifier(
-        featuresCol="_x", labelCol="_label", weightCol="_weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=least, seed=seed)])
+        featuresCol="_x", labelCol="_label", weightCol="_weight", numTrees=trees, maxDepth=depth, minInstancesPerNode=least, seed=seed,
+        cacheNodeIds=True, checkpointInterval=CHECKPOINT, maxMemoryInMB=1024)])
 
 
 def predict(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
@@ -163,25 +172,43 @@ def incremental_ks(df: DataFrame, label: str, groups: dict[str, list[str]], trai
     return out
 
 
+def permuted(df: DataFrame, features: list[str], key: str, by: list[str] | None = None, seed: int = 7, bucket_rows: int = 50_000) -> DataFrame:
+    """``df`` with a column ``_to_<feature>`` for each feature: its values dealt to other rows of the group.
+
+    Within buckets of about ``bucket_rows`` rows, a feature's values move on by one
+    along a random order of its own, the last one's to the first row. All features
+    share one shuffle, and no task holds more than a bucket.
+    """
+    by = by or []
+    buckets = max(df.count() // bucket_rows, 1)
+    within = Window.partitionBy(*by, "_b")
+    rows = df.withColumn("_b", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets)))
+    dealt = {}
+    for f in features:
+        along = within.orderBy(F.xxhash64(key, F.lit(f"{f}{seed}")), key)
+        # structs, as a value may itself be null
+        value = F.struct(F.col(f).alias("v"))
+        dealt[f"_to_{f}"] = F.coalesce(F.lag(value).over(along), F.last(value).over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))["v"]
+    return rows.withColumns(dealt).drop("_b")
+
+
 def permutation_importance(model: PipelineModel, df: DataFrame, label: str, features: list[str], key: str, by: list[str] | None = None, seed: int = 7) -> DataFrame:
     """AUC lost when a feature is shuffled, by group.
 
-    A feature's values are dealt to other rows by joining two random orders
-    within hash buckets, so no shuffle of one column goes through one task.
+    Every row is scored as it is and once for each feature with another row's
+    value; the model and the ranking see all of them together.
     """
-    from pyspark.sql import Window
-
     by = by or []
-    base = ranking_metrics(predict(model, df, "p"), label, "p", by).select(*by, F.col("auc").alias("auc_base"))
-    out = None
-    for f in features:
-        bucket = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(64))
-        order = lambda salt: F.row_number().over(Window.partitionBy(*by, "_b").orderBy(F.xxhash64(key, F.lit(f"{salt}{f}{seed}")), key))
-        rows = df.withColumn("_b", bucket)
-        left = rows.withColumn("_n", order("to")).drop(f)
-        right = rows.withColumn("_n", order("from")).select(*by, "_b", "_n", f)
-        shuffled = left.join(right, [*by, "_b", "_n"]).drop("_b", "_n").select(*df.columns)
-        m = ranking_metrics(predict(model, shuffled, "p"), label, "p", by).select(*by, F.col("auc").alias("auc_shuffled"), F.lit(f).alias("feature"))
-        out = m if out is None else out.unionByName(m)
-    joined = out.join(base, by) if by else out.join(F.broadcast(base))
+    rows = permuted(df, features, key, by, seed)
+    inputs = [c for c in df.columns if c not in {label, *by}]
+
+    def version(name: str | None) -> Column:
+        return F.struct(F.lit(name or "").alias("feature"), *(F.col(f"_to_{c}" if c == name else c).alias(c) for c in inputs))
+
+    versions = F.explode(F.array(version(None), *map(version, features)))
+    every = rows.select(label, *by, versions.alias("_v")).select(label, *by, F.col("_v.feature").alias("_feature"), *(F.col(f"_v.{c}").alias(c) for c in inputs))
+    m = ranking_metrics(predict(model, every, "_p"), label, "_p", [*by, "_feature"]).select(*by, "_feature", "auc")
+    base = m.where("_feature = ''").select(*by, F.col("auc").alias("auc_base"))
+    shuffled = m.where("_feature <> ''").select(*by, F.col("auc").alias("auc_shuffled"), F.col("_feature").alias("feature"))
+    joined = shuffled.join(base, by) if by else shuffled.join(F.broadcast(base))  # a row
     return joined.withColumn("drop", F.col("auc_base") - F.col("auc_shuffled"))

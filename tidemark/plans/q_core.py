@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import clean, features
 from tidemark.operators import relational as rel
+from tidemark.operators import rolling_distinct
 from tidemark.plans.registry import Tables, query, rounded, shown
 from tidemark.sources import calendar, io, merge
 
@@ -337,6 +338,23 @@ HORIZON = "select user_id, snapshot, " + ", ".join(
 HORIZON_FORMS = {"user_id": "i", "snapshot": "i"} | {f"{k}_{h}": "i" if k == "n" else "d" for h in HORIZONS for k in ("n", "mean", "max", "min")}
 
 
+DISTINCT = " union all ".join(f"select event_type, snapshot, {h} as horizon, count(distinct user_id) as users, count(distinct cast(ts as date)) as days from ({SEEN}) where days_before <= {h} group by all" for h in HORIZONS)
+
+
+@query(shown(DISTINCT, event_type="s", snapshot="i", horizon="i", users="i", days="i"))
+def book_distinct_horizons(t: Tables) -> DataFrame:
+    """Active users and days over rolling horizons, exactly."""
+    return rounded(rolling_distinct.exact_counts(t("events").withColumn("day", F.to_date("ts")), ["event_type"], "ts", {"users": "user_id", "days": "day"}, WEEKS, HORIZONS))
+
+
+@query(shown(f"select event_type, snapshot, horizon, users, days, true as users_near, true as days_near from ({DISTINCT})", event_type="s", snapshot="i", horizon="i", users="i", days="i", users_near="s", days_near="s"))
+def book_distinct_sketches(t: Tables) -> DataFrame:
+    """The same beside estimates from daily sketches, which are within four standard errors."""
+    c = rolling_distinct.compared(t("events").withColumn("day", F.to_date("ts")), ["event_type"], "ts", {"users": "user_id", "days": "day"}, WEEKS, HORIZONS)
+    near = {f"{n}_near": F.col(f"{n}_error") <= 4 * rolling_distinct.ERROR for n in ("users", "days")}
+    return rounded(c.withColumns(near).select("event_type", "snapshot", "horizon", "users", "days", *near))
+
+
 @query(shown(HORIZON, **HORIZON_FORMS))
 def book_horizons(t: Tables) -> DataFrame:
     return rounded(rel.horizon_stats(rel.seen_by(t("events"), "ts", WEEKS), ["user_id", "snapshot"], "days_before", "value", HORIZONS))

@@ -296,14 +296,14 @@ def fit_lasso(t: Tables) -> DataFrame:
 @query()
 def fit_boosted_scores(t: Tables) -> DataFrame:
     s = prepared(t)
-    model = fitting.boosted_pipeline(INPUTS, rounds=5, depth=3).fit(s.where("yr <= 1998"))
+    model = fitting.boosted_pipeline(INPUTS, validation="held").fit(s.where("yr <= 1998").withColumn("held", F.col("yr") == 1998))
     return rounded(scoring.batch_score(model, s, ["rid", "yr"], "v1", "run").drop("scored_at", "execution_id"))
 
 
 @query()
 def fit_forest_importances(t: Tables) -> DataFrame:
     s = prepared(t)
-    model = fitting.forest_pipeline(INPUTS, trees=10, depth=5).fit(s.where("yr <= 1998"))
+    model = fitting.forest_pipeline(INPUTS).fit(s.where("yr <= 1998"))
     return rounded(fitting.importances(model, INPUTS, s))
 
 
@@ -315,7 +315,7 @@ def fit_temporal_cv(t: Tables) -> DataFrame:
 @query()
 def fit_random_search(t: Tables) -> DataFrame:
     grid = {"penalty": [0.0001, 0.001, 0.01]}
-    return rounded(fitting.random_search(lambda penalty: fitting.lasso_pipeline(INPUTS, penalty), grid, 2, prepared(t), "label", "yr", FOLDS[:1]))
+    return rounded(fitting.random_search(lambda penalty: fitting.lasso_pipeline(INPUTS, penalty), grid, 3, prepared(t), "label", "yr", FOLDS))
 
 
 @query()

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import decision, monitoring, scoring, selection
+from tidemark.operators import decision, drift_states, monitoring, scoring, selection
 from tidemark.operators.metrics import ranking_metrics
 from tidemark.plans.q_metrics import CONFUSION, CUTOFFS, RANKED, SCORED, bin_sql, psi_sql, ranking_sql, scored
 from tidemark.plans.registry import Tables, query, rounded, shown
+from tidemark.sources.io import scratch_path
 
 SCORE = "least(greatest(cast(trunc((1 - p2) * 1000) as bigint), 0), 1000)"
 BAND = "case when {0} < 300 then 'CRITICO' when {0} < 500 then 'ALTO' when {0} < 700 then 'MEDIO' else 'BAIXO' end"
@@ -175,6 +176,40 @@ def monitor_feature_heat(t: Tables) -> DataFrame:
     return rounded(monitoring.feature_drift(scored(t), ["p1", "p2", "price", "tax"], ~late(), late(), ["yr"]))
 
 
+def stored_states(t: Tables, features: list[str]) -> str:
+    """States of the training years, and of the later ones added by a second call."""
+    s, path = scored(t), scratch_path(t("lineitem").sparkSession)
+    drift_states.start(s, path, features, "yr", [1995, 1996, 1997, 1998])
+    drift_states.add_snapshots(s.where("yr <= 1998"), path, "yr")
+    drift_states.add_snapshots(s, path, "yr")
+    return path
+
+
+@query(shown(HEAT.replace("*, case", "yr as snapshot, feature, psi, case"), snapshot="i", feature="s", psi="d", alert="s"))
+def monitor_stored_drift(t: Tables) -> DataFrame:
+    """The heat table from stored states."""
+    path = stored_states(t, ["p1", "p2", "price", "tax"])
+    d = drift_states.drift(t("lineitem").sparkSession, path, [1995, 1996, 1997, 1998])
+    return rounded(d.withColumn("alert", monitoring.psi_alert(F.col("psi"), 0.10, 0.20, inclusive=True)))
+
+
+@query(shown(" union all ".join(f"select case when yr <= 1998 then 'train' else 'oot' end as name, '{c}' as feature, count(*) as n, avg({c}) as mean, stddev_samp({c}) as std, min({c}) as least, max({c}) as most from ({SCORED}) group by all" for c in ("p1", "price")),
+             name="s", feature="s", n="i", mean="d", std="d", least="d", most="d"))
+def monitor_stored_moments(t: Tables) -> DataFrame:
+    """Moments of groups of years, merged from the states of the years."""
+    path = stored_states(t, ["p1", "price"])
+    return rounded(drift_states.moments(t("lineitem").sparkSession, path, {"train": [1995, 1996, 1997, 1998], "oot": list(range(1999, 2010))}))
+
+
+@query(f"select yr as snapshot, 'price' as feature, true as within from (select distinct yr from ({SCORED}) where yr > 1996)")
+def monitor_rebased_drift(t: Tables) -> DataFrame:
+    """PSI against another baseline by sketches is within 0.05 of that of a full run."""
+    path, s = stored_states(t, ["price"]), scored(t)
+    near = drift_states.rebased_drift(s.sparkSession, path, [1995, 1996])
+    exact = monitoring.feature_drift(s, ["price"], F.col("yr") <= 1996, F.col("yr") > 1996, ["yr"]).select(F.col("yr").alias("snapshot"), "feature", F.col("psi").alias("exact"))
+    return near.join(exact, ["snapshot", "feature"]).select("snapshot", "feature", (F.abs(F.col("psi") - F.col("exact")) < 0.05).alias("within"))
+
+
 @query(shown(" union all ".join(f"select '{c}' as feature, case when yr <= 1998 then 'train' else 'oot' end as split, avg({c}) as mean, stddev_samp({c}) as std, count(*) as n from ({SCORED}) group by all" for c in ("p1", "price")),
              feature="s", split="s", mean="d", std="d", n="i"))
 def monitor_feature_moments(t: Tables) -> DataFrame:

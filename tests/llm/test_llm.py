@@ -905,17 +905,59 @@ def test_few_scores_are_computed():
     worst = np.sort(scores, 1)[:, -5]
     data, queries = topk_search.CoverTree(np.arange(4000), v), topk_search.CoverTree(ask, v[ask], leaf=4)
     for known in (None, worst):
-        ids, _, found, computed = topk_search.search(queries, data, 5, known)
+        best, computed = topk_search.search(queries, [data], 5, known)
+        ids, _, found = best.result()
         assert len(ids) == 5 * len(ask) and computed < 0.35 * len(ask) * 4000
         assert sorted(found.tolist()) == sorted(np.sort(scores, 1)[:, -5:].astype(np.int64).ravel().tolist())
 
 
-def test_tree_nodes_cover_their_points():
+@pytest.mark.parametrize("spread", [50, 1])
+def test_levels_of_a_cover_tree(spread):
+    """Nodes cover their points by level, children lie apart by it and have lower ones; the first has its parent's center."""
     rng = np.random.default_rng(7)
-    v = np.floor(rng.normal(0, 50, (900, 6)))
+    v = np.floor(rng.normal(0, 300, (20, 6))[rng.integers(0, 20, 900)] + rng.normal(0, spread, (900, 6)))
     t = topk_search.CoverTree(np.arange(900), v)
-    for c, r, (a, b) in zip(t.center, t.radius, t.span):
-        assert np.sqrt(((t.vectors[a:b] - c) ** 2).sum(1)).max() <= r + 1e-9
+    assert sorted(t.ids.tolist()) == list(range(900)) and max(map(len, t.children)) > 1
+    for c, r, level, (a, b), children in zip(t.center, t.radius, t.level, t.span, t.children):
+        away = np.sqrt(((t.vectors[a:b] - c) ** 2).sum(1)).max()
+        assert away == r and (r == 0 if level is None else 2.0 ** (level - 1) < r <= 2.0 ** level)
+        if children:
+            cover = 2.0 ** (level - 1)
+            assert all(t.level[x] is None or t.level[x] < level for x in children) and all(t.radius[x] <= cover for x in children)
+            assert sorted(t.span[x] for x in children)[0][0] == a and sum(t.span[x][1] - t.span[x][0] for x in children) == b - a
+            middles = np.array([t.center[x] for x in children])
+            apart = np.sqrt(((middles[:, None] - middles) ** 2).sum(-1))[~np.eye(len(children), dtype=bool)]
+            assert apart.min() > cover and any((m == c).all() for m in middles)
+
+
+def test_packs_go_to_blocks(spark, monkeypatch):
+    """Where nothing can be left out, a pack goes once to each shard, and no block moves again; rows are those of brute force."""
+    rng = np.random.default_rng(12)
+    base = rng.normal(0, 1, (6000, 4))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(base)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(topk_search, "VECTORS", 512)
+    monkeypatch.setattr(topk_search, "SHARD_BYTES", 3 * 512 * 8 * 4)
+    monkeypatch.setattr(topk_search, "QUERIES", 64)
+    monkeypatch.setattr(topk_search, "hopeless", lambda most, worst: most < -np.inf)
+    moved = []
+    real = topk_search.reaching
+
+    def counting(packs, centers, shards):
+        out = real(packs, centers, shards)
+        n_shards = max(int(x.max()) for x in shards.last.values()) + 1
+        moved.append((packs.count(), n_shards, out.count()))
+        return out
+
+    monkeypatch.setattr(topk_search, "reaching", counting)
+    whole = np.floor(256 * base).astype(np.int64)
+    want = set()
+    for i in range(0, 6000, 50):
+        s = whole @ whole[i]
+        best = [j for j in np.lexsort((np.arange(6000), -s)) if j != i][:5]
+        want |= {(i, k + 1, int(j), int(s[j])) for k, j in enumerate(best)}
+    assert set(map(tuple, topk_search.top_k(df, F.col("vec_id") % 50 == 0).collect())) == want
+    (n_packs, n_shards, sent), = moved
+    assert n_shards > 3 and sent == n_packs * (n_shards - 1)
 
 
 # ---- registered queries and the pipeline ----------------------------------------------------------

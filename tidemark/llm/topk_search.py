@@ -1,27 +1,34 @@
-"""Exact top-k inner-product search with trees over data and queries.
+"""Exact top-k inner-product search with cover trees over data and queries.
 
 Every row goes to the cell of its nearest center; the centers are a bounded
 sample, the cells' radii are exact over all rows. The rows of a cell are cut into
-blocks, each a tree of nodes with a center, a covering radius and the points
-below. Queries first walk one block of their own cell, which gives each a k-th
-score to beat, and then go to those cells only whose center and radius allow a
-score as high. There a tree of queries and the tree of a block are walked
+blocks, each with a cover tree, and neighbouring blocks make up a shard that one
+task holds. Queries come in packs, a tree each. A pack and the blocks are walked
 together: a pair of nodes is left out when the highest inner product that their
 centers and radii allow is below the worst k-th score of any query below the
 query node.
 
-What holds of a tree: a node's radius covers all its points, sibling centers are
-more than half their parent's radius apart, and a point goes to the nearest of
-them. A node has at most ``FANOUT`` children, so that siblings need not cover
-everything within that half radius, as the levels of a textbook cover tree do;
-the exact radii take the place of the levels.
+Blocks stay where they are, and packs go to them: a pack visits a shard once, and
+walks its blocks from the most promising one on, with the scores found so far
+carried from block to block. There are three rounds, each with the k-th scores of
+the one before as scores to beat: one block of the queries' own cell, the shard of
+that cell, and then all shards whose cells may hold a score as high. So at most
+packs times shards go over the network, whatever the vectors are like.
+
+What holds of a tree: a node of level i has all its points within 2**i of its
+center; its children, of lower levels, have theirs within 2**(i - 1), are more than
+2**(i - 1) apart from each other, and the first one has the node's own center. A
+node that would need more than ``FANOUT`` children isn't divided: its points are
+scanned. Bounds use each node's exact radius, which is at most 2**i.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,19 +38,22 @@ from pyspark.sql import functions as F
 from tidemark.llm._common import materialize, shuffle_partitions
 
 LEAF = 64
-FANOUT = 8
+FANOUT = 64
 #: Rows of a block and queries of a pack, and the most cells of the index.
 VECTORS, QUERIES = 4096, 1024
 MOST_CELLS = 4096
+#: Bytes of the vectors that a task holds at a time.
+SHARD_BYTES = 64 << 20
 
 
 class CoverTree:
-    """Nodes in arrays: center, radius, children; each node's points are a slice."""
+    """Nodes in arrays: center, level, radius, children; each node's points are a slice."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, leaf: int = LEAF):
         order = np.arange(len(ids))
         self.center: list[np.ndarray] = []
         self.radius: list[float] = []
+        self.level: list[int | None] = []
         self.span: list[tuple[int, int]] = []
         self.children: list[list[int]] = []
         self._build(vectors, order, leaf)
@@ -66,16 +76,20 @@ class CoverTree:
             self.radius.append(float(away.max()))
             self.span.append((a, b))
             self.children.append([])
-            if b - a <= leaf or self.radius[node] == 0:
+            self.level.append(math.ceil(math.log2(self.radius[node])) if self.radius[node] else None)
+            if b - a <= leaf or self.level[node] is None:
                 continue
-            # the farthest point left uncovered at half the radius opens a child
+            # the farthest point that no child covers yet opens another one
+            cover = 2.0 ** (self.level[node] - 1)
             centers, nearest, side = [middle], away, np.zeros(b - a, np.int64)
-            while len(centers) < FANOUT and nearest.max() > self.radius[node] / 2:
+            while len(centers) <= FANOUT and nearest.max() > cover:
                 new = order[a + int(nearest.argmax())]
                 to_new = np.sqrt(((points - vectors[new]) ** 2).sum(1))
                 side = np.where(to_new < nearest, len(centers), side)
                 nearest = np.minimum(nearest, to_new)
                 centers.append(new)
+            if len(centers) > FANOUT:
+                continue
             by_side = np.argsort(side, kind="stable")
             order[a:b] = order[a:b][by_side]
             ends = a + np.cumsum(np.bincount(side, minlength=len(centers)))
@@ -89,22 +103,42 @@ def hopeless(most: np.ndarray | float, worst: np.ndarray | float) -> np.ndarray
     return most + np.abs(most) * 1e-9 + 0.5 < worst
 
 
-def search(queries: CoverTree, data: CoverTree, k: int, worst: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(query id, candidate id, score) of each query's k best, ties to smaller ids, and how many scores were computed.
+class Best:
+    """The k best candidates of each query of a tree so far, in the tree's order."""
+
+    def __init__(self, queries: CoverTree, k: int, least: np.ndarray | None = None):
+        n = len(queries.ids)
+        self.k, self.queries = k, queries
+        self.scores, self.ids = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+        #: What k candidates are known to reach; lower scores need not be found.
+        self.least = np.full(n, -np.inf) if least is None else least
+        self.worst = self.least.copy()
+
+    def add(self, rows: np.ndarray, named: np.ndarray, got: np.ndarray) -> None:
+        """Scores of the candidates ``named`` for some queries, a row each; ties to smaller ids."""
+        every = np.concatenate([self.scores[rows], got], 1)
+        names = np.concatenate([self.ids[rows], np.broadcast_to(named, got.shape)], 1)
+        best = np.lexsort((names, -every), axis=-1)[:, :self.k]
+        self.scores[rows], self.ids[rows] = np.take_along_axis(every, best, 1), np.take_along_axis(names, best, 1)
+        self.worst[rows] = np.maximum(self.scores[rows, -1], self.least[rows])
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query id, candidate id, score), the best of each query first."""
+        found = np.isfinite(self.scores) & (self.scores >= self.least[:, None])
+        owner = np.broadcast_to(self.queries.ids[:, None], self.scores.shape)
+        return owner[found], self.ids[found], self.scores[found].astype(np.int64)
 
-    ``worst`` are scores, in the order that the query tree was built from, which
-    k candidates of each query are known to reach; lower ones need not be found.
-    """
-    n, computed = len(queries.ids), 0
-    least = np.full(n, -np.inf) if worst is None else worst[queries.order]
-    worst = least.copy()
-    scores, ids = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
 
-    def bounds(q: list[int], d: list[int]) -> np.ndarray:
-        rq, rd = queries.radii[q][:, None], data.radii[d]
-        return queries.centers[q] @ data.centers[d].T + rq * data.norms[d] + rd * queries.norms[q][:, None] + rq * rd
+def bounds(queries: CoverTree, q: list[int], data: CoverTree, d: list[int]) -> np.ndarray:
+    """The highest inner products that nodes' centers and radii allow."""
+    rq, rd = queries.radii[q][:, None], data.radii[d]
+    return queries.centers[q] @ data.centers[d].T + rq * data.norms[d] + rd * queries.norms[q][:, None] + rq * rd
 
-    heap = [(-bounds([0], [0]).item(), 0, 0)]
+
+def walk(best: Best, data: CoverTree) -> int:
+    """Add what a data tree holds to the best of a query tree; returns how many scores were computed."""
+    queries, worst, computed = best.queries, best.worst, 0
+    heap = [(-bounds(queries, [0], data, [0]).item(), 0, 0)]
     while heap:
         most, q, d = heapq.heappop(heap)
         a, b = queries.span[q]
@@ -114,28 +148,33 @@ def search(queries: CoverTree, data: CoverTree, k: int, worst: np.ndarray | None
         if not below_q and not below_d:
             lo, hi = data.span[d]
             computed += (b - a) * (hi - lo)
-            for at in range(lo, hi, 8 * LEAF):  # a node of equal points can be large
+            for at in range(lo, hi, 8 * LEAF):  # a node of many points is scanned in parts
                 part = slice(at, min(at + 8 * LEAF, hi))
                 got = queries.vectors[a:b] @ data.vectors[part].T
                 got[queries.ids[a:b, None] == data.ids[None, part]] = -np.inf
                 better = np.flatnonzero((got >= worst[a:b, None]).any(1))
-                if not len(better):
-                    continue
-                rows, got = a + better, got[better]
-                every = np.concatenate([scores[rows], got], 1)
-                named = np.concatenate([ids[rows], np.broadcast_to(data.ids[part], got.shape)], 1)
-                best = np.lexsort((named, -every), axis=-1)[:, :k]
-                scores[rows], ids[rows] = np.take_along_axis(every, best, 1), np.take_along_axis(named, best, 1)
-                worst[rows] = np.maximum(scores[rows, -1], least[rows])
+                if len(better):
+                    best.add(a + better, data.ids[part], got[better])
             continue
         xs, ys = below_q or [q], below_d or [d]
-        most = bounds(xs, ys)
+        most = bounds(queries, xs, data, ys)
         low = np.array([worst[lo:hi].min() for lo, hi in map(queries.span.__getitem__, xs)])
         for i, j in zip(*np.nonzero(~hopeless(most, low[:, None]))):
             heapq.heappush(heap, (-most[i, j], xs[i], ys[j]))
-    found = np.isfinite(scores) & (scores >= least[:, None])
-    owner = np.broadcast_to(queries.ids[:, None], scores.shape)
-    return owner[found], ids[found], scores[found].astype(np.int64), computed
+    return computed
+
+
+def search(queries: CoverTree, blocks: list[CoverTree], k: int, worst: np.ndarray | None = None) -> tuple[Best, int]:
+    """The k best candidates of all blocks, the most promising block first, and how many scores were computed.
+
+    ``worst`` are scores to beat, in the order that the query tree was built from.
+    """
+    best, computed = Best(queries, k, None if worst is None else worst[queries.order]), 0
+    most = np.array([bounds(queries, [0], b, [0]).item() for b in blocks])
+    for at in np.argsort(-most, kind="stable"):
+        if not hopeless(most[at], best.worst.min()):
+            computed += walk(best, blocks[at])
+    return best, computed
 
 
 # ---- the index ------------------------------------------------------------
@@ -239,6 +278,85 @@ def trees(rows: DataFrame, keys: list[str], size: int, by: list[str], carry: str
     return placed.mapInArrow(run, ", ".join(f"{k} int" for k in keys) + ", tree binary")
 
 
+@dataclass
+class Shards:
+    """Of each width: the cells' radii (-1: no rows), and the first and last shard that holds blocks of each cell."""
+
+    radius: dict[int, np.ndarray]
+    first: dict[int, np.ndarray]
+    last: dict[int, np.ndarray]
+
+
+def in_shards(stats: DataFrame, centers: dict[int, np.ndarray]) -> tuple[DataFrame, Shards]:
+    """(width, cell, n_blocks, begin, per_shard), and what queries are compared with.
+
+    A row for each cell, MOST_CELLS and one for each further width. Blocks are
+    numbered through the cells of a width, ``per_shard`` of them to a shard.
+    """
+    rows, begun = [], {}
+    out = Shards({}, {}, {})
+    for r in sorted(stats.collect(), key=lambda r: (r["width"], r["cell"])):
+        width, cell, n = r["width"], r["cell"], -(-r["n"] // (VECTORS * 3 // 4))
+        per = max(SHARD_BYTES // (8 * max(width, 1) * VECTORS), 1)
+        begin = begun.get(width, 0)
+        begun[width] = begin + n
+        rows.append((width, cell, n, begin, per))
+        for found, value in ((out.radius, r["radius"]), (out.first, begin // per), (out.last, (begin + n - 1) // per)):
+            found.setdefault(width, np.full(len(centers.get(width, [0])), -1.0))[cell] = value
+    return stats.sparkSession.createDataFrame(rows, "width int, cell int, n_blocks int, begin int, per_shard int"), out
+
+
+def shard_of(block: Column | str) -> Column:
+    at = F.col(block) if isinstance(block, str) else block
+    return F.floor((F.col("begin") + at) / F.col("per_shard")).cast("int")
+
+
+def visited(packs: DataFrame, blocks: DataFrame, k: int, at: list[str]) -> DataFrame:
+    """(query_id, vec_id, score): each pack's k best among the blocks of its place, whose columns are ``at``.
+
+    A task holds the blocks of one place at a time, and the packs pass by them.
+    """
+    kinds = [blocks.select(*at, F.lit(0).alias("kind"), "tree"), packs.select(*at, F.lit(1).alias("kind"), "tree")]
+    spark = blocks.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held = None, []
+        for batch in batches:
+            for *own, kind, tree in zip(*(batch.column(c) for c in (*at, "kind", "tree"))):
+                own = [x.as_py() for x in own]
+                if own != place:
+                    place, held = own, []
+                one = pickle.loads(tree.as_py())
+                if kind.as_py() == 0:
+                    held.append(one)
+                elif held:
+                    best, _ = search(one, held, k, one.carried)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in best.result()], ["query_id", "vec_id", "score"])
+
+    placed = kinds[0].unionByName(kinds[1]).repartition(shuffle_partitions(spark), *at).sortWithinPartitions(*at, "kind")
+    return placed.mapInArrow(run, "query_id long, vec_id long, score long")
+
+
+def reaching(packs: DataFrame, centers: dict[int, np.ndarray], shards: Shards) -> DataFrame:
+    """(width, shard, tree): each pack for every shard but its own with a cell that may hold a score as high as its worst."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for width, own, tree in zip(batch.column("width").to_pylist(), batch.column("own").to_pylist(), batch.column("tree")):
+                if width not in shards.radius:
+                    continue
+                pack, radius = pickle.loads(tree.as_py()), shards.radius[width]
+                cells, worst = centers.get(width, np.zeros((1, width))), pack.carried.min()
+                norms = np.sqrt((cells ** 2).sum(1))
+                most = pack.centers[:1] @ cells.T + pack.radii[0] * norms + radius * pack.norms[0] + pack.radii[0] * radius
+                use = np.flatnonzero(~hopeless(most[0], worst) & (radius >= 0))
+                wanted = sorted({x for c in use for x in range(int(shards.first[width][c]), int(shards.last[width][c]) + 1)} - {own})
+                for x in wanted:
+                    yield pa.RecordBatch.from_arrays([pa.array([width], pa.int32()), pa.array([x], pa.int32()), pa.array([tree.as_py()], pa.binary())], ["width", "shard", "tree"])
+
+    return packs.mapInArrow(run, "width int, shard int, tree binary")
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of each query.
 
@@ -250,69 +368,39 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256) ->
     candidates as often as they come. Other columns are ignored, whatever their
     names; an empty table gives no rows.
     """
-    spark = vectors.sparkSession
     rows = whole_vectors(vectors, scale)
     centers = sample_centers(rows)
     indexed = materialize(in_cells(rows, centers))
     stats = indexed.groupBy("width", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"))
-    blocks_of = F.ceil(F.col("n") / (VECTORS * 3 // 4)).cast("int")
-    # a row for each cell, MOST_CELLS and one for each further width
-    cells = materialize(stats.withColumn("n_blocks", blocks_of))
-    radius: dict[int, np.ndarray] = {}
-    for r in cells.collect():
-        own = radius.setdefault(r["width"], np.full(len(centers.get(r["width"], [0])), -1.0))
-        own[r["cell"]] = r["radius"]
-
-    few = F.broadcast(cells.select("width", "cell", "n_blocks"))
+    cells, shards = in_shards(stats, centers)
+    few = F.broadcast(cells)
     # the table's own row numbers deal out the rows of a repeated vec_id too
     block = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.col("n_blocks")).cast("int")
     numbered = indexed.select("width", "cell", "vec_id", "v").join(few, ["width", "cell"]).withColumn("block", block)
-    blocks = materialize(trees(numbered, ["width", "cell", "block"], VECTORS, ["vec_id"]))
+    blocks = trees(numbered, ["width", "cell", "block"], VECTORS, ["vec_id"]).join(few, ["width", "cell"])
+    blocks = materialize(blocks.select("width", "cell", "block", shard_of("block").alias("shard"), "tree"))
 
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     asked = materialize(in_cells(asked, centers).drop("away"))
     salts = max(1, asked.count() // (QUERIES * 64))
-    salt = F.pmod(F.xxhash64("vec_id"), F.lit(salts)).cast("int")
-
-    def walk(pairs: DataFrame, bounds_only: bool) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for q, d in zip(batch.column("queries"), batch.column("tree")):
-                    queries = pickle.loads(q.as_py())
-                    ids, found, scores, _ = search(queries, pickle.loads(d.as_py()), k, getattr(queries, "carried", None))
-                    if bounds_only:  # ids come in runs, best scores first
-                        full = np.flatnonzero(np.append(ids[k - 1:] == ids[:len(ids) - k + 1], False)) if len(ids) >= k else np.empty(0, np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(ids[full]), pa.array(scores[full + k - 1].astype(np.float64))], ["vec_id", "worst"])
-                    else:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (ids, found, scores)], ["query_id", "vec_id", "score"])
-
-        return pairs.select("queries", "tree").mapInArrow(run, "vec_id long, worst double" if bounds_only else "query_id long, vec_id long, score long")
-
-    # one block of the query's own cell: a score to beat
-    packs = trees(asked.withColumn("salt", salt), ["width", "cell", "salt"], QUERIES, ["vec_id"]).withColumnRenamed("tree", "queries")
-    bounds = walk(packs.withColumn("block", F.lit(0)).join(blocks, ["width", "cell", "block"]), True)
-    bounds = bounds.groupBy("vec_id").agg(F.max("worst").alias("worst"))
-    bounded = materialize(asked.join(bounds, "vec_id", "left").select("width", F.col("cell").alias("own"), "vec_id", "v", F.coalesce("worst", F.lit(float("-inf"))).alias("worst")))
-
-    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each cell that may hold a score as high as the query's k-th."""
-        for batch in batches:
-            for width, part, matrix in by_width(batch, 256):
-                if width not in radius:
-                    continue
-                own, r = centers.get(width, np.zeros((1, width))), radius[width]
-                most = matrix @ own.T + np.sqrt((matrix ** 2).sum(1))[:, None] * r
-                worst = part.column("worst").to_numpy(zero_copy_only=False)
-                q, cell = np.nonzero(~hopeless(most, worst[:, None]) & (r >= 0))
-                sent = part.take(pa.array(q))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell.astype(np.int32)), *(sent.column(c) for c in ("width", "own", "vec_id", "v", "worst"))], ["cell", "width", "own", "vec_id", "v", "worst"])
-
-    sent = bounded.mapInArrow(reach, "cell int, width int, own int, vec_id long, v array<bigint>, worst double").withColumn("salt", salt)
     # similar queries, those of one cell, share packs
-    packs = materialize(trees(sent, ["width", "cell", "salt"], QUERIES, ["own", "vec_id"], "worst").withColumnRenamed("tree", "queries"))
-    placed = packs.join(few, ["width", "cell"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    pairs = placed.join(blocks, ["width", "cell", "block"]).repartition(shuffle_partitions(spark), F.xxhash64("width", "cell", "block", F.crc32("queries")))
-    found = walk(pairs, False)
+    salted = asked.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(salts)).cast("int"))
+
+    def packs(found: DataFrame | None) -> DataFrame:
+        """(width, cell, salt, tree) of the queries, with the k-th scores found so far."""
+        if found is None:
+            rows = salted.withColumn("worst", F.lit(float("-inf")))
+        else:
+            known = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).where(F.col("n") == k)
+            rows = salted.join(known.select(F.col("query_id").alias("vec_id"), "least"), "vec_id", "left").withColumn("worst", F.coalesce(F.col("least").cast("double"), F.lit(float("-inf")))).drop("least")
+        return trees(rows, ["width", "cell", "salt"], QUERIES, ["vec_id"], "worst")
+
+    # one block of the own cell, then its shard, then all others
+    first = materialize(visited(packs(None), blocks.where("block = 0"), k, ["width", "cell"]))
+    own = packs(first).join(few, ["width", "cell"]).select("width", shard_of(F.lit(0)).alias("shard"), "cell", "salt", "tree")
+    near = materialize(visited(own, blocks, k, ["width", "shard"]))
+    sent = packs(near).join(few, ["width", "cell"]).select("width", shard_of(F.lit(0)).alias("own"), "cell", "salt", "tree")
+    far = visited(reaching(sent, centers, shards), blocks, k, ["width", "shard"])
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = near.unionByName(far)
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import compiled, fitting, profiling, quality, sampling, scoring, selection
 from tidemark.operators.metrics import quality_gate, ranking_metrics
 from tidemark.operators.quality_plan import Suite
-from tidemark.plans.q_metrics import FEATURES, IV, SCORED, psi_sql, scored
+from tidemark.plans.q_metrics import FEATURES, IV, SCORED, psi_sql, ranking_sql, scored
 from tidemark.plans.registry import Tables, query, rounded, shown
 from tidemark.sources import io
 
@@ -225,19 +225,58 @@ def selection_snapshot_stability(t: Tables) -> DataFrame:
 WIDE = ["p1", "p2", "quantity", "price", "tax"]
 
 
-@query()
+def pairs_sql(columns: list[str]) -> str:
+    """(i, j, a, b, r, loser): pairs of columns with the size of their correlation, and which of them varies less."""
+    return " union all ".join(
+        f"select {i} as i, {j} as j, '{a}' as a, '{b}' as b, abs(corr({a}, {b})) as r, case when var_samp({a}) < var_samp({b}) then '{a}' else '{b}' end as narrower from ({SCORED})"
+        for i, a in enumerate(columns) for j, b in enumerate(columns) if i < j)
+
+
+def listed(columns: list[str]) -> str:
+    return "[" + ", ".join(f"'{c}'" for c in columns) + "]"
+
+
+GREEDY = f"""with recursive pairs as (select *, row_number() over (order by i, j) as place, case when coalesce(map {{'quantity': 0.2, 'p2': 0.1}}[a], 0) >= coalesce(map {{'quantity': 0.2, 'p2': 0.1}}[b], 0) then b else a end as loser from ({pairs_sql(WIDE)})),
+    steps as (select cast(0 as bigint) as place, cast([] as varchar[]) as gone union all
+        select p.place, case when list_contains(gone, a) or list_contains(gone, b) or r <= 0.9 then gone else list_append(gone, loser) end from steps s join pairs p on p.place = s.place + 1)
+    select feature from (select unnest({listed(WIDE)}) as feature), (select gone from steps order by place desc limit 1) where not list_contains(gone, feature)"""
+WORST_FIRST = f"""with recursive ranked as (select list({{'a': a, 'b': b, 'narrower': narrower}} order by r desc, i, j) as pairs from ({pairs_sql(WIDE)}) where r >= 0.8),
+    steps as (select cast(0 as bigint) as n, {listed(WIDE)} as rest union all
+        select n + 1, list_filter(rest, lambda c: c <> list_filter(pairs, lambda p: list_contains(rest, p.a) and list_contains(rest, p.b))[1].narrower) from steps, ranked
+        where len(list_filter(pairs, lambda p: list_contains(rest, p.a) and list_contains(rest, p.b))) > 0)
+    select unnest(rest) as feature from (select rest from steps order by n desc limit 1)"""
+
+
+@query(GREEDY)
 def selection_correlation_filter(t: Tables) -> DataFrame:
     left = selection.correlation_filter(scored(t), WIDE, {"quantity": 0.2, "p2": 0.1})
     return t("lineitem").sparkSession.createDataFrame([(x,) for x in left], "feature string")
 
 
-@query()
+@query(WORST_FIRST)
 def selection_drop_most_correlated(t: Tables) -> DataFrame:
     left = selection.drop_most_correlated(scored(t), WIDE)
     return t("lineitem").sparkSession.createDataFrame([(x,) for x in left], "feature string")
 
 
-@query()
+def determinant(m: list[list[str]]) -> str:
+    """A determinant by its first row, as SQL."""
+    if not m:
+        return "1"
+    return "(" + " ".join(f"{'+' if j % 2 == 0 else '-'} {x} * {determinant([r[:j] + r[j + 1:] for r in m[1:]])}" for j, x in enumerate(m[0])) + ")"
+
+
+def without(m: list[list[str]], k: int) -> list[list[str]]:
+    return [r[:k] + r[k + 1:] for i, r in enumerate(m) if i != k]
+
+
+CORRELATIONS = [["1" if a == b else f"c_{min(i, j)}_{max(i, j)}" for j, b in enumerate(FEATURES)] for i, a in enumerate(FEATURES)]
+INFLATION = " union all ".join(
+    f"select '{f}' as feature, {determinant(without(CORRELATIONS, k))} / {determinant(CORRELATIONS)} as vif from (select "
+    + ", ".join(f"corr({a}, {b}) as c_{i}_{j}" for i, a in enumerate(FEATURES) for j, b in enumerate(FEATURES) if i < j) + f" from ({SCORED}))" for k, f in enumerate(FEATURES))
+
+
+@query(shown(INFLATION, feature="s", vif="d"))
 def selection_variance_inflation(t: Tables) -> DataFrame:
     return rounded(selection.variance_inflation(scored(t), FEATURES))
 
@@ -318,7 +357,10 @@ def fit_random_search(t: Tables) -> DataFrame:
     return rounded(fitting.random_search(lambda penalty: fitting.lasso_pipeline(INPUTS, penalty), grid, 3, prepared(t), "label", "yr", FOLDS))
 
 
-@query()
+BLENDS = " union all ".join(f"select {k - 1} as setting, '{k / 10},{(10 - k) / 10}' as w, ks, auc from ({ranking_sql(f'round(p1 * {k / 10} + p2 * {(10 - k) / 10}, 9)')})" for k in range(1, 10))
+
+
+@query(shown(BLENDS, setting="i", w="s", ks="d", auc="d"))
 def fit_blend_weights(t: Tables) -> DataFrame:
     b = fitting.blend_weights(scored(t), "label", ["p1", "p2"], 10)
     return rounded(b.select("setting", F.array_join(F.transform("weights", lambda w: w.cast("string")), ",").alias("w"), "ks", "auc"))
@@ -332,7 +374,11 @@ def fit_stacking(t: Tables) -> DataFrame:
     return rounded(ranking_metrics(fitting.predict(model, oof, "p"), "label", "p"))
 
 
-@query()
+CHAMPION = "select model, ks, auc, gini from (" + " union all ".join(f"select '{c}' as model, ks, auc, gini from ({ranking_sql(c)})" for c in ("p1", "p2")) + """)
+    order by ks > 0.20 and auc > 0.65 and gini > 30 desc, ks desc, model limit 1"""
+
+
+@query(shown(CHAMPION, model="s", ks="d", auc="d", gini="d"))
 def fit_champion(t: Tables) -> DataFrame:
     s = scored(t)
     m = None

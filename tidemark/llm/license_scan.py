@@ -53,7 +53,7 @@ def _gnu_notice(license: str, version: str) -> str:
         "you should have received a copy of the " + license + " along with {4}; if not")
 
 
-#: Label, score, markup. Whole texts score 1, notices that name a license 0.9, opening clauses alone 0.7.
+#: Label, score, markup. Whole texts score 1, notices of a line or a file that name a license 0.9, opening clauses alone 0.7.
 TEMPLATES = [
     ("mit-notice", 0.9, _NOTICE + " the [[terms of the]] mit license"),
     ("apache-2.0", 0.9, _NOTICE + " the [[terms of the]] apache license, version 2.0"),
@@ -82,16 +82,16 @@ TEMPLATES = [
         "all implied warranties of merchantability and fitness. in no event shall {4} be liable for any special, direct, indirect, or consequential damages or any "
         "damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other tortious action, arising out of or in "
         "connection with the use or performance of this software")),
-    ("apache-2.0-text", 1.0, (
+    ("apache-2.0-file-notice", 0.9, (
         "licensed under the apache license, version 2.0 [[the license]]; you may not use this file except in compliance with the license. you may obtain a copy of the "
         "license at {10} unless required by applicable law or agreed to in writing, software distributed under the license is distributed on an as is basis, without "
         "warranties or conditions of any kind, either express or implied. see the license for the specific language governing permissions and limitations under the "
         "license")),
-    ("gpl-2.0-text", 1.0, _gnu_notice("gnu general public license", "2")),
-    ("gpl-3.0-text", 1.0, _gnu_notice("gnu general public license", "3")),
-    ("lgpl-2.1-text", 1.0, _gnu_notice("gnu lesser general public license", "2.1")),
-    ("lgpl-3.0-text", 1.0, _gnu_notice("gnu lesser general public license", "3")),
-    ("mpl-2.0-text", 1.0, (
+    ("gpl-2.0-file-notice", 0.9, _gnu_notice("gnu general public license", "2")),
+    ("gpl-3.0-file-notice", 0.9, _gnu_notice("gnu general public license", "3")),
+    ("lgpl-2.1-file-notice", 0.9, _gnu_notice("gnu lesser general public license", "2.1")),
+    ("lgpl-3.0-file-notice", 0.9, _gnu_notice("gnu lesser general public license", "3")),
+    ("mpl-2.0-file-notice", 0.9, (
         "this source code form is subject to the terms of the mozilla public license, v. 2.0. if a copy of the mpl was not distributed with this file, you can obtain "
         "one at {8} mozilla.org/mpl/2.0")),
 ]

@@ -1,6 +1,7 @@
 """Merges, book runs, compiled checks and models, and samples: what they leave alone and what they read."""
 
 import datetime as dt
+from collections import Counter
 from urllib.parse import unquote
 
 import pytest
@@ -355,3 +356,14 @@ def test_boosting_stops_on_the_validation_rows(labelled):
     stopped = fitting.boosted_pipeline(["a"], rounds=30, depth=5, validation="held").fit(noise)
     assert stopped.stages[-1].getNumTrees < 30
     assert fitting.boosted_pipeline(["a"], rounds=3, depth=1).fit(labelled).stages[-1].getNumTrees == 3
+
+
+def test_bands_within_groups(spark):
+    data = [(g, v) for g in ("a", None) for v in (1.0, 1.0, 2.0, 3.0, None)] + [("b", 5.0)]
+    df = spark.createDataFrame(data, "g string, v double")
+    got = Counter(map(tuple, rel.relative_bands(df, ["g"], "v", 4).collect()))
+    from pyspark.sql import Window
+
+    share = F.cume_dist().over(Window.partitionBy("g").orderBy("v"))
+    assert got == Counter(map(tuple, df.withColumn("band", F.least(F.floor(share * 4), F.lit(3))).collect()))
+    assert Counter(k for _, _, k in got.elements())[3] == 5

@@ -169,9 +169,16 @@ def delinquency_vs_payment(bills: DataFrame, payments: DataFrame, client: str, c
 
 
 def relative_bands(df: DataFrame, by: list[str], value: str, bands: int) -> DataFrame:
-    """Add ``band`` 0..bands - 1 by the share of the group's rows with no greater value."""
-    w = Window.partitionBy(*by).orderBy(value)
-    return df.withColumn("band", F.least(F.floor(F.cume_dist().over(w) * bands), F.lit(bands - 1)))
+    """Add ``band`` 0..bands - 1 by the share of the group's rows with no greater value, nulls being the least.
+
+    Rows are counted by (group, value) and the counts cumulated in parts of the
+    value's range, so that no group's rows meet in one task.
+    """
+    counts = df.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("n"))
+    placed = prefix_sums(counts, ["_v"], ["n"], by)
+    band = F.least(F.floor((F.col("before_n") + F.col("n")) / F.col("total_n") * bands), F.lit(bands - 1))
+    bands_of = placed.select(*by, "_v", band.alias("band"))
+    return join_groups(df.withColumn("_v", F.col(value)), bands_of, [*by, "_v"]).drop("_v")
 
 
 def score_tiles(df: DataFrame, score: str, key: str, tiles: int = 10, by: list[str] | None = None) -> DataFrame:

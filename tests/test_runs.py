@@ -367,3 +367,12 @@ def test_bands_within_groups(spark):
     share = F.cume_dist().over(Window.partitionBy("g").orderBy("v"))
     assert got == Counter(map(tuple, df.withColumn("band", F.least(F.floor(share * 4), F.lit(3))).collect()))
     assert Counter(k for _, _, k in got.elements())[3] == 5
+
+
+def test_scratch_tables_go_on_demand(spark):
+    path = io.scratch_path(spark)
+    io.write_overwrite(spark.range(3).toDF("x"), path)
+    other = io.scratch_path(spark)
+    assert path != other and path.rsplit("/", 1)[0] == other.rsplit("/", 1)[0] and spark.read.parquet(path).count() == 3
+    io.clear_scratch(spark)
+    assert not files.exists(spark, path) and io.scratch_path(spark).rsplit("/", 1)[0] != path.rsplit("/", 1)[0]

@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import files
+
 RUN_LOG = "execution_id string, schema string, table string, started_at timestamp, ended_at timestamp, status string, rows long, error string"
 
 
@@ -55,16 +57,37 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*(re.sub(r"[ ,;{}()\n\t=]", "_", c) for c in df.columns))
 
 
+#: Where a session's scratch tables lie; set by the first of them.
+SCRATCH = "tidemark.scratch.root"
+
+
 def scratch_path(spark: SparkSession) -> str:
-    """A new path in the folder that driver and executors share; a temporary one where none is set on a local master."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A new path in the session's scratch folder.
+
+    That is inside the folder that driver and executors share and the cluster
+    names in ``spark.checkpoint.dir``; where that is unset on a local master it is a
+    temporary one, elsewhere an error.
+    """
+    root = spark.conf.get(SCRATCH, None)
     if not root:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            master = spark.sparkContext.master
+            if master != "local" and not master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+            shared = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+            spark.conf.set("spark.checkpoint.dir", shared)
+        root = f"{shared.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        spark.conf.set(SCRATCH, root)
+    return f"{root}/{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the session's scratch tables; DataFrames that still read them can't be run any more."""
+    root = spark.conf.get(SCRATCH, None)
+    if root:
+        files.delete(spark, root)
+        spark.conf.unset(SCRATCH)
 
 
 def with_audit(df: DataFrame, execution_id: str, at: Column | None = None) -> DataFrame:

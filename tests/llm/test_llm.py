@@ -576,6 +576,18 @@ def test_components_equal_brute_force(spark, seed):
     assert Counter(map(tuple, ngram_join.near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect())) == brute_components(rows)
 
 
+def test_components_by_shuffles(spark, monkeypatch):
+    """Tables of more keys than are broadcast give the same rows, at every place that joins by keys."""
+    rows = near_copies(4)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    real = ngram_join.with_keys
+    joined = []
+    monkeypatch.setattr(ngram_join, "FEW_KEYS", 0)
+    monkeypatch.setattr(ngram_join, "with_keys", lambda df, keys, column, few=0: joined.append(column) or real(df, keys, column, 0))
+    assert Counter(map(tuple, ngram_join.near_duplicates(df).select("doc_id", "n_shingles", "component_id").collect())) == brute_components(rows)
+    assert joined
+
+
 def test_sets_with_one_fingerprint_stay_apart(spark):
     """Sets that share their first fingerprint are told apart by the second."""
     rows = near_copies(5, 8)

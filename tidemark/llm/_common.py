@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,28 +9,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder name inside the shared checkpoint folder.
-
-    The cluster names the folder in ``spark.checkpoint.dir``; only where that
-    is unset on a local master (tests on one machine) a temporary folder is taken
-    instead; elsewhere that is an error, as executors would not share it.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+from tidemark.sources.io import scratch_path as scratch_dir
 
 
 def materialize(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Cuts the lineage without depending on any executor staying alive.
+    Cuts the lineage without depending on any executor staying alive. The table
+    stays until ``tidemark.sources.io.clear_scratch``.
     """
     spark = df.sparkSession
     path = scratch_dir(spark)

@@ -12,7 +12,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import collocations, decontamination, spelling_variants, word_stream
-from tidemark.llm import queries as q
 
 DIR = "/root/testdata/sf0.001"
 SMALL = {c: c + 32 for c in range(65, 91)}
@@ -290,16 +289,3 @@ def test_spans_are_cut_out(spark):
     assert decontamination.without_spans(docs, bench, max_span=2).where("doc_id = 6").first()["text"] == "the short item is here: , in a longer text"
     only = decontamination.without_spans(docs.select("text"), bench)
     assert only.columns == ["text"] and only.count() == 5
-
-
-@pytest.mark.parametrize("name", ["op12_collocations", "op13_decontamination"])
-def test_sql_of_the_new_queries(spark, name):
-    import duckdb
-
-    con = duckdb.connect()
-    for t in ("documents", "benchmark"):
-        con.execute(f"create view {t} as select * from '{DIR}/{t}.parquet'")
-    df = q.QUERIES[name](spark, DIR)
-    cursor = con.execute(q.ORACLE_SQL[name])
-    names = [d[0] for d in cursor.description]
-    assert df.columns == names and sorted(map(str, rows_of(df))) == sorted(str(tuple(r)) for r in cursor.fetchall())

@@ -284,3 +284,13 @@ def test_exact_quantiles_equal_percentile(spark):
             for c in "xyz":
                 assert got.get((*(r[b] for b in by), c)) == r[c]
     assert curves.quantile_values(df.where("false"), values, [0.5]) == {"x": [None], "y": [None], "z": [None]}
+
+
+def test_share_of_total_does_not_hang_on_the_order_of_rows(spark):
+    values = [1e16, 1.0, -1e16, 0.25, float("nan")]
+    for order in ([0, 1, 2, 3], [1, 0, 3, 2], [2, 3, 0, 1]):
+        df = spark.createDataFrame([("a", values[i]) for i in order] + [("b", 0.75)], "g string, v double").coalesce(1)
+        got = {r["g"]: (r["total"], r["share"], r["cum_share"]) for r in relational.share_of_total(df, ["g"], "v").collect()}
+        assert got == {"a": (1.25, 0.625, 0.625), "b": (0.75, 0.375, 1.0)}
+    odd = spark.createDataFrame([("a", float("inf")), ("b", None)], "g string, v double").groupBy("g").agg(relational.steady_sum(spark.createDataFrame([], "v double"), "v").alias("s"))
+    assert {r["g"]: r["s"] for r in odd.collect()} == {"a": float("inf"), "b": None}

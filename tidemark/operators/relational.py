@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.clean import LEAKAGE, rename_matching, select_with_prefix
 from tidemark.operators.curves import exact_quantiles, global_rank, join_groups, prefix_sums, tile
+from tidemark.sources.io import written
 
 # ---- joins ----------------------------------------------------------------------
 
@@ -189,10 +190,24 @@ def score_tiles(df: DataFrame, score: str, key: str, tiles: int = 10, by: list[s
     return global_rank(df, score, key).withColumn("tile", tile(F.col("rank"), F.col("n_rows"), tiles)).drop("rank", "n_rows")
 
 
+def steady_sum(df: DataFrame, value: str) -> Column:
+    """Sum of a column that doesn't hang on the order of its rows: doubles as decimals, and what is left of them."""
+    if df.schema[value].dataType.typeName() not in ("double", "float"):
+        return F.sum(value)
+    x = F.col(value).cast("double")
+    whole = F.coalesce(F.when(F.abs(x) < 1e18, x).try_cast("decimal(26,6)"), F.lit(0).cast("decimal(26,6)"))
+    return F.sum(F.when(x.isNotNull(), whole)).cast("double") + F.sum(x - whole.cast("double"))
+
+
 def share_of_total(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """Sum of a value by group, its share, and the share cumulated from the greatest on."""
-    t = df.groupBy(*by).agg(F.sum(value).alias("total")).withColumn("_o", -F.col("total").cast("double"))
-    t = prefix_sums(t, ["_o", *by], ["total"])
+    """Sum of a value by group, its share, and the share cumulated from the greatest on.
+
+    The sums are written once: read again, a sum of doubles may move in its last
+    digits, and a group then lies in one part for the cumulation and in another
+    for the parts' totals.
+    """
+    t = written(df.groupBy(*by).agg(steady_sum(df, value).alias("total")))
+    t = prefix_sums(t.withColumn("_o", -F.col("total").cast("double")), ["_o", *by], ["total"])
     return t.select(*by, "total", (F.col("total") / F.col("total_total")).alias("share"), ((F.col("before_total") + F.col("total")) / F.col("total_total")).alias("cum_share"))
 
 

@@ -94,13 +94,22 @@ def score_quantile(df: DataFrame, column: str, bins: int) -> DataFrame:
     return df.withColumn(f"{column}_q{bins}", bin_of(value, edges))
 
 
+#: Up to this many values, shares are sent to the tasks; beyond it rows are shuffled by value.
+FEW_VALUES = 1_000_000
+
+
 def frequency_encode(df: DataFrame, column: str, fit_on: Column | None = None) -> DataFrame:
-    """Add <column>_freq, the value's share of the fitted rows; 0 for new and missing values."""
+    """Add <column>_freq, the value's share of the fitted rows; 0 for new and missing values.
+
+    Values are counted first: a shuffle by few values would leave all rows to as
+    many tasks, and so would all that reads the result.
+    """
     fit = df.where(fit_on) if fit_on is not None else df
     counts = fit.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     total = fit.agg(F.count(F.lit(1)).alias("_all"))
     shares = counts.join(F.broadcast(total)).select(column, (F.col("_n") / F.col("_all")).alias(f"{column}_freq"))
-    return df.join(shares, column, "left").na.fill(0.0, [f"{column}_freq"])
+    few = shares.limit(FEW_VALUES + 1).count() <= FEW_VALUES
+    return df.join(F.broadcast(shares) if few else shares, column, "left").na.fill(0.0, [f"{column}_freq"])
 
 
 def fit_domain_pca(df: DataFrame, domains: dict[str, tuple[list[str], int]]) -> PipelineModel:

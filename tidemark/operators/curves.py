@@ -6,6 +6,10 @@ projections of the cumulated counts of bad and good rows by distinct score.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +25,12 @@ def part_of(value: Column, cuts: list[float]) -> Column:
     """How many of the cuts lie below the value: a part that keeps the order."""
     if not cuts:
         return F.lit(0)
-    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < value))
+    step = math.isqrt(len(cuts))
+    blocks = [cuts[i:i + step] for i in range(0, len(cuts), step)] + [[]]
+    # whole blocks below the value by their last cuts, then the cuts of the next block
+    whole = F.size(F.filter(F.array(*(F.lit(b[-1]) for b in blocks if len(b) == step)), lambda c: c < value))
+    rest = F.element_at(F.array(*(F.array(*map(F.lit, b)).cast("array<double>") for b in blocks)), whole + 1)
+    return whole * step + F.size(F.filter(rest, lambda c: c < value))
 
 
 def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -117,6 +126,57 @@ def global_rank(df: DataFrame, score: str, key: str, descending: bool = True, pa
     return ranked.withColumn("rank", F.col("_r") + F.col("before_n")).withColumnRenamed("total_n", "n_rows").drop("_o", "_k", "_r", "before_n")
 
 
+def _rank_cuts(df: DataFrame, score: str, key: str, ranks: list[int], sign: int) -> dict[int, tuple] | None:
+    """The (signed score, key) of the rows at these ranks; None if rows equal in both go on beyond one, or one isn't found."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select((F.col(score).cast("double") * sign).alias("_o"), F.col(key).alias("_key"), part_of(F.col(key).cast("double"), cut_points(df, key, parts)).alias("_k"))
+    placed = prefix_sums(rows.groupBy("_o", "_k").agg(F.count(F.lit(1)).alias("n")), ["_o", "_k"], ["n"], parts=parts)
+    holds = reduce(or_, ((F.col("before_n") < r) & (F.col("before_n") + F.col("n") >= r) for r in ranks))
+    groups = placed.where(holds).select("_o", "_k", "before_n").collect()
+    if not groups:
+        return None
+    of_group = [(F.col("_o") == g["_o"]) & (F.col("_k") == g["_k"]) for g in groups]
+    before = F.coalesce(*(F.when(at, F.lit(g["before_n"])) for at, g in zip(of_group, groups)))
+    w = Window.partitionBy("_o", "_k").orderBy("_key")
+    numbered = rows.where(reduce(or_, of_group)).withColumns({"_r": F.row_number().over(w) + before, "_more": F.lead("_key").over(w) == F.col("_key")})
+    found = numbered.where(F.col("_r").isin(ranks)).collect()
+    if len(found) < len(ranks) or any(r["_more"] for r in found):
+        return None
+    return {r["_r"]: (r["_o"], r["_key"]) for r in found}
+
+
+def among_first(df: DataFrame, score: str, key: str, ranks: list[int], n_rows: int, descending: bool = True) -> tuple[DataFrame, list[Column]]:
+    """Rows with a condition for each of some ranks: that the row's ``global_rank`` is up to it.
+
+    Only the rows at these ranks are looked up, in counts by (score, part of the
+    key) and in the few groups that hold them; the others are compared with them
+    and never ordered. Where rows without a score or key, or equal in both, leave a
+    rank open, all rows are ranked.
+    """
+    inner = sorted({r for r in ranks if 0 < r < n_rows})
+    sign, name = -1 if descending else 1, f"_rank_{score}"
+    cuts = {}
+    if inner:
+        whole = df.where(F.col(score).isNull() | F.col(key).isNull()).isEmpty()
+        cuts = _rank_cuts(df, score, key, inner, sign) if whole else None
+    if cuts is None:
+        ranked = global_rank(df, score, key, descending).withColumnRenamed("rank", name).drop("n_rows")
+        return ranked, [F.col(name) <= r for r in ranks]
+    o = F.col(score).cast("double") * sign
+
+    def up_to(r: int) -> Column:
+        if r not in cuts:
+            return F.lit(r > 0)
+        return (o < cuts[r][0]) | ((o == cuts[r][0]) & (F.col(key) <= cuts[r][1]))
+
+    return df, [up_to(r) for r in ranks]
+
+
+def slice_of(beyond: list[Column]) -> Column:
+    """How many of the cuts a row lies beyond, from conditions of lying up to them."""
+    return sum((F.when(c, 0).otherwise(1) for c in beyond), F.lit(0))
+
+
 def tile(rank: Column, n_rows: Column, tiles: int) -> Column:
     """``ntile`` of a row from its rank and the number of rows."""
     size, more = F.floor(n_rows / tiles), n_rows % tiles

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.binning import psi_table
-from tidemark.operators.curves import exact_quantiles, global_rank, join_groups
+from tidemark.operators.curves import among_first, exact_quantiles, join_groups
 from tidemark.operators.metrics import confusion_at
 
 
@@ -86,14 +88,15 @@ def cross_period_swap(df: DataFrame, period: str, first: object, second: object,
 
 def ranking_overlap(df: DataFrame, label: str, score: str, oracle: str, key: str, shares: list[float]) -> DataFrame:
     """Top shares by two rankings: overlap, swaps both ways and bad rows captured."""
-    a = global_rank(df, score, key).withColumnRenamed("rank", "ra").withColumnRenamed("n_rows", "n_all")
-    b = global_rank(a, oracle, key).withColumnRenamed("rank", "rb").drop("n_rows")
-    t = b.withColumn("share", F.explode(F.array(*map(F.lit, shares))))
-    top = F.floor(F.col("n_all") * F.col("share"))
-    x, y = F.col("ra") <= top, F.col("rb") <= top
-    return t.groupBy("share").agg(
-        F.count_if(x).alias("n_top"), F.count_if(x & y).alias("overlap"), F.count_if(x & ~y).alias("swap_in"), F.count_if(~x & y).alias("swap_out"),
-        (F.sum(F.when(x, F.col(label)).otherwise(0)) / F.sum(label)).alias("captured"))
+    n = df.count()
+    tops = [math.floor(n * s) for s in shares]
+    rows, first = among_first(df, score, key, tops, n)
+    rows, other = among_first(rows, oracle, key, tops, n)
+    found = F.array(*(F.struct(
+        F.lit(s).alias("share"), F.count_if(x).alias("n_top"), F.count_if(x & y).alias("overlap"), F.count_if(x & ~y).alias("swap_in"), F.count_if(~x & y).alias("swap_out"),
+        F.sum(F.when(x, F.col(label)).otherwise(0)).alias("_bad")) for s, x, y in zip(shares, first, other)))
+    out = rows.agg(found.alias("_x"), F.sum(label).alias("_all"), F.count(F.lit(1)).alias("_n")).where("_n > 0").select(F.explode("_x").alias("_x"), "_all")
+    return out.select("_x.*", "_all").withColumn("captured", F.col("_bad") / F.col("_all")).drop("_bad", "_all")
 
 
 def tail_shift(df: DataFrame, score: str, snapshot: str, share: float = 0.1) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.binning import bin_of, quantile_edges
-from tidemark.operators.curves import curve, exact_quantiles, global_rank, prefix_sums, score_counts
+from tidemark.operators.curves import among_first, curve, exact_quantiles, prefix_sums, score_counts, slice_of
 
 
 def ranking_metrics(df: DataFrame, label: str, score: str, by: list[str] | None = None, min_rows: int = 0) -> DataFrame:
@@ -104,9 +106,11 @@ def decile_table(df: DataFrame, label: str, score: str, bins: int = 10, by: list
 
 def gain_lift(df: DataFrame, label: str, score: str, key: str, slices: int = 10) -> DataFrame:
     """Slices of n // slices rows from the riskiest on, the last with the rest: gain and lift."""
-    ranked = global_rank(df.where(F.col(label).isin(0, 1) & F.col(score).isNotNull()), score, key)
-    size = F.greatest(F.floor(F.col("n_rows") / slices), F.lit(1))
-    t = ranked.groupBy(F.least(F.floor((F.col("rank") - 1) / size), F.lit(slices - 1)).alias("slice")).agg(
+    rows = df.where(F.col(label).isin(0, 1) & F.col(score).isNotNull())
+    n = rows.count()
+    size = max(n // slices, 1)
+    rows, up_to = among_first(rows, score, key, [size * i for i in range(1, slices)], n)
+    t = rows.groupBy(slice_of(up_to).alias("slice")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(label).alias("bad"))
     run, whole = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
     out = t.withColumns({
@@ -256,9 +260,9 @@ def band_contingency(df: DataFrame, label: str, band: str) -> DataFrame:
 
 def capture_curve(df: DataFrame, label: str, score: str, key: str, shares: list[float]) -> DataFrame:
     """Bad rows captured in the riskiest shares of the population."""
-    ranked = global_rank(df.where(F.col(label).isin(0, 1) & F.col(score).isNotNull()), score, key)
-    top = ranked.withColumn("share", F.explode(F.array(*map(F.lit, shares))))
-    inside = F.col("rank") <= F.floor(F.col("n_rows") * F.col("share"))
-    return top.groupBy("share").agg(
-        F.count_if(inside).alias("n_top"), F.sum(F.when(inside, F.col(label)).otherwise(0)).alias("bad_top"),
-        (F.sum(F.when(inside, F.col(label)).otherwise(0)) / F.sum(label)).alias("captured"))
+    rows = df.where(F.col(label).isin(0, 1) & F.col(score).isNotNull())
+    n = rows.count()
+    rows, up_to = among_first(rows, score, key, [math.floor(n * s) for s in shares], n)
+    found = F.array(*(F.struct(F.lit(s).alias("share"), F.count_if(x).alias("n_top"), F.sum(F.when(x, F.col(label)).otherwise(0)).alias("bad_top")) for s, x in zip(shares, up_to)))
+    out = rows.agg(found.alias("_x"), F.sum(label).alias("_all"), F.count(F.lit(1)).alias("_n")).where("_n > 0").select(F.explode("_x").alias("_x"), "_all")
+    return out.select("_x.*", "_all").withColumn("captured", F.col("bad_top") / F.col("_all")).drop("_all")

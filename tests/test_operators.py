@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean, features
-from tidemark.operators import binning, curves, decision, metrics, monitoring, profiling, quality, relational, scoring, selection
+from tidemark.operators import binning, curves, decision, fitting, forest, metrics, monitoring, profiling, quality, relational, scoring, selection
 from tidemark.plans.book_engine import build_book, build_book_by_snapshot
 from tidemark.plans.books import billing_book, payment_book, recharge_book
 from tidemark.plans.book_spec import Agg, BookSpec
@@ -294,3 +294,68 @@ def test_share_of_total_does_not_hang_on_the_order_of_rows(spark):
         assert got == {"a": (1.25, 0.625, 0.625), "b": (0.75, 0.375, 1.0)}
     odd = spark.createDataFrame([("a", float("inf")), ("b", None)], "g string, v double").groupBy("g").agg(relational.steady_sum(spark.createDataFrame([], "v double"), "v").alias("s"))
     assert {r["g"]: r["s"] for r in odd.collect()} == {"a": float("inf"), "b": None}
+
+
+def test_frequency_encode_leaves_rows_where_they_are(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(0, 1000, 1, 8).withColumn("c", F.when(F.col("id") % 10 > 0, F.when(F.col("id") % 4 == 0, "a").otherwise("b")))
+        out = features.frequency_encode(df, "c", F.col("id") < 500)
+        assert out.select(F.spark_partition_id()).distinct().count() == 8
+        want = {"a": 100 / 500, "b": 350 / 500, None: 0.0}
+        assert {r["c"]: r["c_freq"] for r in out.select("c", "c_freq").distinct().collect()} == want and out.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_forest_of_counted_rows_agrees_with_one_of_rows(spark):
+    df = spark.range(0, 6000, 1, 4).select(
+        F.col("id"), (F.hash("id") % 7).cast("double").alias("a"), F.rand(3).alias("b"), (F.hash(F.col("id") + 1) % 3).cast("double").alias("c"),
+        F.when(F.col("id") % 50 > 0, F.rand(5)).alias("d"), F.lit(1.0).alias("_weight"))
+    df = io.written(df.withColumn("_label", (F.col("a") + 4 * F.col("b") + F.rand(9) * 3 > 4).cast("double")))
+    names = ["a", "b", "c", "d"]
+    model = fitting.forest_pipeline(names, 60, 6, 50).fit(df)
+    want = dict(zip(names, model.stages[-1].featureImportances.toArray()))
+    got = {r["feature"]: r["share"] for r in forest.forest_importances(df, names, 60, 6, 50).collect()}
+    assert abs(sum(got.values()) - 1) < 1e-9 and all(abs(got[f] - want[f]) < 0.05 for f in names), (got, want)
+
+
+def test_forest_splits_as_worked_by_hand(spark):
+    # one feature, no bootstrap: 40 rows of label 0 below, 60 of label 1 above; gini 0.48 to 0, and leaves are pure
+    df = spark.range(100).select((F.col("id") >= 40).cast("double").alias("x"), (F.col("id") >= 40).cast("double").alias("_label"), F.lit(1.0).alias("_weight"))
+    counted = forest.counted(df, ["x"], 32)
+    assert sorted((r["_bins"], r["n0"], r["n1"]) for r in counted.collect()) == [([0], 40, 0), ([1], 0, 60)]
+    sample = counted.select("_bins", F.lit(0).alias("tree"), "n0", "n1", (F.col("n0") * F.col("w0")).alias("w0"), (F.col("n1") * F.col("w1")).alias("w1"))
+    found = forest.grow(sample, 1, 3, 10, 42).collect()
+    assert [(r["tree"], r["feature"]) for r in found] == [(0, 0)] and abs(found[0]["gain"] - 48) < 1e-9
+    assert forest.grow(sample, 1, 3, 50, 42).count() == 0
+
+
+def test_only_rows_at_the_ranks_are_looked_up(spark, monkeypatch):
+    df = spark.range(1003).select(F.col("id"), (F.col("id") * 7 % 5).cast("double").alias("s"), F.hash("id").cast("double").alias("t"), (F.hash("id") % 3 == 0).cast("int").alias("y"))
+    ranks = [0, 1, 100, 502, 1002, 1003, 2000]
+    want = {}
+    for score in ("s", "t"):
+        place = {r["id"]: r["rank"] for r in curves.global_rank(df, score, "id").collect()}
+        want[score] = {i: [p <= r for r in ranks] for i, p in place.items()}
+    overlap = sorted(map(tuple, decision.ranking_overlap(df, "y", "s", "t", "id", [0.1, 0.5]).select("share", "n_top", "overlap", "swap_in", "swap_out").collect()))
+    a, b = ({i: w[2] for i, w in want[s].items()} for s in ("s", "t"))
+    assert overlap[0] == (0.1, 100, sum(a[i] and b[i] for i in a), sum(a[i] and not b[i] for i in a), sum(b[i] and not a[i] for i in a))
+    with monkeypatch.context() as m:
+        m.setattr(curves, "global_rank", None)  # not all rows are ranked
+        for score in ("s", "t"):
+            rows_, up_to = curves.among_first(df, score, "id", ranks, 1003)
+            assert {r[0]: list(r[1:]) for r in rows_.select("id", *up_to).collect()} == want[score]
+    # rows equal in score and key straddle a rank: their number still holds
+    twice = df.unionAll(df)
+    rows_, up_to = curves.among_first(twice, "s", "id", [101], 2006)
+    assert rows_.where(up_to[0]).count() == 101
+    assert [r["n"] for r in metrics.gain_lift(df, "y", "s", "id").orderBy("slice").collect()] == [100] * 9 + [103]
+
+
+def test_parts_are_counts_of_cuts(spark):
+    for n in (1, 2, 3, 8, 9, 23):
+        cuts = [float(i) for i in range(n)]
+        got = spark.range(-2, 60).select((F.col("id") / 2).alias("v")).select("v", curves.part_of(F.col("v"), cuts).alias("p")).collect()
+        assert all(r["p"] == sum(c < r["v"] for c in cuts) for r in got)

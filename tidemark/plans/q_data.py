@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import compiled, fitting, profiling, quality, sampling, scoring, selection
+from tidemark.operators import compiled, fitting, forest, profiling, quality, sampling, scoring, selection
 from tidemark.operators.metrics import quality_gate, ranking_metrics
 from tidemark.operators.quality_plan import Suite
 from tidemark.plans.q_metrics import FEATURES, IV, SCORED, psi_sql, ranking_sql, scored
@@ -341,9 +341,7 @@ def fit_boosted_scores(t: Tables) -> DataFrame:
 
 @query()
 def fit_forest_importances(t: Tables) -> DataFrame:
-    s = prepared(t)
-    model = fitting.forest_pipeline(INPUTS).fit(s.where("yr <= 1998"))
-    return rounded(fitting.importances(model, INPUTS, s))
+    return rounded(forest.forest_importances(prepared(t).where("yr <= 1998"), INPUTS))
 
 
 @query()

@@ -65,23 +65,23 @@ class SegmentTree:
         self.width = 1 << (n - 1).bit_length()
         self.text, self.base = text, (chars, tokens)
         self.first = np.cumsum(chars) - chars
-        self.chars, self.tokens = (np.zeros(2 * self.width, np.int64) for _ in range(2))
-        self.chars[self.width:self.width + n], self.tokens[self.width:self.width + n] = chars, tokens
+        both = np.zeros((2, 2 * self.width), np.int64)
+        both[0, self.width:self.width + n], both[1, self.width:self.width + n] = chars, tokens
         level = self.width
         while level > 1:
-            half = level // 2
-            for sums in (self.chars, self.tokens):
-                sums[half:level] = sums[level:2 * level:2] + sums[level + 1:2 * level:2]
-            level = half
+            np.add(both[:, level:2 * level:2], both[:, level + 1:2 * level:2], out=both[:, level // 2:level])
+            level //= 2
+        # single numbers are read and written much faster through memory views
+        self.chars, self.tokens = memoryview(both[0]), memoryview(both[1])
         self.changed: dict[int, list[tuple[str, int]]] = {}
 
     @property
     def n_tokens(self) -> int:
-        return int(self.tokens[1])
+        return self.tokens[1]
 
     @property
     def n_chars(self) -> int:
-        return int(self.chars[1])
+        return self.chars[1]
 
     def pieces(self, leaf: int) -> list[tuple[str, int]]:
         if leaf in self.changed:
@@ -97,7 +97,7 @@ class SegmentTree:
         while node < self.width:
             node *= 2
             if char >= before + chars[node] and chars[node + 1]:
-                before += int(chars[node])
+                before += chars[node]
                 node += 1
         return node - self.width, before
 
@@ -109,22 +109,28 @@ class SegmentTree:
             return
         low, before = self.leaf_at(start)
         high, held = low, list(self.pieces(low))
-        after = before + int(self.chars[self.width + low])
+        own, width = self.chars, self.width
+        after = before + own[width + low]
 
         def more_right() -> bool:
             nonlocal high, after
             if after >= self.n_chars:
                 return False
-            high, _ = self.leaf_at(after)
+            # mostly the next leaf; edits may have emptied it
+            high = high + 1 if own[width + high + 1] else self.leaf_at(after)[0]
             held.extend(self.pieces(high))
-            after += int(self.chars[self.width + high])
+            after += own[width + high]
             return True
 
         def more_left() -> int:
             nonlocal low, before
             if not before:
                 return 0
-            low, before = self.leaf_at(before - 1)
+            if own[width + low - 1]:
+                low -= 1
+                before -= own[width + low]
+            else:
+                low, before = self.leaf_at(before - 1)
             new = self.pieces(low)
             held[:0] = new
             return len(new)
@@ -158,22 +164,23 @@ class SegmentTree:
             break
         self.encoded_chars += len(region)
         held[a:b] = self.cut(region) if region else []
-        for leaf in range(low + 1, high + 1):
-            if self.chars[self.width + leaf]:
-                self._set(leaf, [])
-        self._set(low, held)
+        self._set(low, high, held)
         if len(held) > self.crowded:
             self._build(*self.flat())
 
-    def _set(self, leaf: int, pieces: list[tuple[str, int]]) -> None:
-        self.changed[leaf] = [p for p in pieces if p[0]]
-        node = self.width + leaf
-        more_chars = sum(len(t) for t, _ in pieces) - int(self.chars[node])
-        more_tokens = sum(n for _, n in pieces) - int(self.tokens[node])
-        while node:
-            self.chars[node] += more_chars
-            self.tokens[node] += more_tokens
-            node //= 2
+    def _set(self, low: int, high: int, pieces: list[tuple[str, int]]) -> None:
+        """Put pieces in for all leaves from ``low`` to ``high``; sums above are added up anew, each once."""
+        self.changed[low] = [p for p in pieces if p[0]]
+        a, b = self.width + low, self.width + high
+        for leaf in range(low + 1, high + 1):
+            self.changed[leaf] = []
+            self.chars[self.width + leaf] = self.tokens[self.width + leaf] = 0
+        self.chars[a], self.tokens[a] = sum(len(t) for t, _ in pieces), sum(n for _, n in pieces)
+        while a > 1:
+            a, b = a // 2, b // 2
+            for node in range(a, b + 1):
+                self.chars[node] = self.chars[2 * node] + self.chars[2 * node + 1]
+                self.tokens[node] = self.tokens[2 * node] + self.tokens[2 * node + 1]
 
     def flat(self) -> tuple[str, np.ndarray, np.ndarray]:
         """The text and the characters and tokens of its leaves, as edited."""

@@ -102,6 +102,16 @@ def cut(values: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return starts, kind[starts], pieces
 
 
+def _longer(values: np.ndarray, more: list[int]) -> np.ndarray:
+    """Values with more after them, in a buffer that doubles where it is full, so that a few more don't copy all."""
+    n, buffer = len(values), values.base if values.base is not None else values
+    if n + len(more) > len(buffer):
+        buffer = np.empty(max(2 * len(buffer), n + len(more), 1024), values.dtype)
+        buffer[:n] = values
+    buffer[n:n + len(more)] = more
+    return buffer[:n + len(more)]
+
+
 class WordEncoder:
     """Texts -> ids, with the ids of the pre-tokens met so far.
 
@@ -134,6 +144,7 @@ class WordEncoder:
         self.slots: dict[bytes, int] = {}
         self.ids = np.empty(0, np.uint32)
         self.ends = np.empty(0, np.int64)
+        self.sizes: list[int] = []
 
     def encode(self, text: str) -> list[int]:
         return self.encode_column(pa.array([text]))[0].tolist()
@@ -186,7 +197,11 @@ class WordEncoder:
                 ends.append(ends[-1] + n)
             return [(text[a:b], n) for a, b, n in zip(ends, ends[1:], tokens.tolist())]
         starts, words = [], []
-        for m in CHUNKS.finditer(text):
+        if SIMPLE.fullmatch(text) and "'" not in text and "<|" not in text:
+            for p in PIECES.finditer(text.lower()):
+                starts.append(p.start())
+                words.append(p[0].encode())
+        for m in CHUNKS.finditer(text) if not words else ():
             if SIMPLE.fullmatch(m[0]) and "'" not in m[0] and "<|" not in m[0]:
                 for p in PIECES.finditer(m[0].lower()):
                     starts.append(m.start() + p.start())
@@ -200,8 +215,8 @@ class WordEncoder:
             self._forget()
         self._learn(list({w for w in words if w not in self.slots}))
         starts[0] = 0
-        counts = [int(self.ends[s] - (self.ends[s - 1] if s else 0)) for s in map(self.slots.__getitem__, words)]
-        return [(text[a:b], n) for a, b, n in zip(starts, [*starts[1:], len(text)], counts)]
+        sizes, slots = self.sizes, self.slots
+        return [(text[a:b], sizes[slots[w]]) for a, b, w in zip(starts, [*starts[1:], len(text)], words)]
 
     def slots_of(self, pieces: pa.Array) -> np.ndarray:
         """Where the ids of each pre-token are kept: those of slot s are before ``ends[s]``."""
@@ -209,8 +224,11 @@ class WordEncoder:
         words = coded.dictionary.to_pylist()
         if len(self.slots) + len(words) > self.max_words:
             self._forget()
-        self._learn([w for w in words if w not in self.slots])
-        return np.array([self.slots[w] for w in words], np.int64)[coded.indices.to_numpy()]
+        found = list(map(self.slots.get, words))
+        if None in found:
+            self._learn([w for w, s in zip(words, found) if s is None])
+            found = list(map(self.slots.__getitem__, words))
+        return np.array(found, np.int64)[coded.indices.to_numpy()]
 
     def _learn(self, words: list[bytes]) -> None:
         if not words:
@@ -232,5 +250,5 @@ class WordEncoder:
                 ids += e.ids
                 self.slots[w] = at + len(ends)
                 ends.append(base + len(ids))
-        self.ids = np.concatenate([self.ids, np.array(ids, np.uint32)])
-        self.ends = np.concatenate([self.ends, np.array(ends, np.int64)])
+        self.ids, self.ends = _longer(self.ids, ids), _longer(self.ends, ends)
+        self.sizes += np.diff(self.ends[at:], prepend=base).tolist()

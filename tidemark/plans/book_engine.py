@@ -8,6 +8,8 @@ cumulated over snapshots. A distinct value counts from its own first snapshot.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,6 +72,14 @@ def enrich(facts: DataFrame, spec: BookSpec) -> DataFrame:
     return facts.withColumns({f: F.coalesce(F.expr(f"({c})").cast("int"), F.lit(0)) for f, c in spec.flags.items()}) if spec.flags else facts
 
 
+def derived_layers(spec: BookSpec) -> list[list[str]]:
+    """The derived columns in as few layers as they take, each of columns of the layers before."""
+    level: dict[str, int] = {}
+    for name, expression in spec.derived.items():
+        level[name] = 1 + max((level[w] for w in re.findall(r"\w+", expression) if w in level), default=-1)
+    return [[n for n in level if level[n] == k] for k in range(max(level.values(), default=-1) + 1)]
+
+
 def build_book(facts: DataFrame, spec: BookSpec, cutoffs: dict[int, str]) -> DataFrame:
     """(client, snapshot, cutoff, features): a row for each snapshot from the client's first event on.
 
@@ -108,14 +118,15 @@ def build_book(facts: DataFrame, spec: BookSpec, cutoffs: dict[int, str]) -> Dat
     held = state.select(client, "_at", *running.values(), until.alias("_until"))
     # a state holds until the client's next snapshot with news
     rows = held.withColumn("_at", F.explode(F.sequence(F.col("_at"), F.col("_until") - 1)))
+    # found anew in each layer: a filter has no generated code, and without it Spark would make one method of each wide
+    # layer, too long for the JVM to compile, so that it is interpreted; with it the columns are split into short ones
+    cutoff = F.get(F.filter(F.array(*map(F.lit, dates)), lambda _, i: i == F.col("_at")), 0).cast("date").alias("cutoff")
     out = rows.select(
-        client, F.element_at(F.array(*map(F.lit, labels)), F.col("_at") + 1).alias("snapshot"),
-        F.element_at(F.array(*map(F.lit, dates)), F.col("_at") + 1).cast("date").alias("cutoff"),
-        *(_final(a, a.name).alias(a.name) for a in plain),
+        client, "_at", cutoff, *(_final(a, a.name).alias(a.name) for a in plain),
         *(F.coalesce(F.col(f"{a.name}_n"), F.lit(0)).alias(a.name) for a in counted))
-    for name, expression in spec.derived.items():
-        out = out.withColumn(name, F.expr(expression))
-    return out.select(client, "snapshot", "cutoff", *spec.features)
+    for layer in derived_layers(spec):
+        out = out.select(*(c for c in out.columns if c != "cutoff"), cutoff, *(F.expr(spec.derived[name]).alias(name) for name in layer))
+    return out.select(client, F.element_at(F.array(*map(F.lit, labels)), F.col("_at") + 1).alias("snapshot"), cutoff, *spec.features)
 
 
 def build_book_by_snapshot(facts: DataFrame, spec: BookSpec, cutoffs: dict[int, str]) -> DataFrame:

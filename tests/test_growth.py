@@ -6,6 +6,7 @@ import re
 
 from tidemark.plans import q_books
 from tidemark.plans.book_engine import build_book, derived_layers
+from tidemark.plans.book_run import run_book
 from tidemark.plans.registry import tables
 
 
@@ -20,3 +21,16 @@ def test_wide_layers_of_a_book_are_no_single_methods(spark):
     plan = book._jdf.queryExecution().executedPlan().toString().split("\n")
     wide = [x for x in plan if "Project [" in x and "filter(" in x]
     assert len(wide) >= 2 and not any("*(" in x.partition("Project")[0] for x in wide)
+
+
+def test_a_bad_cutoff_leaves_the_others_to_one_pass(spark, tmp_path):
+    facts, passes = q_books.payments(tables(spark, "/root/testdata/sf0.001")), []
+
+    def build(facts, spec, cutoffs):
+        passes.append(sorted(cutoffs))
+        return build_book(facts, spec, cutoffs)
+
+    cutoffs = dict(list(q_books.YEARS.items())[:3]) | {200101: "2001-13-01"}
+    run = run_book(facts, q_books.PAYMENT, cutoffs, f"file://{tmp_path}/book", build=build)
+    assert {r["snapshot"]: r["status"] for r in run.collect()} == {k: "FAILED" if k == 200101 else "SUCCESS" for k in cutoffs}
+    assert passes == [sorted(cutoffs), sorted(cutoffs)[:3], [200101]]

@@ -52,12 +52,21 @@ def _stage(spark: SparkSession, facts: DataFrame, spec: BookSpec, cutoffs: dict[
     return staged, {int(r["snapshot"]): r["count"] for r in counts}
 
 
+def _is_date(spark: SparkSession, cutoff: str) -> bool:
+    """Whether a cut-off can be read at all, told without the facts."""
+    try:
+        spark.range(1).select(F.lit(cutoff).cast("timestamp")).collect()
+    except Exception:  # the snapshot's own build tells what is wrong
+        return False
+    return True
+
+
 def run_book(facts: DataFrame, spec: BookSpec, cutoffs: dict[int, str], target: str, again: bool = False, build: Build = build_book) -> DataFrame:
     """Build the snapshots of a book that haven't landed yet; returns this run's records.
 
     All pending snapshots are first built in one pass over the facts. If that
-    fails, each is built alone, so that one with a bad cut-off or bad events
-    leaves the others to land. A snapshot is written aside and counted, takes the place of its
+    fails, those whose cut-offs are dates are built in one pass, and what is then
+    left each alone, so that one with a bad cut-off or bad events leaves the others to land. A snapshot is written aside and counted, takes the place of its
     partition folder by renaming, and only then is recorded; a run that broke off
     before a record is repeated for that snapshot by the next one. Snapshots
     landed with the same definition and cut-off are left alone unless ``again``.
@@ -74,19 +83,28 @@ def run_book(facts: DataFrame, spec: BookSpec, cutoffs: dict[int, str], target:
         files.swap(spark, staged, target, [f"snapshot={k}"])
         _record(spark, target, [(run, k, pending[k], definition(spec, pending[k]), "SUCCESS" if n else "EMPTY", n, None, datetime.now(timezone.utc))])
 
-    try:
-        staged, counts = _stage(spark, facts, spec, pending, build)
-        for k in sorted(pending):
+    def land(ks: list[int]) -> None:
+        staged, counts = _stage(spark, facts, spec, {k: pending[k] for k in ks}, build)
+        for k in ks:
             commit(k, staged, counts.get(k, 0))
         files.delete(spark, staged)
-    except Exception:  # whatever it is, the snapshots go on one by one, and those that fail are told
-        for k in sorted(pending):
-            if not manifest(spark, target).where((F.col("run") == run) & (F.col("snapshot") == k)).isEmpty():
-                continue
+
+    def left() -> list[int]:
+        done = {r["snapshot"] for r in manifest(spark, target).where(F.col("run") == run).collect()}
+        return sorted(pending.keys() - done)
+
+    try:
+        land(sorted(pending))
+    except Exception:  # whatever it is, the others go on, and those that fail are told
+        dated = [k for k in left() if _is_date(spark, pending[k])]
+        if 1 < len(dated) < len(left()):
+            try:
+                land(dated)
+            except Exception:  # noqa: S110  # those that haven't landed follow one by one
+                pass
+        for k in left():
             try:
-                staged, counts = _stage(spark, facts, spec, {k: pending[k]}, build)
-                commit(k, staged, counts.get(k, 0))
-                files.delete(spark, staged)
+                land([k])
             except Exception as e:  # the record holds what went wrong with this snapshot
                 _record(spark, target, [(run, k, pending[k], definition(spec, pending[k]), "FAILED", None, str(e)[:1000], datetime.now(timezone.utc))])
     return manifest(spark, target).where(F.col("run") == run)

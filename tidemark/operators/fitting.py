@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
+from operator import add
 from random import Random
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -15,7 +17,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.features import frequency_encode
 from tidemark.operators.compiled import logistic_probability
-from tidemark.operators.metrics import ranking_metrics
+from tidemark.operators.metrics import ranking_metrics, ranking_of_counts
+from tidemark.sources.io import written
 
 
 def prepare(df: DataFrame, label: str, categorical: list[str], fit_on: Column) -> DataFrame:
@@ -115,12 +118,18 @@ def blend_weights(df: DataFrame, label: str, columns: list[str], steps: int = 10
     """KS and AUC of every weighting of the prediction columns, all in one pass, best first.
 
     KS is piecewise constant in the weights, so a grid finds what a gradient can't.
+    Rows are counted by their predictions first, and only these counts are taken once
+    for every weighting.
     """
     grid = simplex(len(columns), steps, least)
+    ps = [f"_p{i}" for i in range(len(columns))]
+    counted = written(df.where(F.col(label).isin(0, 1)).groupBy(*(F.col(c).cast("double").alias(p) for c, p in zip(columns, ps))).agg(
+        F.count_if(F.col(label) == 1).alias("bad"), F.count_if(F.col(label) == 0).alias("good")))
     weights = F.array(*(F.struct(F.lit(i).alias("setting"), F.array(*map(F.lit, w)).alias("w")) for i, w in enumerate(grid)))
-    rows = df.where(F.col(label).isin(0, 1)).select(label, F.array(*(F.col(c).cast("double") for c in columns)).alias("_p"), F.explode(weights).alias("_s"))
-    mixed = F.aggregate(F.zip_with("_p", F.col("_s.w"), lambda p, w: p * w), F.lit(0.0), lambda a, x: a + x)
-    m = ranking_metrics(rows.select(label, F.col("_s.setting").alias("setting"), F.round(mixed, 9).alias("p")), label, "p", ["setting"])
+    mixed = reduce(add, (F.col(p) * F.col("_s.w")[i] for i, p in enumerate(ps)), F.lit(0.0))
+    rows = counted.select(*ps, "bad", "good", F.explode(weights).alias("_s")).select(F.col("_s.setting").alias("setting"), F.round(mixed, 9).alias("score"), "bad", "good")
+    rows = rows.where(F.col("score").isNotNull() & ~F.isnan("score"))
+    m = ranking_of_counts(rows.groupBy("setting", "score").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), ["setting"])
     names = df.sparkSession.createDataFrame([(i, w) for i, w in enumerate(grid)], "setting int, weights array<double>")
     return m.join(F.broadcast(names), "setting").orderBy(F.desc("ks"), "setting")
 

@@ -18,9 +18,13 @@ def ranking_metrics(df: DataFrame, label: str, score: str, by: list[str] | None
     form one step for KS. Groups with fewer than ``min_rows`` rows or one class
     have null metrics.
     """
+    return ranking_of_counts(score_counts(df, label, score, by), by, min_rows)
+
+
+def ranking_of_counts(counts: DataFrame, by: list[str] | None = None, min_rows: int = 0) -> DataFrame:
+    """``ranking_metrics`` of rows that are counted by score already, as by ``score_counts``."""
     by = by or []
-    c = curve(df, label, score, by)
-    bad, good = F.first("total_bad"), F.first("total_good")
+    c = prefix_sums(counts, ["score"], ["bad", "good"], by)
     step = F.abs((F.col("before_bad") + F.col("bad")) / F.col("total_bad") - (F.col("before_good") + F.col("good")) / F.col("total_good"))
     usable = (F.col("total_bad") > 0) & (F.col("total_good") > 0)
     pairs = F.sum(F.col("bad") * (F.col("before_good") + F.col("good") / 2))

@@ -6,6 +6,10 @@ their counts: the rows are melted to (feature, bin) and counted by group.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,17 +30,26 @@ def quantile_edges(df: DataFrame, columns: list[str], bins: int, approximate: bo
     return {c: sorted(set(row[f"e{i}"] or [])) for i, c in enumerate(columns)}
 
 
+#: Up to so many edges are compared one by one, in compiled code; more of them by a function over their array.
+FEW_EDGES = 32
+
+
+def _passed(edges: list[float], test: Callable[[Column], Column]) -> Column:
+    """How many of the edges pass a test."""
+    if len(edges) > FEW_EDGES:
+        return F.size(F.filter(F.array(*map(F.lit, edges)), test))
+    return reduce(add, (F.when(test(F.lit(e)), 1).otherwise(0) for e in edges), F.lit(0))
+
+
 def bin_of(value: Column, edges: list[float]) -> Column:
     """Right-closed bin number from 0, the lowest value included; null stays null."""
-    inner = edges[1:-1]
-    count = F.size(F.filter(F.array(*map(F.lit, inner)), lambda e: value > e)) if inner else F.lit(0)
+    count = _passed(edges[1:-1], lambda e: value > e)
     return F.when(value.isNotNull() & ~F.isnan(value.cast("double")), count)
 
 
 def left_closed_bin(value: Column, edges: list[float]) -> Column:
     """Left-closed bin number from 0, open to both sides, as for histograms."""
-    inner = edges[1:-1]
-    count = F.size(F.filter(F.array(*map(F.lit, inner)), lambda e: value >= e)) if inner else F.lit(0)
+    count = _passed(edges[1:-1], lambda e: value >= e)
     return F.when(value.isNotNull() & ~F.isnan(value.cast("double")), count)
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml.linalg import Vectors
 
+from tidemark.llm import quality_classifier, quality_rules
+from tidemark.llm.quality_classifier import RuleEnsemble
 from tidemark.llm.token_counts import SegmentTree
 from tidemark.llm.tokens import WordEncoder, default_tokenizer
 
@@ -30,3 +33,25 @@ def test_edits_next_to_emptied_leaves():
         assert tree.flat()[0] == text and tree.n_chars == len(text)
         assert tree.n_tokens == len(encoder.encode(text))
         assert sum(tree.chars[tree.width:]) == tree.chars[1] and sum(tree.tokens[tree.width:]) == tree.tokens[1]
+
+
+def test_a_filter_by_score_names_the_statistics_once(spark):
+    docs = spark.createDataFrame([(i, "Some words, and some words. " * (i % 4 * 9)) for i in range(40)] + [(40, None)], "doc_id long, text string")
+    model = RuleEnsemble(-0.5, (((("mean_word", ">", 2.0), ("repeat_share", "<=", 0.9)), 1.5), ((("stop_share", ">", 0.1), ("mean_word", "<=", 9.0)), -0.25)))
+    kept, plain = quality_classifier.keep_good(docs, model), quality_rules.with_statistics(docs).where(model.score() >= 0.5)
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 2  # words and lines
+    assert kept.orderBy("doc_id").collect() == plain.select("doc_id", "text").orderBy("doc_id").collect()
+
+
+def test_lasso_needs_few_jobs_and_reaches_the_optimum(spark):
+    rng = np.random.default_rng(5)
+    x = (rng.random((600, 12)) < 0.4).astype(float)
+    x[:, 11] = x[:, 0]
+    y = (rng.random(600) < 1 / (1 + np.exp(-(2 * x[:, 0] - 1.5 * x[:, 1] - 0.5)))).astype(float)
+    rows = spark.createDataFrame([(float(b), Vectors.dense(a)) for a, b in zip(x, y)], ["label", "rules"]).coalesce(2)
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().nextJobId
+    before = jobs()
+    intercept, weights = quality_classifier.lasso(rows, 0.01)
+    assert jobs() - before <= 60
+    slope = x.T @ (1 / (1 + np.exp(-(intercept + x @ weights))) - y) / 600
+    assert (abs(slope) < 0.0105).all() and (abs(slope + 0.01 * np.sign(weights))[weights != 0] < 5e-4).all()

@@ -105,6 +105,16 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     return out.select(*of_row("row", names), *(F.col(f"counts.{c}" if c in within else c).alias(c) for c in [*STATISTICS, *EXTRA]))
 
 
+def held_statistics(docs: DataFrame) -> DataFrame:
+    """``with_statistics`` for a filter: it comes out of a generator, which filters don't move below.
+
+    Below the statistics each mention of one would be the whole expression over the text again.
+    """
+    found = with_statistics(docs)
+    names = [*STATISTICS, *EXTRA]
+    return found.select(*(c for c in found.columns if c not in names), F.inline(F.array(F.struct(*names))))
+
+
 def base_failed() -> Column:
     """Too few words, or more than half of them in repeated windows."""
     return (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)

@@ -55,3 +55,25 @@ def test_lasso_needs_few_jobs_and_reaches_the_optimum(spark):
     assert jobs() - before <= 60
     slope = x.T @ (1 / (1 + np.exp(-(intercept + x @ weights))) - y) / 600
     assert (abs(slope) < 0.0105).all() and (abs(slope + 0.01 * np.sign(weights))[weights != 0] < 5e-4).all()
+
+
+def test_a_step_of_the_lasso_is_one_job_and_rules_are_no_expressions(spark):
+    rng = np.random.default_rng(6)
+    x = rng.random((400, 2)).round(2)
+    y = ((x[:, 0] > 0.5) & (x[:, 1] <= 0.7)).astype(float)
+    rows = spark.createDataFrame([(float(b), Vectors.dense(a)) for a, b in zip(x, y)], ["label", "x"]).coalesce(3)
+    cuts = [i / 50 for i in range(1, 50)]
+    rules = [(("a", "<=", t),) for t in cuts] + [(("a", ">", t), ("b", "<=", 0.7)) for t in cuts] + [(("b", ">", 0.1), ("b", "<=", t)) for t in cuts]
+    found = quality_classifier.rule_flags(rows, rules, ["a", "b"])
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 2000
+    plain = [[float(eval(" and ".join(f"{f} {side} {t!r}" for f, side, t in r), {"a": a, "b": b})) for r in rules] for a, b in x.tolist()]
+    got = found.collect()
+    assert [r["label"] for r in got] == y.tolist() and [r["rules"] for r in got] == plain
+    hits = spark.createDataFrame([(r["label"], Vectors.dense(r["rules"])) for r in got], ["label", "rules"]).coalesce(3)
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().nextJobId
+    before = jobs()
+    intercept, weights = quality_classifier.lasso(hits, 0.01)
+    assert jobs() - before <= 20
+    flags = np.array(plain)
+    slope = flags.T @ (1 / (1 + np.exp(-(intercept + flags @ weights))) - y) / 400
+    assert (abs(slope) < 0.0105).all()

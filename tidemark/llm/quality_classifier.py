@@ -7,15 +7,14 @@ keeps few of them, and these become one Spark column expression.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import ElementwiseProduct, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,36 +66,105 @@ def paths(tree: DecisionTreeClassificationModel, features: list[str]) -> Iterato
             waiting.append((child, bounds | {(f, side): best(bounds.get((f, side), t), t)}))
 
 
+def rule_flags(rows: DataFrame, rules: list[Path], features: list[str]) -> DataFrame:
+    """``label`` and, as an array ``rules`` of 0 and 1, which rules hold for the vector ``x`` of the features.
+
+    The bounds go to the tasks as two matrices: as expressions hundreds of rules are a plan
+    and a generated method that weigh on the driver.
+    """
+    above, most = np.full((len(features), len(rules)), -np.inf), np.full((len(features), len(rules)), np.inf)
+    for j, rule in enumerate(rules):
+        for f, side, t in rule:
+            (above if side == ">" else most)[features.index(f), j] = t
+
+    def flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, len(features))
+            held = np.ones((len(x), len(rules)), bool)
+            for i in range(len(features)):
+                held &= (x[:, i, None] > above[i]) & (x[:, i, None] <= most[i])
+            ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(rules))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.ListArray.from_arrays(ends, pa.array(held.ravel().astype(float)))], ["label", "rules"])
+
+    return rows.select("label", vector_to_array("x").alias("x")).mapInArrow(flags, "label double, rules array<double>")
+
+
+def _sums_at(intercept: float, weights: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's share of the loss at these weights and of the normal equations of the least-squares step there.
+
+    One row of bytes for a task: the loss, then for a leading 1 and the rules the sums
+    of squares and products, and those with the target of the step.
+    """
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: np.ndarray | float = 0.0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            y = batch.column("label").to_numpy(zero_copy_only=False)
+            flags = batch.column("rules").flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
+            x = np.hstack([np.ones((len(y), 1)), flags])
+            margin = np.full(len(y), intercept) if weights is None else intercept + x[:, 1:] @ weights
+            p = 1.0 / (1.0 + np.exp(-margin))
+            w = np.maximum(p * (1.0 - p), 1e-5)
+            loss = np.maximum(margin, 0.0) - y * margin + np.log1p(np.exp(-np.abs(margin)))
+            total = total + np.concatenate([[len(y), loss.sum()], ((x.T * w) @ x).ravel(), x.T @ (w * margin + y - p)])
+        if isinstance(total, np.ndarray):
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    return sums
+
+
+def _least_squares(squares: np.ndarray, targets: np.ndarray, penalty: float, start: np.ndarray, sweeps: int = 1000) -> tuple[float, np.ndarray]:
+    """Intercept and weights of a least-squares lasso from its normal equations, by coordinate descent.
+
+    The first row and column belong to the intercept, which has no penalty.
+    """
+    mean = squares[0, 1:] / squares[0, 0]
+    around = squares[1:, 1:] - np.outer(mean, squares[0, 1:])
+    own, weights = np.diag(around).tolist(), start.copy()
+    rest = targets[1:] - mean * targets[0] - around @ weights
+    for _ in range(sweeps):
+        moved = 0.0
+        for j, square in enumerate(own):
+            if square <= 1e-9 * squares[0, 0]:  # a rule that holds everywhere or nowhere
+                continue
+            old, pull = float(weights[j]), float(rest[j]) + square * float(weights[j])
+            now = np.sign(pull) * max(abs(pull) - penalty, 0.0) / square
+            if now != old:
+                weights[j] = now
+                rest -= around[j] * (now - old)
+                moved = max(moved, square * (now - old) ** 2)
+        if moved <= 1e-12 * squares[0, 0]:
+            break
+    return float(targets[0] / squares[0, 0] - mean @ weights), weights
+
+
 def lasso(rows: DataFrame, penalty: float, most: int = 40, tolerance: float = 1e-5) -> tuple[float, np.ndarray]:
     """Intercept and weights that minimise mean logistic loss + penalty * sum of absolute weights.
 
-    ``rows`` have ``label`` (0 or 1, both occur) and a vector ``rules``. Each step fits a
-    weighted least-squares lasso around the margins so far from one pass for its sums, and
-    one more pass for the loss, so that a fit is a few jobs instead of one for each gradient
-    of a line search. A step that makes things worse is halved.
+    ``rows`` have ``label`` (0 or 1, both occur) and a vector ``rules``. Each step is one
+    job: every task sums up the loss and the weighted normal equations around the weights so
+    far, of which the driver gets (rules + 1)**2 numbers a task. All steps have the same
+    plan, and nothing is compiled for one. A step that makes things worse is halved.
     """
-    n, share, size = rows.agg(F.count(F.lit(1)), F.avg("label"), F.first(F.size(vector_to_array("rules")))).first()
-    now = best = (float(np.log(share / (1 - share))), np.zeros(size))
-    least = np.inf
+    flags = rows.select(F.col("label").cast("double").alias("label"), vector_to_array("rules", "float32").alias("rules"))
+    now: tuple[float, np.ndarray | None] = (0.0, None)
+    best, least = now, np.inf
     for _ in range(most):
-        product = ElementwiseProduct(scalingVec=Vectors.dense(now[1]), inputCol="rules", outputCol="_parts").transform(rows)
-        margin = F.aggregate(vector_to_array("_parts"), F.lit(now[0]), lambda a, x: a + x)
-        at = product.select("label", "rules", margin.alias("_m")).withColumn("_p", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_m"))))
-        at = at.withColumn("_w", F.greatest(F.col("_p") * (1 - F.col("_p")), F.lit(1e-5)))
-        loss = F.greatest(F.col("_m"), F.lit(0.0)) - F.col("label") * F.col("_m") + F.log1p(F.exp(-F.abs("_m")))
-        mean, weight = at.agg(F.avg(loss), F.sum("_w")).first()
-        value = mean + penalty * float(np.abs(now[1]).sum())
+        total = np.sum([np.frombuffer(r["sums"]) for r in flags.mapInArrow(_sums_at(*now), "sums binary").collect()], axis=0)
+        k = int(np.sqrt(len(total)))  # k * k + k + 2 numbers
+        n, loss, squares, targets = total[0], total[1], total[2:2 + k * k].reshape(k, k), total[2 + k * k:]
+        if now[1] is None:
+            now = (now[0], np.zeros(k - 1))
+        value = loss / n + penalty * float(np.abs(now[1]).sum())
         if value > least:
             now = (now[0] + best[0]) / 2, (now[1] + best[1]) / 2
             continue
         gained, best, least = least - value, now, value
         if gained <= tolerance * least:
             break
-        near = at.select("rules", "_w", (F.col("_m") + (F.col("label") - F.col("_p")) / F.col("_w")).alias("_z"))
-        step = LinearRegression(
-            featuresCol="rules", labelCol="_z", weightCol="_w", solver="normal", elasticNetParam=1.0, regParam=penalty * n / weight,
-            standardization=False, maxIter=1000, tol=1e-9).fit(near)
-        now = float(step.intercept), step.coefficients.toArray()
+        now = _least_squares(squares, targets, penalty * n, now[1])
     return best
 
 
@@ -111,7 +179,7 @@ def fit(table: DataFrame, n_trees: int = 20, depth: int = 3, penalty: float = 0.
     shares = {r["good"]: r["n"] for r in table.groupBy("good").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(shares) < 2:
         return RuleEnsemble({0: -4.0, 1: 4.0}.get(next(iter(shares), None), 0.0), ())
-    rows = table.select(F.col("good").cast("double").alias("label"), *(F.expr(FEATURES[f]).cast("double").alias(f"f_{f}") for f in features), *table.columns)
+    rows = table.select(F.col("good").cast("double").alias("label"), *(F.expr(FEATURES[f]).cast("double").alias(f"f_{f}") for f in features))
     rows = VectorAssembler(inputCols=[f"f_{f}" for f in features], outputCol="x").transform(rows)
     # both labels weigh the same while the trees grow, or the rare one gets few rules
     weight = {g: sum(shares.values()) / (2.0 * n) for g, n in shares.items()}
@@ -122,8 +190,7 @@ def fit(table: DataFrame, n_trees: int = 20, depth: int = 3, penalty: float = 0.
     rules = list(dict.fromkeys(r for t in forest.trees for r in paths(t, features)))
     if not rules:
         return RuleEnsemble(0.0, ())
-    flags = rows.select("label", *(F.expr(rule_sql(r)).cast("double").alias(f"r{i}") for i, r in enumerate(rules)))
-    hits = materialize(VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="rules").transform(flags).select("label", "rules").coalesce(4))
+    hits = materialize(rule_flags(rows.select("label", "x"), rules, features).select("label", array_to_vector("rules").alias("rules")).coalesce(4))
     intercept, weights = lasso(hits, penalty)
     return RuleEnsemble(intercept, tuple((r, float(w)) for r, w in zip(rules, weights) if w))
 
